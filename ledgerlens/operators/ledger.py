@@ -16,9 +16,10 @@ Plan shape
    needed.  Map-side partial aggregation leaves at most one row per account
    per map task, so a hot account costs one row per task in the shuffle.
 
-The same ``edge_table`` feeds the dormant-neighbour join; inside one query
-Spark reuses its shuffle output (``ReusedExchange``), so the ledger is
-scanned once.
+The same ``edge_table`` feeds the dormant-neighbour pass.  The branches
+prune different columns, so Spark cannot share their shuffles; the base
+feature plan therefore writes the edge table to the checkpoint folder and
+the ledger is scanned once.
 """
 
 from __future__ import annotations
@@ -80,8 +81,8 @@ def activity_from_sides(sides: DataFrame) -> DataFrame:
     return sides.groupBy(F.col("account").alias("id")).agg(
         F.sum(F.when(sent, n)).alias("n_transactions_sent"),
         F.sum(F.when(recv, n)).alias("n_transactions_received"),
-        F.sum(F.when(sent & system, n)).alias("n_penalties"),
-        F.sum(F.when(recv & system, n)).alias("n_bonuses"),
+        F.sum(F.when(sent, F.when(system, n).otherwise(0))).alias("n_penalties"),
+        F.sum(F.when(recv, F.when(system, n).otherwise(0))).alias("n_bonuses"),
         F.sum(F.when(recv, one)).alias("n_partners_received"),
         F.sum(F.when(sent, one)).alias("n_partners_sent"),
         F.min(F.when(sent, F.col("first_date"))).alias("first_trx_date"),

@@ -14,8 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.operators.encoding import category_shares, fit_onehot
+from ledgerlens.operators.ledger import account_activity
+from ledgerlens.operators.neighbours import dormant_neighbours
 from ledgerlens.plans.base import base_features
+from ledgerlens.plans.features import eda_features, model_features
+from ledgerlens.session import materialize
 from ledgerlens.sources import standin as S
+from ledgerlens.sources.schema import ONEHOT_COLUMNS
 
 ROUND_DIGITS = 6
 
@@ -39,13 +45,85 @@ def _inputs(spark: SparkSession, sf_dir: str, population: str = "all"):
             S.ledger(spark, sf_dir))
 
 
+def p2_stage(spark: SparkSession, sf_dir: str, population: str = "all",
+             labelled: bool = True) -> DataFrame:
+    """Base features with amounts, written to the checkpoint folder (the
+    stage hand-off: later phases read it several times)."""
+    labels = (S.account_labels(spark, sf_dir, population) if labelled
+              else S.population_ids(spark, sf_dir, population))
+    p2 = base_features(labels, S.users(spark, sf_dir), S.ledger(spark, sf_dir),
+                       keep_amounts=True)
+    return materialize(p2)
+
+
 def base_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """p2 over the whole labelled population."""
     labels, users, ledger = _inputs(spark, sf_dir)
     return round_doubles(base_features(labels, users, ledger))
 
 
+def nullable_counts_as_double(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Counts that are NULL for "no row on that side" travel as doubles in
+    the registered form (pandas has no nullable int64 by default)."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def account_activity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-account activity over the whole ledger."""
+    act = account_activity(S.ledger(spark, sf_dir))
+    counts = [c for c in act.columns if c.startswith("n_")]
+    return round_doubles(nullable_counts_as_double(act, counts))
+
+
+def dormant_neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: dormant-partner counts for every ledger account with one."""
+    p2 = p2_stage(spark, sf_dir)
+    nb = dormant_neighbours(S.ledger(spark, sf_dir), p2.select("id", "is_stage_2"))
+    return nullable_counts_as_double(nb, ["n_partners_received_stage_2", "n_partners_sent_stage_2"])
+
+
+def model_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 33 numeric model features of the whole population."""
+    return round_doubles(model_features(p2_stage(spark, sf_dir), with_dummies=False))
+
+
+def test_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same features for the unlabelled test population, refitted."""
+    p4 = p2_stage(spark, sf_dir, "test", labelled=False)
+    return round_doubles(model_features(p4, with_dummies=False))
+
+
+def eda_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exploration variant of the features."""
+    labels, users, ledger = _inputs(spark, sf_dir)
+    return round_doubles(eda_features(base_features(labels, users, ledger)))
+
+
+def onehot_fit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category counts, shares, kept and baseline flags."""
+    labels, users, ledger = _inputs(spark, sf_dir)
+    p2 = base_features(labels, users, ledger)
+    return round_doubles(category_shares(p2, ONEHOT_COLUMNS))
+
+
+def onehot_encode_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted dummies of every account, unpivoted to
+    ``(id, dummy, value)``."""
+    p2 = p2_stage(spark, sf_dir)
+    enc = fit_onehot(p2, ONEHOT_COLUMNS)
+    wide = enc.transform(p2.select("id", *ONEHOT_COLUMNS))
+    return wide.select("id", *enc.names).unpivot(["id"], enc.names, "dummy", "value")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "base_features": base_features_query,
+        "account_activity": account_activity_query,
+        "dormant_neighbours": dormant_neighbours_query,
+        "model_features": model_features_query,
+        "test_features": test_features_query,
+        "eda_features": eda_features_query,
+        "onehot_fit": onehot_fit_query,
+        "onehot_encode": onehot_encode_query,
     }

@@ -167,7 +167,159 @@ def base_features_sql() -> str:
     return f"WITH {p2_ctes('all')}\nSELECT {_rounded(P2_COLUMNS, P2_DOUBLES)} FROM p2"
 
 
+def account_activity_sql() -> str:
+    return f"""WITH {STANDIN},
+trx AS (SELECT source, target, CAST(time AS DATE) AS d, amount FROM ledger),
+ids AS (SELECT source AS id FROM trx UNION SELECT target FROM trx),
+s AS (SELECT source AS id, count(*) AS n_sent,
+             sum(CASE WHEN target = -1 THEN 1 ELSE 0 END) AS n_pen,
+             count(DISTINCT target) AS p_sent, min(d) AS first_d, max(d) AS last_d,
+             sum(amount) AS a_sent FROM trx GROUP BY source),
+r AS (SELECT target AS id, count(*) AS n_recv,
+             sum(CASE WHEN source = -1 THEN 1 ELSE 0 END) AS n_bon,
+             count(DISTINCT source) AS p_recv, sum(amount) AS a_recv FROM trx GROUP BY target),
+b AS (SELECT target AS id, sum(amount) AS a_bon FROM trx WHERE source = -1 GROUP BY target),
+p AS (SELECT source AS id, sum(amount) AS a_pen FROM trx WHERE target = -1 GROUP BY source)
+SELECT ids.id,
+       CAST(n_sent AS DOUBLE) AS n_transactions_sent, CAST(n_recv AS DOUBLE) AS n_transactions_received,
+       CAST(n_pen AS DOUBLE) AS n_penalties, CAST(n_bon AS DOUBLE) AS n_bonuses,
+       CAST(p_recv AS DOUBLE) AS n_partners_received, CAST(p_sent AS DOUBLE) AS n_partners_sent,
+       CAST(first_d AS VARCHAR) AS first_trx_date, CAST(last_d AS VARCHAR) AS last_trx_date,
+       round(CAST(a_sent AS DOUBLE), 6) AS amount_sent, round(CAST(a_recv AS DOUBLE), 6) AS amount_received,
+       round(CAST(a_bon AS DOUBLE), 6) AS amount_bonuses, round(CAST(a_pen AS DOUBLE), 6) AS amount_penalties
+FROM ids LEFT JOIN s USING (id) LEFT JOIN r USING (id) LEFT JOIN b USING (id) LEFT JOIN p USING (id)"""
+
+
+def dormant_neighbours_sql() -> str:
+    return f"""WITH {p2_ctes('all')},
+fl AS (SELECT id FROM p2 WHERE is_stage_2 = 1),
+rr AS (SELECT t.target AS id, count(DISTINCT t.source) AS c FROM trx t JOIN fl ON t.source = fl.id
+       GROUP BY t.target),
+ss AS (SELECT t.source AS id, count(DISTINCT t.target) AS c FROM trx t JOIN fl ON t.target = fl.id
+       GROUP BY t.source)
+SELECT coalesce(rr.id, ss.id) AS id, CAST(rr.c AS DOUBLE) AS n_partners_received_stage_2,
+       CAST(ss.c AS DOUBLE) AS n_partners_sent_stage_2
+FROM rr FULL OUTER JOIN ss ON rr.id = ss.id"""
+
+
+LOG_COLUMNS = [
+    "start_balance", "n_transactions", "n_transactions_received", "n_transactions_sent",
+    "n_bonuses", "n_partners", "n_partners_stage_2", "n_partners_received",
+    "n_partners_received_stage_2", "n_partners_sent", "n_partners_sent_stage_2",
+    "days_before_first_trx", "count_received_intensity", "count_sent_intensity",
+    "count_intensity",
+]
+LOG_RATIOS = [
+    ("n_partners_ratio_log", "n_partners_received_log", "n_partners_sent_log"),
+    ("n_transactions_ratio_log", "n_transactions_received_log", "n_transactions_sent_log"),
+    ("count_intensity_ratio_log", "count_received_intensity_log", "count_sent_intensity_log"),
+    ("n_partners_stage_2_ratio_log", "n_partners_received_stage_2_log",
+     "n_partners_sent_stage_2_log"),
+]
+AMOUNTS = {
+    "amount_received_intensity":
+        "coalesce(CAST(amount_received AS DOUBLE) / nullif(days_from_registr, 0), 0)",
+    "amount_sent_intensity":
+        "coalesce(CAST(amount_sent AS DOUBLE) / nullif(days_from_registr, 0), 0)",
+    "amount_intensity":
+        "coalesce(CAST(amount_sent + amount_received AS DOUBLE) / nullif(days_from_registr, 0), 0)",
+    "balance_growth":
+        "coalesce(start_balance + CAST(amount_received AS DOUBLE) - CAST(amount_sent AS DOUBLE), 0)",
+    "amount_penalties": "coalesce(CAST(amount_penalties AS DOUBLE), 0)",
+    "amount_bonuses": "coalesce(CAST(amount_bonuses AS DOUBLE), 0)",
+    "amount_total": "coalesce(CAST(amount_sent + amount_received AS DOUBLE), 0)",
+    "amount_sent": "coalesce(CAST(amount_sent AS DOUBLE), 0)",
+    "amount_received": "coalesce(CAST(amount_received AS DOUBLE), 0)",
+}
+KEPT_BASE = ["days_past_last_trxs", "is_stage_2", "stage_2_partners_share", "avg_time_between_trxs"]
+
+
+def _logs_ctes() -> str:
+    logs = ",\n  ".join(f"CASE WHEN {c} > 0 THEN ln({c}) ELSE 0 END AS {c}_log" for c in LOG_COLUMNS)
+    ratios = ",\n  ".join(f"coalesce({a} / nullif({b}, 0), 0) AS {n}" for n, a, b in LOG_RATIOS)
+    return f"""lg0 AS (SELECT p2.*,
+  {logs} FROM p2),
+lg AS (SELECT lg0.*,
+  {ratios} FROM lg0)"""
+
+
+def model_features_sql(population: str = "all", labelled: bool = True) -> str:
+    vals = ",\n  ".join(f"{e} AS v_{c}" for c, e in AMOUNTS.items())
+    bounds = ", ".join(f"min(v_{c}) AS lo_{c}, max(v_{c}) AS hi_{c}" for c in AMOUNTS)
+    scaled = ",\n  ".join(
+        f"CASE WHEN hi_{c} > lo_{c} THEN ln((v_{c} - lo_{c}) / (hi_{c} - lo_{c}) + 1e-6) ELSE 0 END"
+        f" AS {c}_log" for c in AMOUNTS)
+    numeric = (KEPT_BASE + [c + "_log" for c in LOG_COLUMNS] + [r[0] for r in LOG_RATIOS]
+               + [c + "_log" for c in AMOUNTS] + ["amount_sent_receive_logratio"])
+    out = ["id"] + (["inactive"] if labelled else []) + numeric
+    doubles = set(numeric) - {"days_past_last_trxs", "is_stage_2"}
+    return f"""WITH {p2_ctes(population, labelled)},
+{_logs_ctes()},
+am AS (SELECT lg.*,
+  {vals} FROM lg),
+mm AS (SELECT {bounds} FROM am),
+sc AS (SELECT am.*,
+  {scaled} FROM am, mm),
+fin AS (SELECT sc.*,
+  coalesce(amount_sent_log / nullif(amount_received_log, 0), 0) AS amount_sent_receive_logratio
+  FROM sc)
+SELECT {_rounded(out, doubles)} FROM fin"""
+
+
+EDA_LOGS = ["start_balance", "n_transactions", "n_bonuses", "n_partners", "n_partners_stage_2",
+            "days_before_first_trx", "count_intensity"]
+
+
+def eda_features_sql() -> str:
+    numeric = KEPT_BASE + [c + "_log" for c in EDA_LOGS] + [r[0] for r in LOG_RATIOS]
+    out = ["id", "inactive", "area_type", "gender"] + numeric
+    doubles = set(numeric) - {"days_past_last_trxs", "is_stage_2"}
+    return f"""WITH {p2_ctes('all')},
+{_logs_ctes()}
+SELECT {_rounded(out, doubles)} FROM lg"""
+
+
+ONEHOT = ["business_type", "area_name", "area_type", "gender"]
+
+
+def _onehot_ctes() -> str:
+    long = "\n  UNION ALL ".join(
+        f"SELECT id, '{c}' AS column_name, {c} AS value FROM p2" for c in ONEHOT)
+    return f"""lp AS ({long}),
+cnt AS (SELECT column_name, value, count(*) AS n FROM lp WHERE value IS NOT NULL
+        GROUP BY column_name, value),
+per AS (SELECT column_name, sum(n) AS total, min(n) AS min_n FROM cnt GROUP BY column_name),
+least AS (SELECT cnt.column_name, min(cnt.value) AS least_value FROM cnt JOIN per
+          ON cnt.column_name = per.column_name AND cnt.n = per.min_n GROUP BY cnt.column_name),
+fit AS (SELECT cnt.column_name, cnt.value, cnt.n, cnt.n / per.total AS share,
+               cnt.n / per.total > 0.1 AS kept,
+               (per.min_n / per.total > 0.1) AND cnt.value = least.least_value AS baseline
+        FROM cnt JOIN per ON cnt.column_name = per.column_name
+        JOIN least ON cnt.column_name = least.column_name)"""
+
+
+def onehot_fit_sql() -> str:
+    return f"""WITH {p2_ctes('all')},
+{_onehot_ctes()}
+SELECT column_name, value, n, round(share, 6) AS share, kept, baseline FROM fit"""
+
+
+def onehot_encode_sql() -> str:
+    return f"""WITH {p2_ctes('all')},
+{_onehot_ctes()},
+dummies AS (SELECT column_name, value FROM fit WHERE kept AND NOT baseline)
+SELECT lp.id, d.value AS dummy, CAST(CASE WHEN lp.value = d.value THEN 1 ELSE 0 END AS INTEGER) AS value
+FROM lp JOIN dummies d ON lp.column_name = d.column_name"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "base_features": base_features_sql(),
+        "account_activity": account_activity_sql(),
+        "dormant_neighbours": dormant_neighbours_sql(),
+        "model_features": model_features_sql("all", True),
+        "test_features": model_features_sql("test", False),
+        "eda_features": eda_features_sql(),
+        "onehot_fit": onehot_fit_sql(),
+        "onehot_encode": onehot_encode_sql(),
     }

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from ledgerlens.operators.encoding import category_shares, fit_onehot
 from ledgerlens.operators.ledger import account_activity
 from ledgerlens.operators.neighbours import dormant_neighbours
-from ledgerlens.plans.base import base_features
+from ledgerlens.operators import profile as P
+from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features
 from ledgerlens.plans.features import eda_features, model_features
 from ledgerlens.session import materialize
 from ledgerlens.sources import standin as S
@@ -116,6 +117,43 @@ def onehot_encode_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("id", *enc.names).unpivot(["id"], enc.names, "dummy", "value")
 
 
+def profiled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table the exploration phase profiles: p2 of the whole population."""
+    return p2_stage(spark, sf_dir).drop(*AMOUNT_COLUMNS)
+
+
+def profile_census_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(P.census(profiled_table(spark, sf_dir)))
+
+
+def profile_nulls_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.null_counts(profiled_table(spark, sf_dir))
+
+
+def profile_describe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = profiled_table(spark, sf_dir)
+    return round_doubles(P.describe(t, P.numeric_columns(t)))
+
+
+def profile_uniques_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = profiled_table(spark, sf_dir)
+    return P.unique_values(t, P.string_columns(t) + P.integer_columns(t))
+
+
+def profile_head_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(P.head(profiled_table(spark, sf_dir), 5, ["id"]))
+
+
+def outliers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = profiled_table(spark, sf_dir)
+    return round_doubles(P.outliers(t, P.numeric_columns(t), 3.0))
+
+
+def correlation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = profiled_table(spark, sf_dir)
+    return P.correlation(t, P.numeric_columns(t), 3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "base_features": base_features_query,
@@ -126,4 +164,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eda_features": eda_features_query,
         "onehot_fit": onehot_fit_query,
         "onehot_encode": onehot_encode_query,
+        "profile_census": profile_census_query,
+        "profile_nulls": profile_nulls_query,
+        "profile_describe": profile_describe_query,
+        "profile_uniques": profile_uniques_query,
+        "profile_head": profile_head_query,
+        "outliers": outliers_query,
+        "correlation": correlation_query,
     }

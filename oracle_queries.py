@@ -312,6 +312,76 @@ SELECT lp.id, d.value AS dummy, CAST(CASE WHEN lp.value = d.value THEN 1 ELSE 0
 FROM lp JOIN dummies d ON lp.column_name = d.column_name"""
 
 
+P2_INTEGRAL = ["id", "inactive", "n_transactions_sent", "n_transactions_received", "n_penalties",
+               "n_bonuses", "n_partners_received", "n_partners_sent", "n_transactions",
+               "n_partners", "days_before_first_trx", "days_past_last_trxs", "is_stage_2",
+               "n_partners_received_stage_2", "n_partners_sent_stage_2", "n_partners_stage_2"]
+P2_STRINGS = ["account_type", "business_type", "area_name", "area_type", "gender"]
+P2_NUMERIC = [c for c in P2_COLUMNS if c in P2_INTEGRAL or c in P2_DOUBLES]
+
+
+def profile_census_sql() -> str:
+    n_cols = len(P2_COLUMNS)
+    return f"""WITH {p2_ctes('all')}
+SELECT count(*) AS n_rows, CAST({n_cols} AS BIGINT) AS n_columns,
+       round(count(*) / {n_cols}, 6) AS rows_per_column,
+       CAST({len(P2_INTEGRAL)} AS BIGINT) AS n_integer_columns,
+       CAST({len(P2_DOUBLES)} AS BIGINT) AS n_float_columns,
+       CAST({len(P2_STRINGS)} AS BIGINT) AS n_string_columns
+FROM p2"""
+
+
+def profile_nulls_sql() -> str:
+    parts = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS n_null FROM p2"
+        for c in P2_COLUMNS)
+    return f"WITH {p2_ctes('all')}\n{parts}"
+
+
+def profile_describe_sql() -> str:
+    parts = "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(x) AS count, round(avg(x), 6) AS mean,
+       round(stddev_samp(x), 6) AS std, round(min(x), 6) AS min,
+       round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.5), 6) AS q50,
+       round(quantile_cont(x, 0.75), 6) AS q75, round(max(x), 6) AS max
+FROM (SELECT CAST({c} AS DOUBLE) AS x FROM p2)""" for c in P2_NUMERIC)
+    return f"WITH {p2_ctes('all')}\n{parts}"
+
+
+def profile_uniques_sql() -> str:
+    cols = P2_STRINGS + P2_INTEGRAL
+    parts = "\nUNION ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM p2" for c in cols)
+    return f"WITH {p2_ctes('all')}\n{parts}"
+
+
+def profile_head_sql() -> str:
+    return (f"WITH {p2_ctes('all')}\nSELECT {_rounded(P2_COLUMNS, P2_DOUBLES)} "
+            f"FROM p2 ORDER BY id LIMIT 5")
+
+
+def outliers_sql(n_std: float = 3.0) -> str:
+    parts = "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS column_name,
+       CAST(count(*) - count_if(x <= (SELECT avg(CAST({c} AS DOUBLE)) + {n_std} * stddev_samp(CAST({c} AS DOUBLE)) FROM p2)) AS BIGINT) AS count,
+       round((count(*) - count_if(x <= (SELECT avg(CAST({c} AS DOUBLE)) + {n_std} * stddev_samp(CAST({c} AS DOUBLE)) FROM p2))) / count(*), 3) AS percentage,
+       round(min(CASE WHEN x > (SELECT avg(CAST({c} AS DOUBLE)) + {n_std} * stddev_samp(CAST({c} AS DOUBLE)) FROM p2) THEN x END), 6) AS min
+FROM (SELECT CAST({c} AS DOUBLE) AS x FROM p2)""" for c in P2_NUMERIC)
+    return f"WITH {p2_ctes('all')}\n{parts}"
+
+
+def correlation_sql() -> str:
+    parts = []
+    for a in P2_NUMERIC:
+        for b in P2_NUMERIC:
+            parts.append(
+                f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(covar_samp(xa, xb) / "
+                f"nullif(stddev_samp(xa) * stddev_samp(xb), 0), 3) AS corr FROM "
+                f"(SELECT CAST({a} AS DOUBLE) AS xa, CAST({b} AS DOUBLE) AS xb FROM p2 "
+                f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL)")
+    return f"WITH {p2_ctes('all')}\n" + "\nUNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "base_features": base_features_sql(),
@@ -322,4 +392,11 @@ def oracle_sql() -> dict[str, str]:
         "eda_features": eda_features_sql(),
         "onehot_fit": onehot_fit_sql(),
         "onehot_encode": onehot_encode_sql(),
+        "profile_census": profile_census_sql(),
+        "profile_nulls": profile_nulls_sql(),
+        "profile_describe": profile_describe_sql(),
+        "profile_uniques": profile_uniques_sql(),
+        "profile_head": profile_head_sql(),
+        "outliers": outliers_sql(),
+        "correlation": correlation_sql(),
     }

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ledgerlens.operators.encoding import category_shares, fit_onehot
 from ledgerlens.operators.ledger import account_activity
 from ledgerlens.operators.neighbours import dormant_neighbours
+from ledgerlens.operators import distributions as D
 from ledgerlens.operators import profile as P
 from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features
 from ledgerlens.plans.features import eda_features, model_features
@@ -154,6 +155,53 @@ def correlation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.correlation(t, P.numeric_columns(t), 3)
 
 
+# The exploration notebook's column sets: 20 numeric columns of p2, and the
+# label cast to string with three profile columns as categories.
+EDA_NUMERIC = [
+    "start_balance", "n_transactions_sent", "n_transactions_received", "n_transactions",
+    "n_penalties", "n_bonuses", "n_partners_received", "n_partners_sent", "n_partners",
+    "days_before_first_trx", "days_from_registr", "days_past_last_trxs", "count_intensity",
+    "count_sent_intensity", "count_received_intensity", "is_stage_2", "stage_2_partners_share",
+    "n_partners_received_stage_2", "n_partners_sent_stage_2", "n_partners_stage_2",
+]
+EDA_CATEGORICAL = ["inactive", "account_type", "area_name", "business_type"]
+
+
+def eda_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p2 with the label as a category."""
+    t = profiled_table(spark, sf_dir)
+    return t.withColumn("inactive", F.col("inactive").cast("string"))
+
+
+def dist_categorical_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.category_histogram(eda_table(spark, sf_dir), EDA_CATEGORICAL)
+
+
+def dist_crosstab_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.crosstab_pairs(eda_table(spark, sf_dir), EDA_CATEGORICAL)
+
+
+def dist_density_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(D.density_curves(eda_table(spark, sf_dir), EDA_NUMERIC))
+
+
+def dist_box_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(D.box_stats(eda_table(spark, sf_dir), EDA_NUMERIC))
+
+
+def dist_hist2d_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.hist2d(eda_table(spark, sf_dir), EDA_NUMERIC)
+
+
+def dist_trend_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(D.trend_lines(eda_table(spark, sf_dir), EDA_NUMERIC))
+
+
+def dist_box_by_category_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(D.box_stats_by_category(eda_table(spark, sf_dir), EDA_CATEGORICAL,
+                                                 EDA_NUMERIC))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "base_features": base_features_query,
@@ -171,4 +219,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_head": profile_head_query,
         "outliers": outliers_query,
         "correlation": correlation_query,
+        "dist_categorical": dist_categorical_query,
+        "dist_crosstab": dist_crosstab_query,
+        "dist_density": dist_density_query,
+        "dist_box": dist_box_query,
+        "dist_hist2d": dist_hist2d_query,
+        "dist_trend": dist_trend_query,
+        "dist_box_by_category": dist_box_by_category_query,
     }

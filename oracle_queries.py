@@ -382,6 +382,126 @@ def correlation_sql() -> str:
     return f"WITH {p2_ctes('all')}\n" + "\nUNION ALL ".join(parts)
 
 
+EDA_NUMERIC = [
+    "start_balance", "n_transactions_sent", "n_transactions_received", "n_transactions",
+    "n_penalties", "n_bonuses", "n_partners_received", "n_partners_sent", "n_partners",
+    "days_before_first_trx", "days_from_registr", "days_past_last_trxs", "count_intensity",
+    "count_sent_intensity", "count_received_intensity", "is_stage_2", "stage_2_partners_share",
+    "n_partners_received_stage_2", "n_partners_sent_stage_2", "n_partners_stage_2",
+]
+EDA_CATEGORICAL = ["inactive", "account_type", "area_name", "business_type"]
+
+
+def _eda_ctes() -> str:
+    cats = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in EDA_CATEGORICAL)
+    nums = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in EDA_NUMERIC)
+    longs = "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS x FROM e WHERE {c} IS NOT NULL" for c in EDA_NUMERIC)
+    return f"""{p2_ctes('all')},
+e AS (SELECT {cats}, {nums} FROM p2),
+lx AS ({longs})"""
+
+
+def dist_categorical_sql() -> str:
+    parts = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM e "
+        f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in EDA_CATEGORICAL)
+    return f"WITH {_eda_ctes()}\n{parts}"
+
+
+def dist_crosstab_sql() -> str:
+    parts = "\nUNION ALL ".join(
+        f"SELECT '{a}' AS column_a, {a} AS value_a, '{b}' AS column_b, {b} AS value_b, "
+        f"count(*) AS n FROM e GROUP BY {a}, {b}"
+        for a in EDA_CATEGORICAL for b in EDA_CATEGORICAL if a != b)
+    return f"WITH {_eda_ctes()}\n{parts}"
+
+
+def dist_density_sql(points: int = 500) -> str:
+    return f"""WITH {_eda_ctes()},
+st AS (SELECT column_name, count(*) AS n, stddev_samp(x) AS sd, min(x) AS mn, max(x) AS mx
+       FROM lx GROUP BY column_name),
+st2 AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
+w AS (SELECT column_name, x, count(*) AS w FROM lx GROUP BY column_name, x),
+g AS (SELECT CAST(range AS INTEGER) AS i FROM range(0, {points})),
+k AS (SELECT w.column_name, g.i, st2.mn + g.i * (st2.mx - st2.mn) / {points} AS gx,
+             (st2.mn + g.i * (st2.mx - st2.mn) / {points} - w.x) / st2.h AS z, w.w,
+             st2.n * st2.h * sqrt(2 * pi()) AS norm
+      FROM w JOIN st2 ON w.column_name = st2.column_name CROSS JOIN g)
+SELECT column_name, i, round(max(gx), 6) AS x,
+       round(sum(w * exp(-0.5 * z * z)) / nullif(max(norm), 0), 6) AS density
+FROM k GROUP BY column_name, i"""
+
+
+def _box_sql(group_sel: str, group_by: str, source: str) -> str:
+    return f"""q AS (SELECT {group_sel} column_name, count(*) AS n, min(x) AS mn, max(x) AS mx,
+              quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+              quantile_cont(x, 0.75) AS q3 FROM {source} GROUP BY {group_by} column_name),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS uf FROM q)
+SELECT {group_sel.replace('g.', 'f.') if group_sel else ''} f.column_name, f.n, round(f.mn, 6) AS min,
+       round(f.q1, 6) AS q1, round(f.median, 6) AS median, round(f.q3, 6) AS q3,
+       round(f.mx, 6) AS max, round(f.iqr, 6) AS iqr, round(f.lf, 6) AS lower_fence,
+       round(f.uf, 6) AS upper_fence,
+       round(min(CASE WHEN s.x >= f.lf THEN s.x END), 6) AS whisker_low,
+       round(max(CASE WHEN s.x <= f.uf THEN s.x END), 6) AS whisker_high,
+       CAST(count_if(s.x < f.lf OR s.x > f.uf) AS BIGINT) AS n_outliers
+FROM f JOIN {source} s ON s.column_name = f.column_name {{join_extra}}
+GROUP BY ALL"""
+
+
+def dist_box_sql() -> str:
+    body = _box_sql("", "", "lx").replace("{join_extra}", "")
+    return f"WITH {_eda_ctes()},\n{body}"
+
+
+def dist_box_by_category_sql() -> str:
+    lc = "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS category_column, {c} AS category_value, '{m}' AS column_name, {m} AS x "
+        f"FROM e WHERE {m} IS NOT NULL"
+        for c in EDA_CATEGORICAL for m in EDA_NUMERIC)
+    body = _box_sql("category_column, category_value,", "category_column, category_value,", "lc")
+    body = body.replace("SELECT  f.column_name", "SELECT f.column_name")
+    body = body.replace("{join_extra}", "AND s.category_column = f.category_column "
+                                        "AND s.category_value IS NOT DISTINCT FROM f.category_value")
+    body = body.replace("SELECT category_column, category_value, f.column_name",
+                        "SELECT f.category_column, f.category_value, f.column_name")
+    return f"WITH {_eda_ctes()},\nlc AS ({lc}),\n{body}"
+
+
+def _pairs(cols):
+    return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+
+
+def dist_hist2d_sql(bins: int = 20) -> str:
+    bounds = ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in EDA_NUMERIC)
+    bincols = ", ".join(
+        f"CAST(least(coalesce(floor(({c} - mn_{c}) / nullif(mx_{c} - mn_{c}, 0) * {bins}), 0), "
+        f"{bins - 1}) AS INTEGER) AS b_{c}" for c in EDA_NUMERIC)
+    parts = []
+    for a, b in _pairs(EDA_NUMERIC):
+        for x, y in ((a, b), (b, a)):
+            parts.append(f"SELECT '{x}' AS column_a, '{y}' AS column_b, b_{x} AS bin_a, "
+                         f"b_{y} AS bin_b, count(*) AS n FROM eb WHERE {x} IS NOT NULL "
+                         f"AND {y} IS NOT NULL GROUP BY b_{x}, b_{y}")
+    return f"""WITH {_eda_ctes()},
+bd AS (SELECT {bounds} FROM e),
+eb AS (SELECT e.*, {bincols} FROM e, bd)
+""" + "\nUNION ALL ".join(parts)
+
+
+def dist_trend_sql() -> str:
+    parts = []
+    for a in EDA_NUMERIC:
+        for b in EDA_NUMERIC:
+            if a == b:
+                continue
+            parts.append(f"SELECT '{a}' AS column_x, '{b}' AS column_y, regr_count({b}, {a}) AS n, "
+                         f"round(regr_slope({b}, {a}), 6) AS slope, "
+                         f"round(regr_intercept({b}, {a}), 6) AS intercept, "
+                         f"round(regr_r2({b}, {a}), 6) AS r2 FROM e")
+    return f"WITH {_eda_ctes()}\n" + "\nUNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "base_features": base_features_sql(),
@@ -399,4 +519,11 @@ def oracle_sql() -> dict[str, str]:
         "profile_head": profile_head_sql(),
         "outliers": outliers_sql(),
         "correlation": correlation_sql(),
+        "dist_categorical": dist_categorical_sql(),
+        "dist_crosstab": dist_crosstab_sql(),
+        "dist_density": dist_density_sql(),
+        "dist_box": dist_box_sql(),
+        "dist_hist2d": dist_hist2d_sql(),
+        "dist_trend": dist_trend_sql(),
+        "dist_box_by_category": dist_box_by_category_sql(),
     }

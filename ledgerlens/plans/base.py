@@ -60,7 +60,11 @@ STAT_COLUMNS = ["max_registration_time", "min_last_trx_date", "max_first_trx_dat
 
 
 def population_stats(joined: DataFrame) -> DataFrame:
-    """The fitted global values of a population (one row)."""
+    """The fitted global values of a population (one row).
+
+    Works on the raw join and on ``p2`` alike: the filled dates only take
+    the population's own earliest last / latest first date, so the minima
+    and maxima are unchanged."""
     return joined.agg(
         F.max("registration_time").alias("max_registration_time"),
         F.min("last_trx_date").alias("min_last_trx_date"),
@@ -75,13 +79,15 @@ def _scalar(stats: DataFrame, name: str):
 
 def base_features(labels: DataFrame, users: DataFrame, ledger: DataFrame,
                   stats: DataFrame | None = None, stage_2_days: int = STAGE_2_DAYS,
-                  keep_amounts: bool = False, materialize_stages: bool = True) -> DataFrame:
+                  keep_amounts: bool = False, materialize_stages: bool = True,
+                  edges: DataFrame | None = None) -> DataFrame:
     """Build ``p2``: one row per labelled id.
 
     ``labels`` has ``id`` and optionally ``inactive``; ``users`` follows the
     USERS schema; ``ledger`` the TRANSACTIONS schema.  With ``keep_amounts``
     the four raw amount sums ride along for the model-feature stage, so it
-    needs no second ledger scan.
+    needs no second ledger scan.  ``edges`` (from ``edge_table``) lets
+    several populations share one written pair table.
 
     Stages: the ledger is scanned and shuffled once into the distinct-pair
     table, which is written to the checkpoint folder because two passes read
@@ -90,9 +96,10 @@ def base_features(labels: DataFrame, users: DataFrame, ledger: DataFrame,
     it, and without the cut each would re-run (and, being column-pruned
     differently, not share) the ledger aggregation.
     """
-    edges = edge_table(ledger)
-    if materialize_stages:
-        edges = materialize(edges)
+    if edges is None:
+        edges = edge_table(ledger)
+        if materialize_stages:
+            edges = materialize(edges)
     sides = account_sides(edges)
     activity = activity_from_sides(sides)
     user_cols = [c for c in users.columns if c != "id"]

@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 from ledgerlens.operators.encoding import category_shares, fit_onehot
 from ledgerlens.operators.ledger import account_activity
 from ledgerlens.operators.neighbours import dormant_neighbours
+from ledgerlens.ml import models as M
 from ledgerlens.operators import distributions as D
 from ledgerlens.operators import profile as P
 from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features
 from ledgerlens.plans.features import eda_features, model_features
+from ledgerlens.plans.scoring import rank_inactive
 from ledgerlens.session import materialize
 from ledgerlens.sources import standin as S
 from ledgerlens.sources.schema import ONEHOT_COLUMNS
@@ -202,6 +204,76 @@ def dist_box_by_category_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  EDA_NUMERIC))
 
 
+def _train_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assembled training table (train population, refitted features)."""
+    p2 = p2_stage(spark, sf_dir, "train")
+    p3 = model_features(p2)
+    feats = M.feature_columns(p3)
+    return materialize(M.spread(M.assemble(
+        p3.withColumn("inactive", F.col("inactive").cast("double")), feats)))
+
+
+def forest_rank_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M3 + K1 + P19: the 500 test accounts most likely inactive."""
+    run = rank_inactive(S.account_labels(spark, sf_dir, "train"),
+                        S.population_ids(spark, sf_dir, "test"), S.users(spark, sf_dir),
+                        S.ledger(spark, sf_dir))
+    return run.top
+
+
+def forest_importances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: classifier forest fitted on the training population; the fitted
+    model's feature importances."""
+    p2 = p2_stage(spark, sf_dir, "train")
+    p3 = model_features(p2)
+    feats = M.feature_columns(p3)
+    train = materialize(M.spread(M.assemble(p3, feats)))
+    model = M.forest_classifier().fit(train)
+    imp = model.featureImportances.toArray().tolist()
+    return spark.createDataFrame(list(zip(feats, [float(v) for v in imp])),
+                                 "feature string, importance double")
+
+
+def model_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 + M5 + M6: 3-fold cross-validated accuracy of sampled points of
+    the elastic-net logistic regression space."""
+    data = _train_vectors(spark, sf_dir)
+    res = M.cv_search(data, "logistic_net", n_points=4, folds=3)
+    return M.search_table(spark, res, "logistic_net")
+
+
+# One point per family, inside the search ranges.
+FAMILY_POINTS = {
+    "logistic": {"C": 1.0},
+    "svm": {"C": 1.0},
+    "gbt": {"subsample": 1.0, "max_depth": 4, "min_child_weight": 2, "learning_rate": 0.1,
+            "n_estimators": 25},
+    "mlp": {"learning_rate_init": 0.03, "max_iter": 200, "hidden_layer_sizes": 100},
+}
+
+
+def model_accuracy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5-M9: 3-fold cross-validated accuracy of one point per family."""
+    data = _train_vectors(spark, sf_dir)
+    rows = []
+    for fam, point in FAMILY_POINTS.items():
+        res = M.cv_search(data, fam, folds=3, points=[point])
+        rows.append((fam, str(sorted(res.best_params.items())), res.best_score))
+    return spark.createDataFrame(rows, "family string, params string, accuracy double")
+
+
+def pca_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explained variance of 3 principal components of the
+    non-categorical training features."""
+    p2 = p2_stage(spark, sf_dir, "train")
+    p3 = model_features(p2, with_dummies=False)
+    feats = [c for c in M.feature_columns(p3) if c != "is_stage_2"]
+    data = M.assemble(p3, feats)
+    _, ratios = M.principal_components(data, 3)
+    return spark.createDataFrame([(i + 1, r) for i, r in enumerate(ratios)],
+                                 "component int, explained_variance double")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "base_features": base_features_query,
@@ -226,4 +298,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dist_hist2d": dist_hist2d_query,
         "dist_trend": dist_trend_query,
         "dist_box_by_category": dist_box_by_category_query,
+        "forest_rank_top500": forest_rank_query,
+        "forest_importances": forest_importances_query,
+        "model_search": model_search_query,
+        "model_accuracy": model_accuracy_query,
+        "pca_variance": pca_query,
     }

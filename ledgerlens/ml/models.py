@@ -85,12 +85,20 @@ def size_partitions(df: DataFrame, rows_per_partition: int = 100_000) -> DataFra
     return df.coalesce(n) if have > n else df.repartition(n)
 
 
+# Execution settings for deep trees: keep each row's node id per tree
+# between levels (instead of re-walking every tree from the root on every
+# pass), checkpointed to the reliable folder every 10 levels, and let one
+# pass split a larger group of nodes.  They do not change the model.
+TREE_EXECUTION = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
+
+
 def forest_params(grid: dict) -> dict:
     """Translate the forest grid to Spark ML parameters.
 
     ``min_samples_split`` has no Spark counterpart (splits are also bounded
     by ``minInstancesPerNode`` on each child), so it is not enforced."""
     return {
+        **TREE_EXECUTION,
         "numTrees": int(grid["n_estimators"]),
         "maxDepth": min(int(grid["max_depth"]), _MAX_TREE_DEPTH),
         "featureSubsetStrategy": str(int(grid["max_features"])),
@@ -132,7 +140,7 @@ def boosted_trees(max_depth: int = 5, learning_rate: float = 0.1, n_estimators:
     """M8: gradient-boosted trees."""
     return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxDepth=min(max_depth, _MAX_TREE_DEPTH),
                          stepSize=learning_rate, maxIter=n_estimators, subsamplingRate=subsample,
-                         minInstancesPerNode=min_child_weight, seed=seed)
+                         minInstancesPerNode=min_child_weight, seed=seed, **TREE_EXECUTION)
 
 
 def neural_net(n_features: int, hidden: int = 100, max_iter: int = 200,

@@ -129,10 +129,17 @@ def box_stats_by_category(df: DataFrame, cat_cols: list[str], num_cols: list[str
     return box_stats(long, num_cols, ["category_column", "category_value"])
 
 
-def _pair_rows(df: DataFrame, cols: list[str], extra: dict[str, object] | None = None) -> DataFrame:
-    """One row per (input row, unordered pair) with both values present."""
+def pair_rows(df: DataFrame, cols: list[str], extra: dict[str, object] | None = None,
+              with_diagonal: bool = False) -> DataFrame:
+    """One row per (input row, unordered pair) with both values present:
+    ``(column_a, column_b, xa, xb[, bin_a, bin_b])``.  Pairwise statistics
+    then aggregate by ``(column_a, column_b)``: a handful of aggregate
+    functions inside whole-stage codegen instead of one aggregate with an
+    expression per pair."""
+    pairs = ([(a, b) for i, a in enumerate(cols) for b in cols[i:]] if with_diagonal
+             else _unordered_pairs(cols))
     structs = []
-    for a, b in _unordered_pairs(cols):
+    for a, b in pairs:
         fields = [F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
                   F.col(a).cast("double").alias("xa"), F.col(b).cast("double").alias("xb")]
         if extra:
@@ -156,7 +163,7 @@ def hist2d(df: DataFrame, cols: list[str], bins: int = HIST2D_BINS) -> DataFrame
         binned.append(F.least(F.coalesce(pos, F.lit(0)), F.lit(bins - 1))
                       .cast("int").alias(f"_bin_{c}"))
     wide = df.select(*cols, *binned)
-    rows = _pair_rows(wide, cols, {c: f"_bin_{c}" for c in cols})
+    rows = pair_rows(wide, cols, {c: f"_bin_{c}" for c in cols})
     counts = rows.groupBy("column_a", "column_b", "bin_a", "bin_b").agg(
         F.count(F.lit(1)).alias("n"))
     mirrored = counts.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
@@ -168,7 +175,7 @@ def trend_lines(df: DataFrame, cols: list[str]) -> DataFrame:
     """Ordinary least squares of ``column_y`` on ``column_x`` for every
     ordered pair: ``(column_x, column_y, n, slope, intercept, r2)``,
     pairwise-complete rows; a constant x gives NULL slope."""
-    rows = _pair_rows(df, cols)
+    rows = pair_rows(df, cols)
     xa, xb = F.col("xa"), F.col("xb")
     agg = rows.groupBy("column_a", "column_b").agg(
         F.count(F.lit(1)).alias("n"),

@@ -121,31 +121,19 @@ def correlation(df: DataFrame, cols: list[str] | None = None, digits: int | None
     """Pearson correlation for every ordered pair (diagonal included),
     pairwise-complete, ``(column_a, column_b, corr)``.
 
-    One aggregate computes, for each unordered pair, the sample covariance
-    and the two sample deviations over the rows where both are present;
-    a constant column gives NULL instead of a division error.
+    Per unordered pair (rows where both are present): sample covariance
+    over the product of the two sample deviations; a constant column gives
+    NULL instead of a division error.
     """
+    from ledgerlens.operators.distributions import pair_rows
+
     cols = cols or numeric_columns(df)
-    d = {c: F.col(c).cast("double") for c in cols}
-    aggs = []
-    pairs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = d[a].isNotNull() & d[b].isNotNull()
-            xa, xb = F.when(both, d[a]), F.when(both, d[b])
-            k = f"{i}_{cols.index(b)}"
-            aggs += [F.covar_samp(xa, xb).alias(f"cv_{k}"), F.stddev_samp(xa).alias(f"sa_{k}"),
-                     F.stddev_samp(xb).alias(f"sb_{k}")]
-            pairs.append((a, b, k))
-    row = df.agg(*aggs)
-    structs = []
-    for a, b, k in pairs:
-        r = F.try_divide(F.col(f"cv_{k}"), F.col(f"sa_{k}") * F.col(f"sb_{k}"))
-        if digits is not None:
-            r = F.round(r, digits)
-        structs.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                r.alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"),
-                                    r.alias("corr")))
-    return row.select(F.inline(F.array(*structs)))
+    rows = pair_rows(df, cols, with_diagonal=True)
+    r = F.try_divide(F.covar_samp("xa", "xb"), F.stddev_samp("xa") * F.stddev_samp("xb"))
+    if digits is not None:
+        r = F.round(r, digits)
+    one = rows.groupBy("column_a", "column_b").agg(r.alias("corr"))
+    mirrored = (one.where(F.col("column_a") != F.col("column_b"))
+                .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
+                        "corr"))
+    return one.unionByName(mirrored)

@@ -9,7 +9,9 @@ on ``partner``, then counted per account.  The pairs are already distinct, so
 the count is a distinct count without ``countDistinct``.  The flagged side is
 one row per account; the planner broadcasts it only if its measured size is
 under the broadcast threshold, otherwise both sides shuffle on ``partner``
-and AQE splits a skewed (hub) partner partition.
+and AQE splits a skewed (hub) partner partition.  The system account, the
+hottest partner of all (every bonus and penalty), is never a population
+member and is removed from both sides before the shuffle.
 """
 
 from __future__ import annotations
@@ -18,13 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.ledger import account_sides, edge_table
+from ledgerlens.sources.schema import SYSTEM_ID
 
 
 def dormant_partner_counts(sides: DataFrame, flagged_ids: DataFrame) -> DataFrame:
     """``(id, n_partners_received_stage_2, n_partners_sent_stage_2)``, NULL
     where the account has no flagged partner on that side."""
-    flagged = flagged_ids.select(F.col("id").alias("partner"))
-    hits = sides.select("account", "partner", "is_sent").join(flagged, "partner", "left_semi")
+    flagged = (flagged_ids.select(F.col("id").alias("partner"))
+               .where(F.col("partner") != SYSTEM_ID))
+    hits = (sides.select("account", "partner", "is_sent")
+            .where(F.col("partner") != SYSTEM_ID)
+            .join(flagged, "partner", "left_semi"))
     one = F.lit(1).cast("bigint")
     return hits.groupBy(F.col("account").alias("id")).agg(
         F.sum(F.when(~F.col("is_sent"), one)).alias("n_partners_received_stage_2"),

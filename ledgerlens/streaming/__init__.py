@@ -1,0 +1,5 @@
+"""Structured Streaming forms of the ledger operators."""
+
+from ledgerlens.streaming.ledger import edge_stream, refresh_edges
+
+__all__ = ["edge_stream", "refresh_edges"]

@@ -16,6 +16,9 @@ distributed range partitioning:
 4. keep the rows whose global rank is ``floor((n-1)p)`` or ``ceil((n-1)p)``
    and interpolate.
 
+The sorted, indexed table is written once to the checkpoint folder, so the
+input is range-shuffled exactly once.
+
 Ties do not matter (equal keys have equal values), so the result is
 deterministic even if a partition is recomputed.
 """
@@ -27,6 +30,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import materialize
+
 _LOW_BITS = 33
 
 
@@ -52,37 +57,41 @@ def exact_quantiles(df: DataFrame, value_cols: list[str], probs: list[float],
     ordered = (long.repartitionByRange(parts, *keys, "x")
                .sortWithinPartitions(*keys, "x"))
     pid = F.spark_partition_id().cast("long")
-    indexed = ordered.select(
+    # One range shuffle + sort, written once: every later branch (counts,
+    # rank lookup) reads this table instead of re-sorting the input, and the
+    # positions stay exactly those that were counted.
+    indexed = materialize(ordered.select(
         *keys, "x", pid.alias("pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid, _LOW_BITS)).alias("pos"))
+        (F.monotonically_increasing_id() - F.shiftleft(pid, _LOW_BITS)).alias("pos")))
 
     per_part = indexed.groupBy("pid", *keys).agg(
         F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"))
     w = Window.partitionBy(*keys).orderBy("pid")
-    offsets = per_part.select(
+    offsets = materialize(per_part.select(
         "pid", *keys, "first_pos",
         (F.sum("cnt").over(w) - F.col("cnt")).alias("offset"),
-        F.sum("cnt").over(Window.partitionBy(*keys)).alias("n"))
-
-    ranked = indexed.join(offsets, ["pid", *keys]).select(
-        *keys, "x", "n", (F.col("offset") + F.col("pos") - F.col("first_pos")).alias("rank"))
+        F.sum("cnt").over(Window.partitionBy(*keys)).alias("n")))
 
-    # wanted ranks per (group, column, p)
+    # wanted ranks per (group, column, p): floor and ceil of (n - 1) p
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
     sizes = offsets.select(*keys, "n").distinct()
     h = (F.col("n") - 1).cast("double") * F.col("p")
     targets = (sizes.select(*keys, "n", F.explode(p_arr).alias("p"))
                .select(*keys, "p", F.floor(h).cast("long").alias("lo"),
                        F.ceil(h).cast("long").alias("hi"), (h - F.floor(h)).alias("frac")))
-    wanted = (targets.select(*keys, F.explode(F.array("lo", "hi")).alias("rank"))
-              .distinct())
-    picked = ranked.join(wanted, [*keys, "rank"], "left_semi").select(*keys, "rank", "x")
-
-    lo = picked.select(*keys, F.col("rank").alias("lo"), F.col("x").alias("x_lo"))
-    hi = picked.select(*keys, F.col("rank").alias("hi"), F.col("x").alias("x_hi"))
-    return (targets.join(lo, [*keys, "lo"]).join(hi, [*keys, "hi"])
-            .select(*keys, "p",
-                    (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value")))
+    ends = targets.select(*keys, "p", "frac", F.inline(F.array(
+        F.struct(F.col("lo").alias("rank"), F.lit(True).alias("is_lo")),
+        F.struct(F.col("hi").alias("rank"), F.lit(False).alias("is_lo")))))
+
+    ranked = indexed.join(offsets, ["pid", *keys]).select(
+        *keys, "x", (F.col("offset") + F.col("pos") - F.col("first_pos")).alias("rank"))
+    hit = ranked.join(ends, [*keys, "rank"])
+    both = hit.groupBy(*keys, "p").agg(
+        F.max(F.when(F.col("is_lo"), F.col("x"))).alias("x_lo"),
+        F.max(F.when(~F.col("is_lo"), F.col("x"))).alias("x_hi"),
+        F.max("frac").alias("frac"))
+    return both.select(*keys, "p",
+                       (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
 
 
 def quantile_columns(q: DataFrame, probs: list[float], names: list[str],

@@ -46,9 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is read
-    from the session.  Only when neither that setting nor an explicit
-    checkpoint dir exists (a bare local test session) is a scratch folder
-    created.
+    from the session.  Only a local-mode session without that setting (a
+    bare test session) gets a scratch folder; on a cluster the setting is
+    required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +56,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared, reliable folder for "
+                "lineage cuts (a machine-local folder would be lost with its executor)")
         configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -14,10 +14,11 @@ from ledgerlens.session import checkpoint_dir
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV scan with a declared schema."""
+    """Header CSV scan with a declared schema.  No explicit timestamp
+    pattern: Spark's ISO-8601 fallback accepts both ``T`` and space
+    separators and optional fractions."""
     return (spark.read.schema(schema)
             .option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
             .option("mode", "FAILFAST")
             .csv(path))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.operators.encoding import category_shares, fit_onehot
+from ledgerlens.operators.encoding import category_shares, fit_onehot, full_dummies
 from ledgerlens.operators.ledger import account_activity
 from ledgerlens.operators.neighbours import dormant_neighbours
 from ledgerlens.ml import models as M
@@ -204,6 +204,14 @@ def dist_box_by_category_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  EDA_NUMERIC))
 
 
+def dummy_correlation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + A17: the exploration features with every category of the two
+    kept string columns as a prefixed dummy, then the correlation matrix."""
+    e = eda_features(p2_stage(spark, sf_dir)).drop("id")
+    wide = full_dummies(e, ["area_type", "gender"])
+    return P.correlation(wide, P.numeric_columns(wide), 3)
+
+
 def _train_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assembled training table (train population, refitted features)."""
     p2 = p2_stage(spark, sf_dir, "train")
@@ -298,6 +306,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dist_hist2d": dist_hist2d_query,
         "dist_trend": dist_trend_query,
         "dist_box_by_category": dist_box_by_category_query,
+        "dummy_correlation": dummy_correlation_query,
         "forest_rank_top500": forest_rank_query,
         "forest_importances": forest_importances_query,
         "model_search": model_search_query,

@@ -35,6 +35,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove the files of checkpointed stages once they are unreachable
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

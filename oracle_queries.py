@@ -502,6 +502,25 @@ def dist_trend_sql() -> str:
     return f"WITH {_eda_ctes()}\n" + "\nUNION ALL ".join(parts)
 
 
+def dummy_correlation_sql() -> str:
+    numeric = ["inactive"] + KEPT_BASE + [c + "_log" for c in EDA_LOGS] + [r[0] for r in LOG_RATIOS]
+    nums = "\n  UNION ALL ".join(
+        f"SELECT id, '{c}' AS var, CAST({c} AS DOUBLE) AS x FROM lg" for c in numeric)
+    return f"""WITH {p2_ctes('all')},
+{_logs_ctes()},
+vals AS (SELECT DISTINCT 'area_type' AS c, area_type AS v FROM lg
+         UNION SELECT DISTINCT 'gender' AS c, gender AS v FROM lg),
+l AS ({nums}
+  UNION ALL SELECT lg.id, vals.c || '_' || vals.v AS var,
+         CASE WHEN (vals.c = 'area_type' AND lg.area_type = vals.v)
+                OR (vals.c = 'gender' AND lg.gender = vals.v) THEN 1.0 ELSE 0.0 END AS x
+  FROM lg CROSS JOIN vals)
+SELECT a.var AS column_a, b.var AS column_b,
+       round(covar_samp(a.x, b.x) / nullif(stddev_samp(a.x) * stddev_samp(b.x), 0), 3) AS corr
+FROM l a JOIN l b ON a.id = b.id
+GROUP BY a.var, b.var"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "base_features": base_features_sql(),
@@ -526,4 +545,5 @@ def oracle_sql() -> dict[str, str]:
         "dist_hist2d": dist_hist2d_sql(),
         "dist_trend": dist_trend_sql(),
         "dist_box_by_category": dist_box_by_category_sql(),
+        "dummy_correlation": dummy_correlation_sql(),
     }

@@ -21,9 +21,13 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL).toPandas()
+    df = E.queries()[name](spark, SF_SMALL)
+    sdf = df.toPandas()
     ddf = con.execute(ORACLE[name]).fetchdf()
     assert digest(sdf) == digest(ddf)
+    # no cross join anywhere in the executed plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry_smoke(spark):

@@ -183,20 +183,22 @@ def cv_search(data: DataFrame, family: str, n_points: int = 20, folds: int = 3,
               points: list[dict] | None = None) -> SearchResult:
     """M4: k-fold cross-validated accuracy of sampled points of a model
     family's space (or of the given ``points``); best mean accuracy and its
-    parameters."""
+    parameters.  All points share one ``CrossValidator`` as parameter maps,
+    so up to ``parallelism`` of them are fitted concurrently per fold."""
     if family != "forest":
         data = size_partitions(data).cache()
     n_rows = data.count()
     points = points or sample_points(SEARCH_SPACES[family], n_points, seed)
     n_features = len(data.select(FEATURES).first()[0])
     estimators = [_build(family, p, n_rows, n_features, seed) for p in points]
-    scores = []
+    base = estimators[0]
+    maps = [{base.getParam(prm.name): val for prm, val in est.extractParamMap().items()
+             if est.isSet(prm)} for est in estimators]
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-    for p, est in zip(points, estimators):
-        cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(),
-                            evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism)
-        model = cv.fit(data)
-        scores.append((p, float(model.avgMetrics[0])))
+    cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=evaluator,
+                        numFolds=folds, seed=seed, parallelism=max(1, min(parallelism, len(maps))))
+    model = cv.fit(data)
+    scores = [(p, float(m)) for p, m in zip(points, model.avgMetrics)]
     best = max(scores, key=lambda t: t[1])
     return SearchResult(best[1], best[0], scores)
 

@@ -68,3 +68,16 @@ def test_onehot_later_column_wins(spark):
     assert [d[0] for d in enc.dummies] == ["z"]
     out = enc.transform(df).agg(F.sum("z")).first()[0]
     assert out == 5
+
+
+def test_density_far_clusters_exact(spark):
+    """Most grid points lie far beyond the kernel reach of every value."""
+    xs = [0.0, 0.1, 0.2, 0.2, 1000.0, 1000.1]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = density_curves(df, ["x"], points=500).orderBy("i").toPandas()
+    a = np.array(xs)
+    h = a.std(ddof=1) * len(a) ** -0.2
+    grid = a.min() + np.arange(500) * (a.max() - a.min()) / 500
+    want = np.exp(-0.5 * ((grid[:, None] - a[None, :]) / h) ** 2).sum(1) / (len(a) * h * math.sqrt(2 * math.pi))
+    assert len(got) == 500
+    assert np.allclose(got.density.to_numpy(), want, rtol=1e-12, atol=0)

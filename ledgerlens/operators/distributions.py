@@ -14,7 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.encoding import category_counts
-from ledgerlens.operators.quantiles import exact_quantiles, quantile_columns, unpivot_numeric
+from ledgerlens.operators.quantiles import (
+    approx_quantiles,
+    exact_quantiles,
+    quantile_columns,
+    unpivot_numeric,
+)
 
 # Density grid size, box whisker factor, Scott's rule exponent.
 DENSITY_POINTS = 500
@@ -110,13 +115,16 @@ def density_curves(df: DataFrame, cols: list[str], points: int = DENSITY_POINTS,
 BOX_PROBS = [0.25, 0.5, 0.75]
 
 
-def box_stats(df: DataFrame, cols: list[str], group_cols: list[str] = ()) -> DataFrame:
-    """D4 (and D7 with ``group_cols``): quartiles (linear), IQR, fences at
-    1.5 IQR, whiskers (most extreme values inside the fences), outlier count,
-    min, max and count, per column (per group)."""
+def box_stats(df: DataFrame, cols: list[str], group_cols: list[str] = (),
+              approx: bool = False) -> DataFrame:
+    """D4 (and D7 with ``group_cols``): quartiles (linear; a quantile sketch
+    with ``approx=True``), IQR, fences at 1.5 IQR, whiskers (most extreme
+    values inside the fences), outlier count, min, max and count, per column
+    (per group)."""
     group_cols = list(group_cols)
     keys = [*group_cols, "column_name"]
-    q = quantile_columns(exact_quantiles(df, cols, BOX_PROBS, group_cols), BOX_PROBS,
+    quantiles = approx_quantiles if approx else exact_quantiles
+    q = quantile_columns(quantiles(df, cols, BOX_PROBS, group_cols), BOX_PROBS,
                          ["q1", "median", "q3"], group_cols)
     iqr = F.col("q3") - F.col("q1")
     q = q.select(*keys, "q1", "median", "q3", iqr.alias("iqr"),

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.operators.quantiles import exact_quantiles, quantile_columns, unpivot_numeric
+from ledgerlens.operators.quantiles import (
+    approx_quantiles,
+    exact_quantiles,
+    quantile_columns,
+    unpivot_numeric,
+)
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -60,9 +65,10 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
     """``(column_name, count, mean, std, min, q25, q50, q75, max)``;
-    sample standard deviation, exact linear-interpolation quartiles."""
+    sample standard deviation, exact linear-interpolation quartiles (a
+    quantile sketch with ``approx=True``)."""
     cols = cols or numeric_columns(df)
     long = unpivot_numeric(df, cols)
     moments = long.groupBy("column_name").agg(
@@ -72,7 +78,8 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
-    q = quantile_columns(exact_quantiles(df, cols, QUARTILES), QUARTILES, ["q25", "q50", "q75"])
+    quantiles = approx_quantiles if approx else exact_quantiles
+    q = quantile_columns(quantiles(df, cols, QUARTILES), QUARTILES, ["q25", "q50", "q75"])
     return moments.join(q, "column_name", "left").select(
         "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 

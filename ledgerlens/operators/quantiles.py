@@ -94,6 +94,23 @@ def exact_quantiles(df: DataFrame, value_cols: list[str], probs: list[float],
                        (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
 
 
+def approx_quantiles(df: DataFrame, value_cols: list[str], probs: list[float],
+                     group_cols: list[str] = (), accuracy: int = 10_000) -> DataFrame:
+    """Same output as ``exact_quantiles`` from a mergeable quantile sketch
+    per (group, column): bounded memory per group, one shuffle of sketches,
+    rank error about 1/``accuracy``.  For when exact order statistics are
+    not needed."""
+    _check(probs)
+    group_cols = list(group_cols)
+    keys = [*group_cols, "column_name"]
+    long = unpivot_numeric(df, value_cols, group_cols)
+    arr = F.percentile_approx("x", [float(p) for p in probs], accuracy)
+    return (long.groupBy(*keys).agg(arr.alias("qs"))
+            .select(*keys, F.posexplode("qs").alias("k", "value"))
+            .select(*keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]),
+                                        F.col("k") + 1).alias("p"), "value"))
+
+
 def quantile_columns(q: DataFrame, probs: list[float], names: list[str],
                      group_cols: list[str] = ()) -> DataFrame:
     """Pivot the long quantile table to one column per probability."""

@@ -81,3 +81,16 @@ def test_density_far_clusters_exact(spark):
     want = np.exp(-0.5 * ((grid[:, None] - a[None, :]) / h) ** 2).sum(1) / (len(a) * h * math.sqrt(2 * math.pi))
     assert len(got) == 500
     assert np.allclose(got.density.to_numpy(), want, rtol=1e-12, atol=0)
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from ledgerlens.operators.quantiles import approx_quantiles
+
+    rng = np.random.default_rng(5)
+    vals = rng.exponential(size=5000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "a double")
+    q = approx_quantiles(df, ["a"], [0.25, 0.5, 0.75]).orderBy("p").toPandas()
+    assert q.p.tolist() == [0.25, 0.5, 0.75]
+    for p, v in zip(q.p, q.value):
+        rank = (vals <= v).mean()
+        assert abs(rank - p) < 0.01

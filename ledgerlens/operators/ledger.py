@@ -52,10 +52,15 @@ def edge_table(ledger: DataFrame) -> DataFrame:
                  F.max("date").alias("last_date")))
 
 
-def account_sides(edges: DataFrame) -> DataFrame:
+EDGE_PAYLOAD = ("n", "amount", "first_date", "last_date")
+
+
+def account_sides(edges: DataFrame, payload: tuple[str, ...] = EDGE_PAYLOAD) -> DataFrame:
     """Each distinct pair seen from both ends:
-    ``(account, partner, is_sent, n, amount, first_date, last_date)``."""
-    payload = ["n", "amount", "first_date", "last_date"]
+    ``(account, partner, is_sent, *payload)``.  Name only the payload a pass
+    needs: column pruning does not reach through the generator, so unused
+    payload would still be read from the pair table."""
+    payload = list(payload)
     sent = F.struct(F.col("source").alias("account"), F.col("target").alias("partner"),
                     F.lit(True).alias("is_sent"), *payload)
     recv = F.struct(F.col("target").alias("account"), F.col("source").alias("partner"),

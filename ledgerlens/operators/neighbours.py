@@ -43,4 +43,4 @@ def dormant_neighbours(ledger: DataFrame, flags: DataFrame, flag_col: str = "is_
     population: counts of flagged partners per account, 0-filled, with their
     total and share of all partners left to the caller."""
     flagged = flags.where(F.col(flag_col) == 1).select("id")
-    return dormant_partner_counts(account_sides(edge_table(ledger)), flagged)
+    return dormant_partner_counts(account_sides(edge_table(ledger), payload=()), flagged)

@@ -39,6 +39,7 @@ from ledgerlens.functions.expr import (
 from ledgerlens.operators.ledger import account_sides, activity_from_sides, edge_table
 from ledgerlens.operators.neighbours import dormant_partner_counts
 from ledgerlens.session import materialize
+from ledgerlens.sources.files import stage_handoff
 from ledgerlens.sources.schema import STRING_COLUMNS
 
 # Fixed value: days without a sent transaction after which an account is
@@ -90,16 +91,18 @@ def base_features(labels: DataFrame, users: DataFrame, ledger: DataFrame,
     several populations share one written pair table.
 
     Stages: the ledger is scanned and shuffled once into the distinct-pair
-    table, which is written to the checkpoint folder because two passes read
-    it (activity, then dormant partners).  The per-account join is written
-    too: the fitted statistics, the dormant flags and the output all read
-    it, and without the cut each would re-run (and, being column-pruned
-    differently, not share) the ledger aggregation.
+    table, written as a parquet table in the checkpoint folder because two
+    passes read it (activity, then dormant partners; the second reads only
+    ``source``/``target`` and prunes the rest).  The per-account join is
+    checkpointed too (keeping its hash partitioning on ``id``): the fitted
+    statistics, the dormant flags and the output all read it, and without
+    the cut each would re-run (and, being column-pruned differently, not
+    share) the ledger aggregation.
     """
     if edges is None:
         edges = edge_table(ledger)
         if materialize_stages:
-            edges = materialize(edges)
+            edges = stage_handoff(edges, "edges")
     sides = account_sides(edges)
     activity = activity_from_sides(sides)
     user_cols = [c for c in users.columns if c != "id"]
@@ -147,7 +150,7 @@ def base_features(labels: DataFrame, users: DataFrame, ledger: DataFrame,
     )
 
     dormant = derived.where(F.col("is_stage_2") == 1).select("id")
-    neighbours = dormant_partner_counts(sides, dormant)
+    neighbours = dormant_partner_counts(account_sides(edges, payload=()), dormant)
     with_nb = derived.join(neighbours, "id", "left")
 
     recv_s2 = fill0("n_partners_received_stage_2")

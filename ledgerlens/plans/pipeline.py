@@ -22,6 +22,7 @@ from ledgerlens.operators.ledger import edge_table
 from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features
 from ledgerlens.plans.features import model_features
 from ledgerlens.plans.scoring import rank_inactive
+from ledgerlens.sources.files import stage_handoff
 from ledgerlens.session import get_session, materialize
 from ledgerlens.sources.files import read_csv, write_csv
 from ledgerlens.sources.schema import LABELS, POPULATION, TRANSACTIONS, USERS
@@ -55,7 +56,7 @@ def prepare(spark: SparkSession, inputs: Inputs, out_dir: str) -> dict[str, str]
     population (each population refitted on itself, as the original
     preparation scripts do)."""
     out = out_dir.rstrip("/")
-    edges = materialize(edge_table(inputs.transactions))
+    edges = stage_handoff(edge_table(inputs.transactions), "edges")
     p2 = materialize(base_features(inputs.train, inputs.users, inputs.transactions,
                                    keep_amounts=True, edges=edges))
     write_csv(p2.drop(*AMOUNT_COLUMNS), f"{out}/data_p2")

@@ -26,6 +26,7 @@ from ledgerlens.ml.models import (
 from ledgerlens.operators.ledger import edge_table
 from ledgerlens.plans.base import base_features, population_stats
 from ledgerlens.plans.features import FittedFeatures, align_to, fit_model_features, model_features
+from ledgerlens.sources.files import stage_handoff
 from ledgerlens.session import materialize
 
 
@@ -61,7 +62,7 @@ def rank_inactive(train_labels: DataFrame, test_ids: DataFrame, users: DataFrame
     """Fit the regression forest on the training features and return the
     ``k`` test accounts with the highest predicted inactivity (``id``,
     best first; ties by id)."""
-    edges = materialize(edge_table(ledger))
+    edges = stage_handoff(edge_table(ledger), "edges")
     train_p2, p3, fitted = training_table(train_labels, users, ledger, edges)
     feats = feature_columns(p3)
     train = materialize(spread(assemble(

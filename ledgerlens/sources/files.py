@@ -7,6 +7,8 @@ with a header and without any index column.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -38,8 +40,6 @@ def stage_handoff(df: DataFrame, name: str) -> DataFrame:
     (survives executor loss, cuts lineage)."""
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
-    import uuid
-
     path = f"{base}/stages/{name}-{uuid.uuid4().hex}"
     write_parquet(df, path)
     return spark.read.parquet(path)

@@ -25,6 +25,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.session import spread  # noqa: F401  (re-exported for the plans)
+
 LABEL = "inactive"
 FEATURES = "features"
 
@@ -62,15 +64,6 @@ def assemble(df: DataFrame, feature_cols: list[str], keep: tuple[str, ...] = ("i
     return assembler.transform(df.select(*kept, *feature_cols)).select(*kept, FEATURES)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the training table over at least the cluster's default
-    parallelism: tree induction and gradient steps run one task per
-    partition, and a small table coalesced by AQE would train on one core."""
-    sc = df.sparkSession.sparkContext
-    n = min_partitions or sc.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def size_partitions(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
     """Partition an iteratively-optimised training table by its size: one
     partition per ``rows_per_partition`` rows, capped at the default

@@ -77,3 +77,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least the default parallelism when it has
+    fewer partitions (AQE coalesces small shuffles to a few partitions).
+    Used before steps whose per-row work is large (pair expansion, tree
+    induction); a no-op for inputs that are already widely partitioned."""
+    sc = df.sparkSession.sparkContext
+    n = min_partitions or sc.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

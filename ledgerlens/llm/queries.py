@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import html_text, line_dedup, quality, secret_scan, warc
+from ledgerlens.llm import html_text, line_dedup, pii, quality, secret_scan, warc
 from ledgerlens.llm.frames import sha256_hex, table
 
 
@@ -22,6 +22,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    count = lambda kind: F.size(F.filter("pii_base", lambda s: s["kind"] == kind)).cast("bigint")
+    return pii.find_pii(docs).select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        sha256_hex(joined_spans(F.col("pii_base"))).alias("base_sha256"),
+        joined_spans(F.col("pii")).alias("spans"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -51,4 +60,4 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op4_quality_rules, op6_line_dedup, op8_warc, op9_secret_scan, op10_html_text)}
+        op4_quality_rules, op5_pii, op6_line_dedup, op8_warc, op9_secret_scan, op10_html_text)}

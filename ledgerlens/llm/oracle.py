@@ -20,6 +20,37 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+JACCARD = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORDS}') AS w
+  FROM documents),
+pos AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM pos),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+          JOIN n nx ON nx.doc_id = a.doc_id JOIN n ny ON ny.doc_id = b.doc_id
+          GROUP BY a.doc_id, b.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 75 * (nx.n + ny.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents
+          UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.y) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.x = d.doc_id
+GROUP BY d.doc_id, n.n
+"""
+
+SUBSTRING_DEDUP = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM pos),
+hit AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS lo FROM win) WHERE lo < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM hit),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+left_ AS (SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.i) AS kept, count(*) AS n
+          FROM word LEFT JOIN gone USING (doc_id, i) WHERE gone.i IS NULL GROUP BY word.doc_id)
+SELECT w.doc_id, len(w.w) AS n_words, len(w.w) - coalesce(left_.n, 0) AS n_removed,
+       sha256(coalesce(left_.kept, '')) AS kept_sha256
+FROM w LEFT JOIN left_ ON left_.doc_id = w.doc_id
+"""
+
 WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 s AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
@@ -33,4 +64,4 @@ FROM s
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": LINE_DEDUP, "op8_warc": WARC}
+    return {"op1_ngram_jaccard": JACCARD, "op3_substring_dedup": SUBSTRING_DEDUP, "op6_line_dedup": LINE_DEDUP, "op8_warc": WARC}

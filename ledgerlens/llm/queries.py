@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import html_text, line_dedup, pii, quality, secret_scan, warc
+from ledgerlens.llm import html_text, jaccard, line_dedup, pii, quality, rlz, secret_scan, warc
 from ledgerlens.llm.frames import sha256_hex, table
 
 
@@ -15,6 +15,16 @@ def joined_spans(spans, kind="kind"):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s[kind], s["start"], s["end"])), ",")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.ngram_jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))[0]
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rlz.drop_repeated_passages(docs).select(
+        "doc_id", "n_words", "n_removed", sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score_quality(docs).select(
@@ -60,4 +70,4 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op4_quality_rules, op5_pii, op6_line_dedup, op8_warc, op9_secret_scan, op10_html_text)}
+        op1_ngram_jaccard, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup, op8_warc, op9_secret_scan, op10_html_text)}

@@ -37,6 +37,20 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.x = d.doc_
 GROUP BY d.doc_id, n.n
 """
 
+DECONTAMINATION = f"""
+WITH w AS (
+  SELECT 0 AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORDS}') AS w
+  FROM documents
+  UNION ALL
+  SELECT 1, item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORDS}') FROM benchmark),
+pos AS (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0),
+sh AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM pos),
+n AS (SELECT id, count(*) AS n FROM sh WHERE kind = 1 GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, n.n AS n_item, count(*) AS n_shared
+FROM sh d JOIN sh b ON d.s = b.s AND d.kind = 0 AND b.kind = 1 JOIN n ON n.id = b.id
+GROUP BY d.id, b.id, n.n HAVING 100 * count(*) >= 75 * n.n
+"""
+
 SUBSTRING_DEDUP = f"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
 pos AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50),
@@ -64,4 +78,4 @@ FROM s
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": JACCARD, "op3_substring_dedup": SUBSTRING_DEDUP, "op6_line_dedup": LINE_DEDUP, "op8_warc": WARC}
+    return {"op1_ngram_jaccard": JACCARD, "op2_decontamination": DECONTAMINATION, "op3_substring_dedup": SUBSTRING_DEDUP, "op6_line_dedup": LINE_DEDUP, "op8_warc": WARC}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import html_text, jaccard, line_dedup, pii, quality, rlz, secret_scan, warc
+from ledgerlens.llm import decontaminate, html_text, jaccard, line_dedup, pii, quality, rlz, secret_scan, warc
 from ledgerlens.llm.frames import sha256_hex, table
 
 
@@ -19,6 +19,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.ngram_jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))[0]
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                         table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rlz.drop_repeated_passages(docs).select(
@@ -70,4 +75,4 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup, op8_warc, op9_secret_scan, op10_html_text)}
+        op1_ngram_jaccard, op2_decontamination, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup, op8_warc, op9_secret_scan, op10_html_text)}

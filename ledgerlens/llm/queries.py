@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, line_dedup, pii, quality, rlz, secret_scan, warc
+from ledgerlens.llm import decontaminate, html_text, jaccard, line_dedup, pieces, pii, quality, rlz, secret_scan, warc
 from ledgerlens.llm.frames import sha256_hex, table
 
 
@@ -52,6 +52,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.round_trip(docs).select("doc_id", "n_pieces", "ids_sha256", "round_trip")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.archived(pages).select(
@@ -75,4 +80,4 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard, op2_decontamination, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup, op8_warc, op9_secret_scan, op10_html_text)}
+        op1_ngram_jaccard, op2_decontamination, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup, op7_sentencepiece, op8_warc, op9_secret_scan, op10_html_text)}

@@ -3,9 +3,9 @@
 Every rule looks at a few counts of a text and votes good (1), bad (-1) or
 abstains (0).  How far each rule can be trusted is not set by hand: expectation
 maximisation over the vote patterns of the whole corpus estimates the share of
-good texts and, for every rule, how often it votes either way on good and on bad
-texts.  The posterior probability that a text is good then decides, instead of a
-filter that every rule must pass.
+good texts and of each kind of bad ones, and how often every rule votes either
+way on them.  The posterior probability that a text is good then decides, instead
+of a filter that every rule must pass.
 """
 
 from __future__ import annotations
@@ -99,60 +99,71 @@ def rule_votes(s: Column) -> dict[str, Column]:
     """The rules: name -> vote (1 good, -1 bad, 0 abstain) from a struct of ``STATS``."""
     words = s["n_words"]
 
-    def vote(good: Column, bad: Column) -> Column:
-        return F.when(words < 1, -1).when(bad, -1).when(good, 1).otherwise(0)
+    def vote(bad: Column, good: Column | None = None) -> Column:
+        out = F.when(bad, -1)
+        return (out if good is None else out.when(good, 1)).otherwise(0)
 
+    # The last five look for one fault each: not to find it says little, so they abstain.
     return {
-        "length": vote(words >= 100, words < 50),
-        "word_length": vote(s["word_chars"].between(words * 3, words * 9),
-                            ~s["word_chars"].between(words * 2, words * 14)),
-        "symbols": vote(100 * s["n_symbols"] <= 2 * words, 100 * s["n_symbols"] > 20 * words),
-        "same_lines": vote(20 * s["n_dup_lines"] <= s["n_lines"], 3 * s["n_dup_lines"] > s["n_lines"]),
-        "repeats": vote(100 * s["n_repeat_words"] <= 10 * words, 100 * s["n_repeat_words"] > 50 * words),
-        "capitals": vote(5 * s["n_capitals"] <= s["n_letters"], 2 * s["n_capitals"] > s["n_letters"]),
-        "marks": vote(100 * s["n_marks"] <= 2 * words, 100 * s["n_marks"] > 20 * words),
+        "length": vote(words < 50, words >= 100),
+        "word_length": vote(~s["word_chars"].between(words * 2, words * 14), s["word_chars"].between(words * 3, words * 9)),
+        "symbols": vote(100 * s["n_symbols"] > 10 * words),
+        "same_lines": vote(2 * s["n_dup_lines"] > s["n_lines"]),
+        "repeats": vote(100 * s["n_repeat_words"] > 40 * words),
+        "capitals": vote(2 * s["n_capitals"] > s["n_letters"]),
+        "marks": vote(100 * s["n_marks"] > 20 * words),
     }
 
 
-def fit_rules(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 200,
-              tolerance: float = 1e-10) -> tuple[float, np.ndarray]:
+def fit_rules(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 500,
+              tolerance: float = 1e-9) -> tuple[np.ndarray, np.ndarray]:
     """Expectation maximisation over vote patterns and their counts.
 
-    Returns the share of good texts and, as an array (2 classes bad/good, rules,
-    3 votes -1/0/1), the probability of every vote given the class.  Rules are
-    taken as independent given the class.  Starts from rules that are right in 8
-    of 10 votes; counts are smoothed with one vote of each kind, so that no rule
-    gets probability 0.  Without texts the start values are returned.
+    Every rule looks for a fault of its own, and texts with one fault need not
+    have another; so beside the good texts there is a kind of bad texts for each
+    rule.  Returns the share of the good texts and of each kind (1 + rules), and
+    the probability of the votes -1, 0, 1 given the kind (1 + rules, rules, 3).
+    Rules are taken as independent given the kind.  The start has 8 of 10 texts
+    good, few bad votes on them, and 9 of 10 texts of a kind found by its rule.
+    Counts are smoothed with one vote of each kind, so that no vote gets
+    probability 0.  Without texts the start values are returned.
     """
-    prior = 0.8
-    table = np.empty((2, n_rules, 3))
-    table[0] = [0.7, 0.15, 0.15]
-    table[1] = [0.05, 0.15, 0.8]
+    kinds = 1 + n_rules
+    share = np.array([0.8] + [0.2 / n_rules] * n_rules)
+    table = np.tile([0.02, 0.49, 0.49], (kinds, n_rules, 1))
+    table[np.arange(1, kinds), np.arange(n_rules)] = [0.9, 0.05, 0.05]
     if not patterns:
-        return prior, table
-    votes = np.array(list(patterns), int).reshape(-1, n_rules) + 1
+        return share, table
+    votes = np.array(list(patterns), int).reshape(-1, n_rules)
     weight = np.array(list(patterns.values()), float)
-    rules = np.arange(n_rules)
     for _ in range(rounds):
-        good = posterior(votes - 1, prior, table)
-        was, prior = prior, float((good * weight).sum() + 1) / (weight.sum() + 2)
-        for c, share in ((0, 1 - good), (1, good)):
-            counts = np.ones((n_rules, 3))
-            for v in range(3):
-                counts[:, v] += ((votes == v) * (share * weight)[:, None]).sum(0)[rules]
-            table[c] = counts / counts.sum(1, keepdims=True)
-        if abs(prior - was) < tolerance:
+        belong = _belong(votes, share, table) * weight[:, None]
+        was, share = share, (belong.sum(0) + 1) / (weight.sum() + kinds)
+        for v in range(3):
+            table[:, :, v] = 1 + belong.T @ (votes == v - 1)
+        table /= table.sum(2, keepdims=True)
+        if np.abs(share - was).max() < tolerance:
             break
-    return prior, table
+    return share, table
 
 
-def posterior(votes: np.ndarray, prior: float, table: np.ndarray) -> np.ndarray:
-    """Probability of good for each row of votes."""
-    votes = np.asarray(votes, int) + 1
+def _belong(votes: np.ndarray, share: np.ndarray, table: np.ndarray) -> np.ndarray:
     rules = np.arange(votes.shape[1])
-    bad = np.log1p(-prior) + np.log(table[0][rules, votes]).sum(1)
-    good = np.log(prior) + np.log(table[1][rules, votes]).sum(1)
-    return 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
+    score = np.log(share) + np.log(table[:, rules, votes + 1]).sum(2).T
+    score = np.exp(score - score.max(1, keepdims=True))
+    return score / score.sum(1, keepdims=True)
+
+
+def posterior(votes: np.ndarray, share: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Probability of good for each row of votes."""
+    return _belong(np.asarray(votes, int), share, table)[:, 0]
+
+
+def accuracies(votes: np.ndarray, weight: np.ndarray, share: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """How often each rule is right when it votes, by the fitted posterior."""
+    good, weight = posterior(votes, share, table)[:, None], np.asarray(weight, float)[:, None]
+    right = ((votes > 0) * good + (votes < 0) * (1 - good)) * weight
+    return right.sum(0) / np.maximum(((votes != 0) * weight).sum(0), 1e-300)
 
 
 NEW_COLUMNS = STATS[:5] + ["base_failed", "quality", "kept"]
@@ -166,10 +177,10 @@ def _verdict(docs: DataFrame, threshold: float, text_col: str) -> tuple[DataFram
     counted = docs.select(docs[f"`{text_col}`"].alias(name)).select(stats_column(F.col(name)).alias(stats))
     seen = counted.select(code.alias(key)).groupBy(key).count()
     patterns = {tuple((r[0] // 3 ** i) % 3 - 1 for i in range(len(rules))): r[1] for r in seen.collect()}
-    prior, table = fit_rules(patterns, len(rules))
+    share, chances = fit_rules(dict(sorted(patterns.items())), len(rules))
     # in the order of the code: the first rule varies fastest
     every = np.array([v[::-1] for v in itertools.product((-1, 0, 1), repeat=len(rules))])
-    chance = F.array(*[F.lit(float(p)) for p in posterior(every, prior, table)])
+    chance = F.array(*[F.lit(float(p)) for p in posterior(every, share, chances)])
     s = F.col(stats)
     scored = docs.withColumn(stats, stats_column(docs[f"`{text_col}`"])).withColumn(key, code)
     quality = F.get(chance, F.col(key))

@@ -6,21 +6,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Values that a task gathers before it writes them out as rows.
 FLUSH = 2_000_000
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """Buckets: several for each shuffle partition, so that hashing them deals evenly."""
-    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def even_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """Bucket numbers that hash partitioning deals to n partitions one by one: entry i goes to partition i."""
+    keys = np.full(n, -1, np.int64)
+    upto = 16 * n
+    while (keys < 0).any():  # n numbers at most are kept
+        where = spark.range(upto).select(F.col("id"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("p"))
+        for p, first in where.groupBy("p").agg(F.min("id")).collect():
+            keys[p] = first
+        upto *= 4
+    return keys
 
 
 def dealt(df: DataFrame) -> DataFrame:
     """Rows of a bucket together in one partition, one bucket after another."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "bucket").sortWithinPartitions("bucket")
+    return df.repartition(partitions(df.sparkSession), "bucket").sortWithinPartitions("bucket")
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:

@@ -95,6 +95,10 @@ def stats_column(text: Column) -> Column:
     return stats(text)
 
 
+#: Expected share of good texts with a bad vote of one rule.
+FALSE_ALARMS = 0.005
+
+
 def rule_votes(s: Column) -> dict[str, Column]:
     """The rules: name -> vote (1 good, -1 bad, 0 abstain) from a struct of ``STATS``."""
     words = s["n_words"]
@@ -109,7 +113,7 @@ def rule_votes(s: Column) -> dict[str, Column]:
         "word_length": vote(~s["word_chars"].between(words * 2, words * 14), s["word_chars"].between(words * 3, words * 9)),
         "symbols": vote(100 * s["n_symbols"] > 10 * words),
         "same_lines": vote(2 * s["n_dup_lines"] > s["n_lines"]),
-        "repeats": vote(100 * s["n_repeat_words"] > 40 * words),
+        "repeats": vote(100 * s["n_repeat_words"] > 50 * words),
         "capitals": vote(2 * s["n_capitals"] > s["n_letters"]),
         "marks": vote(100 * s["n_marks"] > 20 * words),
     }
@@ -125,12 +129,14 @@ def fit_rules(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int =
     the probability of the votes -1, 0, 1 given the kind (1 + rules, rules, 3).
     Rules are taken as independent given the kind.  The start has 8 of 10 texts
     good, few bad votes on them, and 9 of 10 texts of a kind found by its rule.
-    Counts are smoothed with one vote of each kind, so that no vote gets
-    probability 0.  Without texts the start values are returned.
+    Whether a vote that meets no other is a false alarm cannot be seen in the votes;
+    the belief that FALSE_ALARMS of the good texts get a rule's bad vote therefore
+    weighs as much as they do.  Counts are smoothed with one vote of each kind, so
+    that no vote gets probability 0.  Without texts the start values are returned.
     """
     kinds = 1 + n_rules
     share = np.array([0.8] + [0.2 / n_rules] * n_rules)
-    table = np.tile([0.02, 0.49, 0.49], (kinds, n_rules, 1))
+    table = np.tile([FALSE_ALARMS, 0.5 - FALSE_ALARMS / 2, 0.5 - FALSE_ALARMS / 2], (kinds, n_rules, 1))
     table[np.arange(1, kinds), np.arange(n_rules)] = [0.9, 0.05, 0.05]
     if not patterns:
         return share, table
@@ -142,6 +148,9 @@ def fit_rules(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int =
         for v in range(3):
             table[:, :, v] = 1 + belong.T @ (votes == v - 1)
         table /= table.sum(2, keepdims=True)
+        alarm = (table[0, :, 0] + FALSE_ALARMS) / 2
+        table[0, :, 1:] *= ((1 - alarm) / (1 - table[0, :, 0]))[:, None]
+        table[0, :, 0] = alarm
         if np.abs(share - was).max() < tolerance:
             break
     return share, table

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.llm import arrays
-from ledgerlens.llm.buckets import FLUSH, bucket_count, by_bucket, dealt, parts
+from ledgerlens.llm.buckets import FLUSH, by_bucket, dealt, even_keys, partitions, parts
 from ledgerlens.llm.frames import free_name, without
 
 #: Words of the gram whose smallest hash in a window names the window's block.
@@ -69,7 +69,8 @@ def _batch(rows) -> pa.RecordBatch:
 
 def _indexed(docs: DataFrame, window: int) -> DataFrame:
     """Packed runs of windows by reference block, and the factors already found inside a task."""
-    n_buckets = bucket_count(docs.sparkSession)
+    n_buckets = partitions(docs.sparkSession)
+    deal = even_keys(docs.sparkSession, n_buckets)
     gram = min(GRAM, window)
 
     def send(batches):
@@ -94,7 +95,7 @@ def _indexed(docs: DataFrame, window: int) -> DataFrame:
             if later.any():
                 x, y = order[later], leader[later]
                 d, t, s, c, r, rs = _grown(ids[row[x]], tags[row[x]], pos[x], ids[row[y]], pos[y])
-                out.append(_row(int(arrays.mix(h[:1])[0] % np.uint64(n_buckets)), d, t, s, c, None, r, rs))
+                out.append(_row(int(deal[int(arrays.mix(h[:1])[0] % np.uint64(n_buckets))]), d, t, s, c, None, r, rs))
             sent = np.ones(len(h), bool)
             sent[order[later]] = False
             row, pos, h, block = row[sent], pos[sent], h[sent], block[sent]
@@ -104,7 +105,7 @@ def _indexed(docs: DataFrame, window: int) -> DataFrame:
                 new = np.ones(j - i, bool)
                 new[1:] = (row[i + 1:j] != row[i:j - 1]) | (pos[i + 1:j] != pos[i:j - 1] + 1)
                 at = np.flatnonzero(new)
-                out.append(_row(b, ids[row[i:j][at]], tags[row[i:j][at]], pos[i:j][at],
+                out.append(_row(int(deal[b]), ids[row[i:j][at]], tags[row[i:j][at]], pos[i:j][at],
                                 np.diff(np.append(at, j - i)), h[i:j]))
             return _batch(out)
 

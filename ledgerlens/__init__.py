@@ -13,7 +13,6 @@ operators/  ledger aggregation, dormant neighbours, scaling, encoding,
             exact quantiles, profiling, distribution tables, top-k
 plans/      composite pipelines: base features, model features, scoring
 ml/         Spark ML model operators (forests, linear models, search, PCA)
-streaming/  incremental form of the ledger aggregation
 """
 
 from ledgerlens.session import checkpoint_dir, get_session, materialize

@@ -76,14 +76,15 @@ def fractional_days(later, earlier) -> Column:
 
 def minmax_log(x, lo, hi) -> Column:
     """log((x - lo) / (hi - lo) + eps) with a constant column (hi == lo)
-    giving NaN -> 0, and the log of a non-positive value -> 0."""
+    giving NaN -> 0.  A value outside [lo, hi], which only another population's
+    fitted bounds leave, counts as the nearer bound: without that, the log of a
+    negative would become 0, the value of the maximum."""
     scaled = F.try_divide(as_double(x) - as_double(lo), as_double(hi) - as_double(lo))
-    return safe_log(scaled + F.lit(MINMAX_EPSILON))
+    inside = F.when(scaled < 0, F.lit(0.0)).when(scaled > 1, F.lit(1.0)).otherwise(scaled)
+    return safe_log(inside + F.lit(MINMAX_EPSILON))
 
 
 def replace_inf(x) -> Column:
-    """+-inf -> 0 and NaN -> 0 for data loaded from files."""
+    """+-inf -> 0 for data loaded from files (NaN is a null token there)."""
     d = as_double(x)
-    return (F.when(F.isnan(d), F.lit(0.0))
-            .when(d.isin(float("inf"), float("-inf")), F.lit(0.0))
-            .otherwise(d))
+    return F.when(d.isin(float("inf"), float("-inf")), F.lit(0.0)).otherwise(d)

@@ -25,8 +25,6 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import spread  # noqa: F401  (re-exported for the plans)
-
 LABEL = "inactive"
 FEATURES = "features"
 
@@ -34,25 +32,31 @@ FEATURES = "features"
 BEST_FOREST = {"max_depth": 22, "max_features": 5, "min_samples_leaf": 1,
                "min_samples_split": 4, "n_estimators": 403}
 
-# Search ranges per model family (inclusive bounds).
+# Search ranges per model family (inclusive bounds).  Spark ML grows trees to
+# depth 30 at most, so the forest's range ends there; a least number of rows to split a node has
+# no counterpart and is not searched.
 SEARCH_SPACES = {
     "logistic": {"C": ("float", 0.1, 1000.0)},
     "logistic_net": {"C": ("float", 0.1, 1000.0), "l1_ratio": ("float", 0.0, 1.0)},
     "svm": {"C": ("float", 0.1, 1000.0)},
-    "forest": {"max_depth": ("int", 10, 80), "max_features": ("int", 1, 7),
-               "min_samples_leaf": ("int", 1, 7), "min_samples_split": ("int", 2, 10),
-               "n_estimators": ("int", 25, 500)},
-    "gbt": {"subsample": ("float", 0.75, 1.0), "max_depth": ("int", 2, 16),
+    "forest": {"max_depth": ("int", 10, 30), "max_features": ("int", 1, 7),
+               "min_samples_leaf": ("int", 1, 7), "n_estimators": ("int", 25, 500)},
+    "gbt": {"subsample": ("float", 0.75, 1.0), "colsample": ("float", 0.75, 1.0), "max_depth": ("int", 2, 16),
             "min_child_weight": ("int", 2, 15), "learning_rate": ("float", 0.01, 0.5),
             "n_estimators": ("int", 25, 500)},
     "mlp": {"learning_rate_init": ("float", 0.01, 0.5), "max_iter": ("int", 200, 2000),
             "hidden_layer_sizes": ("int", 100, 1000)},
 }
 
-# Spark ML trees allow depth <= 30.
 _MAX_TREE_DEPTH = 30
 
 
+def _depth(depth: int) -> int:
+    if not 0 <= int(depth) <= _MAX_TREE_DEPTH:
+        raise ValueError(f"tree depth {depth} is outside Spark ML's 0..{_MAX_TREE_DEPTH}")
+    return int(depth)
+
+
 def feature_columns(df: DataFrame, exclude: tuple[str, ...] = ("id", LABEL)) -> list[str]:
     return [c for c in df.columns if c not in exclude]
 
@@ -64,18 +68,21 @@ def assemble(df: DataFrame, feature_cols: list[str], keep: tuple[str, ...] = ("i
     return assembler.transform(df.select(*kept, *feature_cols)).select(*kept, FEATURES)
 
 
-def size_partitions(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
-    """Partition an iteratively-optimised training table by its size: one
-    partition per ``rows_per_partition`` rows, capped at the default
-    parallelism.  Each optimiser step is a job over all partitions, so a
-    small table split wide pays task overhead on every step."""
-    sc = df.sparkSession.sparkContext
-    rows = df.count()
-    n = max(1, min(sc.defaultParallelism, -(-rows // rows_per_partition)))
-    have = df.rdd.getNumPartitions()
-    if have == n:
-        return df
-    return df.coalesce(n) if have > n else df.repartition(n)
+#: Partitions of every training table.  Spark ML draws its samples partition by partition, so this
+#: number is a parameter of the model and never follows the cluster or the data; raise it with the
+#: training rows (about a million a partition).
+TRAINING_PARTITIONS = 8
+
+
+def training_table(df: DataFrame, partitions: int = TRAINING_PARTITIONS) -> DataFrame:
+    """``df`` dealt by a hash of ``id`` into a fixed number of partitions, in the order of ``id``: the
+    same rows in the same places on any cluster, hence the same model."""
+    return df.repartition(partitions, "id").sortWithinPartitions("id")
+
+
+def with_folds(df: DataFrame, folds: int, seed: int) -> DataFrame:
+    """Add the validation fold of every row, a hash of its ``id``."""
+    return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(folds)).cast("int"))
 
 
 # Execution settings for deep trees: keep each row's node id per tree
@@ -93,7 +100,7 @@ def forest_params(grid: dict) -> dict:
     return {
         **TREE_EXECUTION,
         "numTrees": int(grid["n_estimators"]),
-        "maxDepth": min(int(grid["max_depth"]), _MAX_TREE_DEPTH),
+        "maxDepth": _depth(grid["max_depth"]),
         "featureSubsetStrategy": str(int(grid["max_features"])),
         "minInstancesPerNode": int(grid["min_samples_leaf"]),
     }
@@ -113,25 +120,26 @@ def forest_regressor(grid: dict = BEST_FOREST, seed: int = 42) -> RandomForestRe
 
 
 def logistic(penalty: str = "l2", C: float = 1.0, l1_ratio: float = 0.5,
-             n_rows: int | None = None) -> LogisticRegression:
+             n_rows: int | None = None, max_iter: int = 100) -> LogisticRegression:
     """M6: ``penalty`` none / l2 / l1 / elasticnet.  An inverse strength
     ``C`` over ``n_rows`` examples maps to ``regParam = 1 / (C * n_rows)``."""
     reg = 0.0 if penalty == "none" else 1.0 / (C * (n_rows or 1))
     alpha = {"none": 0.0, "l2": 0.0, "l1": 1.0, "elasticnet": l1_ratio}[penalty]
     return LogisticRegression(featuresCol=FEATURES, labelCol=LABEL, regParam=reg,
-                              elasticNetParam=alpha, maxIter=100)
+                              elasticNetParam=alpha, maxIter=max_iter)
 
 
-def linear_svm(C: float = 1.0, n_rows: int | None = None) -> LinearSVC:
+def linear_svm(C: float = 1.0, n_rows: int | None = None, max_iter: int = 100) -> LinearSVC:
     """M7: linear support vector machine (hinge loss, L2)."""
     return LinearSVC(featuresCol=FEATURES, labelCol=LABEL, regParam=1.0 / (C * (n_rows or 1)),
-                     maxIter=100)
+                     maxIter=max_iter)
 
 
 def boosted_trees(max_depth: int = 5, learning_rate: float = 0.1, n_estimators: int = 100,
-                  subsample: float = 1.0, min_child_weight: int = 1, seed: int = 42) -> GBTClassifier:
-    """M8: gradient-boosted trees."""
-    return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxDepth=min(max_depth, _MAX_TREE_DEPTH),
+                  subsample: float = 1.0, min_child_weight: int = 1, colsample: float = 1.0,
+                  seed: int = 42) -> GBTClassifier:
+    """M8: gradient-boosted trees; ``colsample`` is the share of features tried at a split."""
+    return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxDepth=_depth(max_depth), featureSubsetStrategy=str(float(colsample)),
                          stepSize=learning_rate, maxIter=n_estimators, subsamplingRate=subsample,
                          minInstancesPerNode=min_child_weight, seed=seed, **TREE_EXECUTION)
 
@@ -177,20 +185,24 @@ def cv_search(data: DataFrame, family: str, n_points: int = 20, folds: int = 3,
     """M4: k-fold cross-validated accuracy of sampled points of a model
     family's space (or of the given ``points``); best mean accuracy and its
     parameters.  All points share one ``CrossValidator`` as parameter maps,
-    so up to ``parallelism`` of them are fitted concurrently per fold."""
-    if family != "forest":
-        data = size_partitions(data).cache()
-    n_rows = data.count()
-    points = points or sample_points(SEARCH_SPACES[family], n_points, seed)
-    n_features = len(data.select(FEATURES).first()[0])
-    estimators = [_build(family, p, n_rows, n_features, seed) for p in points]
-    base = estimators[0]
-    maps = [{base.getParam(prm.name): val for prm, val in est.extractParamMap().items()
-             if est.isSet(prm)} for est in estimators]
-    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-    cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=evaluator,
-                        numFolds=folds, seed=seed, parallelism=max(1, min(parallelism, len(maps))))
-    model = cv.fit(data)
+    so up to ``parallelism`` of them are fitted concurrently per fold.  Rows are
+    dealt and folded by hashes of ``id``, so the scores do not depend on the
+    cluster."""
+    data = with_folds(training_table(data), folds, seed).persist()
+    try:
+        n_rows = data.count()
+        points = points or sample_points(SEARCH_SPACES[family], n_points, seed)
+        n_features = len(data.select(FEATURES).first()[0])
+        estimators = [_build(family, p, n_rows, n_features, seed) for p in points]
+        base = estimators[0]
+        maps = [{base.getParam(prm.name): val for prm, val in est.extractParamMap().items()
+                 if est.isSet(prm)} for est in estimators]
+        evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
+        cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds,
+                            foldCol="fold", seed=seed, parallelism=max(1, min(parallelism, len(maps))))
+        model = cv.fit(data)
+    finally:
+        data.unpersist()
     scores = [(p, float(m)) for p, m in zip(points, model.avgMetrics)]
     best = max(scores, key=lambda t: t[1])
     return SearchResult(best[1], best[0], scores)
@@ -207,7 +219,7 @@ def _build(family: str, p: dict, n_rows: int, n_features: int, seed: int) -> Est
         return forest_classifier(p, seed)
     if family == "gbt":
         return boosted_trees(p["max_depth"], p["learning_rate"], p["n_estimators"],
-                             p["subsample"], p["min_child_weight"], seed)
+                             p["subsample"], p["min_child_weight"], p.get("colsample", 1.0), seed)
     if family == "mlp":
         return neural_net(n_features, p["hidden_layer_sizes"], p["max_iter"],
                           p["learning_rate_init"], seed)

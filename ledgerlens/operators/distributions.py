@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.encoding import category_counts
 from ledgerlens.operators.quantiles import (
+    SortedValues,
     approx_quantiles,
-    exact_quantiles,
     quantile_columns,
     unpivot_numeric,
 )
@@ -83,7 +83,7 @@ def density_curves(df: DataFrame, cols: list[str], points: int = DENSITY_POINTS,
         width = (F.col("mx") - F.col("mn")) / F.lit(bins)
         b = F.least(F.floor((F.col("x") - F.col("mn")) / width), F.lit(bins - 1))
         centre = F.when(width > 0, F.col("mn") + (b + F.lit(0.5)) * width).otherwise(F.col("mn"))
-        values = (long.join(stats.select("column_name", "mn", "mx"), "column_name")
+        values = (long.join(F.broadcast(stats.select("column_name", "mn", "mx")), "column_name")
                   .select("column_name", centre.alias("x")))
     else:
         values = long
@@ -97,7 +97,8 @@ def density_curves(df: DataFrame, cols: list[str], points: int = DENSITY_POINTS,
     last = F.when(bounded, hi_i).otherwise(F.lit(points - 1)).cast("int")
     grid = F.explode(F.when(first <= last, F.sequence(first, last))
                      .otherwise(F.array().cast("array<int>"))).alias("i")
-    expanded = weights.join(stats, "column_name").select("column_name", "x", "w", "n", "h",
+    # one row for each column of the schema: bounded whatever the data, so the large side is not shuffled
+    expanded = weights.join(F.broadcast(stats), "column_name").select("column_name", "x", "w", "n", "h",
                                                          "mn", "mx", grid)
     gx = F.col("mn") + F.col("i") * (F.col("mx") - F.col("mn")) / F.lit(points)
     z = (gx - F.col("x")) / F.col("h")
@@ -123,27 +124,25 @@ def box_stats(df: DataFrame, cols: list[str], group_cols: list[str] = (),
     (per group)."""
     group_cols = list(group_cols)
     keys = [*group_cols, "column_name"]
-    quantiles = approx_quantiles if approx else exact_quantiles
-    q = quantile_columns(quantiles(df, cols, BOX_PROBS, group_cols), BOX_PROBS,
-                         ["q1", "median", "q3"], group_cols)
+    # quartiles, whiskers and counts all come from the counted distinct values
+    sorted_ = SortedValues(df, cols, group_cols)
+    q = quantile_columns(approx_quantiles(df, cols, BOX_PROBS, group_cols) if approx
+                         else sorted_.quantiles(BOX_PROBS), BOX_PROBS, ["q1", "median", "q3"], group_cols)
     iqr = F.col("q3") - F.col("q1")
     q = q.select(*keys, "q1", "median", "q3", iqr.alias("iqr"),
                  (F.col("q1") - F.lit(WHISKER_IQR) * iqr).alias("lower_fence"),
                  (F.col("q3") + F.lit(WHISKER_IQR) * iqr).alias("upper_fence"))
-    long = unpivot_numeric(df, cols, group_cols)
-    x = F.col("x")
+    x, w = F.col("x"), F.col("w")
     inside_lo = x >= F.col("lower_fence")
     inside_hi = x <= F.col("upper_fence")
-    agg = long.join(q, keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
+    of_group = ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]
+    return sorted_.with_group(q).groupBy(*keys, *of_group).agg(
+        F.sum("w").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"),
         F.min(F.when(inside_lo, x)).alias("whisker_low"),
         F.max(F.when(inside_hi, x)).alias("whisker_high"),
-        F.count_if(~(inside_lo & inside_hi)).alias("n_outliers"),
-    )
-    return q.join(agg, keys).select(
-        *keys, "n", "min", "q1", "median", "q3", "max", "iqr", "lower_fence", "upper_fence",
-        "whisker_low", "whisker_high", "n_outliers")
+        F.sum(F.when(inside_lo & inside_hi, F.lit(0).cast("bigint")).otherwise(w)).alias("n_outliers"),
+    ).select(*keys, "n", "min", "q1", "median", "q3", "max", "iqr", "lower_fence", "upper_fence",
+             "whisker_low", "whisker_high", "n_outliers")
 
 
 def box_stats_by_category(df: DataFrame, cat_cols: list[str], num_cols: list[str]) -> DataFrame:

@@ -79,6 +79,8 @@ class OneHotEncoding:
 
 def fit_onehot(df: DataFrame, cols: list[str], threshold: float = SHARE_THRESHOLD) -> OneHotEncoding:
     """E1 + E2 fit.  Collects only kept values (bounded by the threshold)."""
+    if not 0 < threshold < 1:
+        raise ValueError(f"share threshold out of range: {threshold}")
     rows = (category_shares(df, cols, threshold)
             .where(F.col("kept"))
             .select("column_name", "value", "n", "baseline")
@@ -98,14 +100,25 @@ def fit_onehot(df: DataFrame, cols: list[str], threshold: float = SHARE_THRESHOL
     return OneHotEncoding([(name, col, val) for name, (col, val) in current.items()])
 
 
-def full_dummies(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
-    """One 0/1 column per distinct value, named ``<column>_<value>``.
+def full_dummies(df: DataFrame, cols: list[str], keep: list[str] | None = None,
+                 values: dict[str, list[str]] | None = None, min_share: float | None = None) -> DataFrame:
+    """One 0/1 column per value, named ``<column>_<value>``.
 
-    The value list is collected per column; use it on categorical columns
-    (bounded cardinality) only, as the notebook helper does."""
+    The values are declared in ``values`` or are those with a share of at least
+    ``min_share`` of their column (at most 1 / ``min_share`` of them reach the
+    driver); one of the two must be given, since a column for every distinct
+    value of an arbitrary column has no bound.  A value below ``min_share`` is
+    an error, not silently left out."""
     keep = keep if keep is not None else [c for c in df.columns if c not in cols]
-    values = (category_counts(df, cols).select("column_name", "value")
-              .orderBy("column_name", "value").collect())
-    dummies = [F.when(F.col(r["column_name"]) == F.lit(r["value"]), 1).otherwise(0)
-               .alias(f"{r['column_name']}_{r['value']}") for r in values]
+    if values is None:
+        if not min_share or not 0 < min_share <= 1:
+            raise ValueError("full_dummies needs declared values or 0 < min_share <= 1")
+        shares = category_shares(df, cols, 0.0)
+        rare = shares.where(F.col("share") < min_share).groupBy("column_name").count().collect()
+        if rare:
+            raise ValueError("values below min_share in " + ", ".join(f"{r[0]} ({r[1]})" for r in rare))
+        found = shares.select("column_name", "value").orderBy("column_name", "value").collect()
+        values = {c: [r["value"] for r in found if r["column_name"] == c] for c in cols}
+    dummies = [F.when(F.col(c) == F.lit(v), 1).otherwise(0).alias(f"{c}_{v}")
+               for c in cols for v in values[c]]
     return df.select(*[F.col(c) for c in keep], *dummies)

@@ -30,16 +30,6 @@ from pyspark.sql import functions as F
 from ledgerlens.sources.schema import SYSTEM_ID
 
 
-def with_flags(ledger: DataFrame) -> DataFrame:
-    """``is_bonus``, ``is_penalty`` flags and the calendar ``date``."""
-    return ledger.select(
-        "*",
-        F.when(F.col("source") == SYSTEM_ID, 1).otherwise(0).alias("is_bonus"),
-        F.when(F.col("target") == SYSTEM_ID, 1).otherwise(0).alias("is_penalty"),
-        F.to_date("time").alias("date"),
-    )
-
-
 def edge_table(ledger: DataFrame) -> DataFrame:
     """Distinct directed pairs ``(source, target, n, amount, first_date,
     last_date)``."""

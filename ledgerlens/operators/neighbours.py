@@ -38,9 +38,11 @@ def dormant_partner_counts(sides: DataFrame, flagged_ids: DataFrame) -> DataFram
     )
 
 
-def dormant_neighbours(ledger: DataFrame, flags: DataFrame, flag_col: str = "is_stage_2") -> DataFrame:
+def dormant_neighbours(ledger: DataFrame, flags: DataFrame, flag_col: str = "is_stage_2",
+                       edges: DataFrame | None = None) -> DataFrame:
     """Public form over a raw ledger and a ``(id, flag)`` table of the
     population: counts of flagged partners per account, 0-filled, with their
-    total and share of all partners left to the caller."""
+    total and share of all partners left to the caller.  ``edges`` is the ledger's
+    pair table where the caller has it already."""
     flagged = flags.where(F.col(flag_col) == 1).select("id")
-    return dormant_partner_counts(account_sides(edge_table(ledger), payload=()), flagged)
+    return dormant_partner_counts(account_sides(edge_table(ledger) if edges is None else edges, payload=()), flagged)

@@ -1,26 +1,18 @@
 """Exact quantiles (linear interpolation) without gathering a group in one task.
 
-Spark's exact ``percentile`` keeps a value->count map per group and merges
-it in one task, so a global quartile of a continuous column holds every
-distinct value in one executor.  Here the values are instead sorted by a
-distributed range partitioning:
-
-1. unpivot to ``(group..., column_name, x)``, drop NULLs;
-2. ``repartitionByRange`` on ``(group..., column_name, x)`` and sort within
-   partitions; each row's position inside its partition comes from
-   ``monotonically_increasing_id`` (partition index in the high bits,
-   row number in the low bits);
-3. count rows per ``(partition, group, column)``: a table bounded by
-   partitions + groups x columns, whose running sum gives each partition's
-   rank offset;
-4. keep the rows whose global rank is ``floor((n-1)p)`` or ``ceil((n-1)p)``
-   and interpolate.
-
-The sorted, indexed table is written once to the checkpoint folder, so the
-input is range-shuffled exactly once.
-
-Ties do not matter (equal keys have equal values), so the result is
-deterministic even if a partition is recomputed.
+Spark's exact ``percentile`` keeps a value->count map per group and merges it in
+one task.  Here the values are sorted by a distributed range partitioning:
+
+1. unpivot to ``(group..., column_name, x)``, drop NULLs, and count each distinct
+   ``(group..., column_name, x)``: a value that most rows share is one row from
+   the map side on, so no task holds more than one row for each distinct value;
+2. range-partition the distinct values by ``(group..., column_name, x)`` and write
+   them once with their partition number; a slice is a group's part of one
+   partition, so a hot group is many slices;
+3. running counts inside each slice, and a table of slices (partitions + groups
+   rows) whose running sum gives each slice's rank offset;
+4. each wanted rank ``floor((n-1)p)``, ``ceil((n-1)p)`` is looked up in the slice
+   that holds it, joined on the slice (no hot key), and interpolated.
 """
 
 from __future__ import annotations
@@ -32,8 +24,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import materialize
 
-_LOW_BITS = 33
-
 
 def unpivot_numeric(df: DataFrame, value_cols: list[str], group_cols: list[str] = ()) -> DataFrame:
     """``(group..., column_name, x double)`` with NULL/NaN values dropped."""
@@ -43,55 +33,72 @@ def unpivot_numeric(df: DataFrame, value_cols: list[str], group_cols: list[str]
     return long.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a NULL key equals a NULL key; the left side's keys stay."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for c in keys:
+        one = left[c].eqNullSafe(other[f"_r_{c}"])
+        cond = one if cond is None else cond & one
+    return left.join(other, cond, how).drop(*[f"_r_{c}" for c in keys])
+
+
+class SortedValues:
+    """The distinct values of every (group, column), counted, sorted and cut into slices.
+
+    ``values``: ``(pid, group..., column_name, x, w, upto)``, the running count
+    ``upto`` inside the slice; ``slices``: ``(pid, group..., column_name, cnt,
+    before, n, min_x, max_x)``.
+    """
+
+    def __init__(self, df: DataFrame, value_cols: list[str], group_cols: list[str] = ()):
+        self.keys = [*group_cols, "column_name"]
+        counted = (unpivot_numeric(df, value_cols, list(group_cols))
+                   .groupBy(*self.keys, "x").agg(F.count(F.lit(1)).alias("w")))
+        # one range shuffle of distinct values, written once: later branches read the same slices
+        ranged = materialize(counted.repartitionByRange(*self.keys, "x").select(
+            "*", F.spark_partition_id().alias("pid")))
+        inside = Window.partitionBy("pid", *self.keys).orderBy("x")
+        self.values = ranged.select("pid", *self.keys, "x", "w", F.sum("w").over(inside).alias("upto"))
+        per_slice = ranged.groupBy("pid", *self.keys).agg(
+            F.sum("w").alias("cnt"), F.min("x").alias("min_x"), F.max("x").alias("max_x"))
+        group = Window.partitionBy(*self.keys)
+        self.slices = materialize(per_slice.select(
+            "*", (F.sum("cnt").over(group.orderBy("pid")) - F.col("cnt")).alias("before"),
+            F.sum("cnt").over(group).alias("n")))
+
+    def quantiles(self, probs: list[float]) -> DataFrame:
+        """``(group..., column_name, p, value)``."""
+        p_arr = F.array(*[F.lit(float(p)) for p in probs])
+        h = (F.col("n") - 1).cast("double") * F.col("p")
+        wanted = (self.slices.select("pid", *self.keys, "cnt", "before", "n", F.explode(p_arr).alias("p"))
+                  .select("*", (h - F.floor(h)).alias("frac"), F.inline(F.array(
+                      F.struct(F.floor(h).cast("long").alias("rank"), F.lit(True).alias("is_lo")),
+                      F.struct(F.ceil(h).cast("long").alias("rank"), F.lit(False).alias("is_lo"))))))
+        held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("cnt"))
+        local = wanted.where(held).select("pid", *self.keys, "p", "frac", "is_lo",
+                                          (F.col("rank") - F.col("before")).alias("local"))
+        hit = null_safe(self.values, local, ["pid", *self.keys]).where(
+            (F.col("local") >= F.col("upto") - F.col("w")) & (F.col("local") < F.col("upto")))
+        both = hit.groupBy(*self.keys, "p").agg(
+            F.max(F.when(F.col("is_lo"), F.col("x"))).alias("x_lo"),
+            F.max(F.when(~F.col("is_lo"), F.col("x"))).alias("x_hi"), F.max("frac").alias("frac"))
+        return both.select(*self.keys, "p",
+                           (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
+
+    def with_group(self, per_group: DataFrame) -> DataFrame:
+        """``values`` with the columns of a one-row-per-group table, joined slice by slice."""
+        spread = null_safe(self.slices.select("pid", *self.keys), per_group, self.keys)
+        return null_safe(self.values, spread, ["pid", *self.keys])
+
+
 def exact_quantiles(df: DataFrame, value_cols: list[str], probs: list[float],
-                    group_cols: list[str] = (), num_partitions: int | None = None) -> DataFrame:
+                    group_cols: list[str] = ()) -> DataFrame:
     """``(group..., column_name, p, value)``: the linear-interpolation quantile
     of every value column (per group), as pandas/numpy/DuckDB
     ``quantile_cont`` define it."""
     _check(probs)
-    group_cols = list(group_cols)
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*group_cols, "column_name"]
-    long = unpivot_numeric(df, value_cols, group_cols)
-    ordered = (long.repartitionByRange(parts, *keys, "x")
-               .sortWithinPartitions(*keys, "x"))
-    pid = F.spark_partition_id().cast("long")
-    # One range shuffle + sort, written once: every later branch (counts,
-    # rank lookup) reads this table instead of re-sorting the input, and the
-    # positions stay exactly those that were counted.
-    indexed = materialize(ordered.select(
-        *keys, "x", pid.alias("pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid, _LOW_BITS)).alias("pos")))
-
-    per_part = indexed.groupBy("pid", *keys).agg(
-        F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"))
-    w = Window.partitionBy(*keys).orderBy("pid")
-    offsets = materialize(per_part.select(
-        "pid", *keys, "first_pos",
-        (F.sum("cnt").over(w) - F.col("cnt")).alias("offset"),
-        F.sum("cnt").over(Window.partitionBy(*keys)).alias("n")))
-
-    # wanted ranks per (group, column, p): floor and ceil of (n - 1) p
-    p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    sizes = offsets.select(*keys, "n").distinct()
-    h = (F.col("n") - 1).cast("double") * F.col("p")
-    targets = (sizes.select(*keys, "n", F.explode(p_arr).alias("p"))
-               .select(*keys, "p", F.floor(h).cast("long").alias("lo"),
-                       F.ceil(h).cast("long").alias("hi"), (h - F.floor(h)).alias("frac")))
-    ends = targets.select(*keys, "p", "frac", F.inline(F.array(
-        F.struct(F.col("lo").alias("rank"), F.lit(True).alias("is_lo")),
-        F.struct(F.col("hi").alias("rank"), F.lit(False).alias("is_lo")))))
-
-    ranked = indexed.join(offsets, ["pid", *keys]).select(
-        *keys, "x", (F.col("offset") + F.col("pos") - F.col("first_pos")).alias("rank"))
-    hit = ranked.join(ends, [*keys, "rank"])
-    both = hit.groupBy(*keys, "p").agg(
-        F.max(F.when(F.col("is_lo"), F.col("x"))).alias("x_lo"),
-        F.max(F.when(~F.col("is_lo"), F.col("x"))).alias("x_hi"),
-        F.max("frac").alias("frac"))
-    return both.select(*keys, "p",
-                       (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
+    return SortedValues(df, value_cols, list(group_cols)).quantiles(probs)
 
 
 def approx_quantiles(df: DataFrame, value_cols: list[str], probs: list[float],

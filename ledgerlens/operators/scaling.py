@@ -1,7 +1,7 @@
 """Min-max scaling followed by a safe log, with fitted bounds.
 
 ``fit_minmax`` returns a one-row DataFrame of bounds (a value that can be
-reused to score another population); ``minmax_log_columns`` reads it through
+reused to score another population); ``minmax_log_expr`` reads it through
 scalar subqueries, which Spark merges into a single subquery job.
 """
 
@@ -24,11 +24,3 @@ def minmax_log_expr(c: str, bounds: DataFrame):
     lo = bounds.select(f"min_{c}").scalar()
     hi = bounds.select(f"max_{c}").scalar()
     return minmax_log(F.col(c), lo, hi)
-
-
-def minmax_log_columns(df: DataFrame, cols: list[str], bounds: DataFrame | None = None,
-                       suffix: str = "_log") -> DataFrame:
-    """Add ``<c><suffix> = log((c - min)/(max - min) + 1e-6)`` for each column."""
-    if bounds is None:
-        bounds = fit_minmax(df, cols)
-    return df.select("*", *[minmax_log_expr(c, bounds).alias(c + suffix) for c in cols])

@@ -119,7 +119,9 @@ def base_features(labels: DataFrame, users: DataFrame, ledger: DataFrame,
 
     sent_n, recv_n = F.col("n_transactions_sent"), F.col("n_transactions_received")
     sent_p, recv_p = F.col("n_partners_sent"), F.col("n_partners_received")
-    dfr = fractional_days(max_reg, F.col("registration_time"))
+    # with another population's latest registration, an account registered after it has age 0
+    age = fractional_days(max_reg, F.col("registration_time"))
+    dfr = F.when(age < 0, F.lit(0.0)).otherwise(age)
     n_trx_raw = null_sum(recv_n, sent_n)
     last_filled = F.coalesce(F.col("last_trx_date"), min_last)
     days_past = days_between(max_last, last_filled)

@@ -21,7 +21,7 @@ from ledgerlens.operators.encoding import SHARE_THRESHOLD, OneHotEncoding, fit_o
 from ledgerlens.operators.scaling import fit_minmax, minmax_log_expr
 from ledgerlens.sources.schema import ONEHOT_COLUMNS
 
-# Columns whose natural log becomes a feature (log(0) and log(<0) -> 0).
+# Fixed value: columns whose natural log becomes a feature (log(0) and log(<0) -> 0).
 LOG_COLUMNS = [
     "start_balance", "n_transactions", "n_transactions_received", "n_transactions_sent",
     "n_bonuses", "n_partners", "n_partners_stage_2", "n_partners_received",
@@ -29,7 +29,7 @@ LOG_COLUMNS = [
     "days_before_first_trx", "count_received_intensity", "count_sent_intensity",
     "count_intensity",
 ]
-# (feature, numerator, denominator) over already-zeroed logs.
+# Fixed value: (feature, numerator, denominator) over already-zeroed logs.
 LOG_RATIOS = [
     ("n_partners_ratio_log", "n_partners_received_log", "n_partners_sent_log"),
     ("n_transactions_ratio_log", "n_transactions_received_log", "n_transactions_sent_log"),
@@ -37,7 +37,7 @@ LOG_RATIOS = [
     ("n_partners_stage_2_ratio_log", "n_partners_received_stage_2_log",
      "n_partners_sent_stage_2_log"),
 ]
-# Amount columns that are min-max scaled, then logged.
+# Fixed value: amount columns that are min-max scaled, then logged.
 AMOUNT_TRANSFORM = [
     "amount_received_intensity", "amount_sent_intensity", "amount_intensity",
     "balance_growth", "amount_penalties", "amount_bonuses", "amount_total",

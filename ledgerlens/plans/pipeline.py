@@ -22,16 +22,12 @@ from ledgerlens.operators.ledger import edge_table
 from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features
 from ledgerlens.plans.features import model_features
 from ledgerlens.plans.scoring import rank_inactive
-from ledgerlens.sources.files import stage_handoff
-from ledgerlens.session import get_session, materialize
-from ledgerlens.sources.files import read_csv, write_csv
+from ledgerlens.session import materialize
+from ledgerlens.sources.files import read_csv, remove_stages, stage_handoff, write_csv
 from ledgerlens.sources.schema import LABELS, POPULATION, TRANSACTIONS, USERS
 
-# Input file names of the original workflow.
-TRAIN_FILE = "sdsh2022_sarafu_trainset.csv"
-TEST_FILE = "sdsh2022_sarafu_testset.csv"
-USERS_FILE = "sdsh2022_sarafu_users.csv"
-TRANSACTIONS_FILE = "sdsh2022_sarafu_transactions.csv"
+# Names of the inputs in the data folder, unless given.
+FILES = {"train": "train.csv", "test": "test.csv", "users": "users.csv", "transactions": "transactions.csv"}
 
 
 @dataclass
@@ -42,13 +38,11 @@ class Inputs:
     transactions: DataFrame
 
 
-def load_inputs(spark: SparkSession, data_dir: str) -> Inputs:
+def load_inputs(spark: SparkSession, data_dir: str, files: dict[str, str] | None = None) -> Inputs:
     """The four CSV inputs with declared schemas."""
-    d = data_dir.rstrip("/")
-    return Inputs(read_csv(spark, f"{d}/{TRAIN_FILE}", LABELS),
-                  read_csv(spark, f"{d}/{TEST_FILE}", POPULATION),
-                  read_csv(spark, f"{d}/{USERS_FILE}", USERS),
-                  read_csv(spark, f"{d}/{TRANSACTIONS_FILE}", TRANSACTIONS))
+    d, names = data_dir.rstrip("/"), FILES | (files or {})
+    schemas = {"train": LABELS, "test": POPULATION, "users": USERS, "transactions": TRANSACTIONS}
+    return Inputs(**{k: read_csv(spark, f"{d}/{names[k]}", schema) for k, schema in schemas.items()})
 
 
 def prepare(spark: SparkSession, inputs: Inputs, out_dir: str) -> dict[str, str]:
@@ -77,19 +71,26 @@ def submit(spark: SparkSession, inputs: Inputs, out_dir: str, k: int = 500) -> s
     return path
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    """Run one job in the session that the platform (``spark-submit``) sets up: no master, partition
+    count or memory is chosen here.  The run's own stages are removed at its end."""
     ap = argparse.ArgumentParser(prog="ledgerlens")
     ap.add_argument("job", choices=["prepare", "submit"])
     ap.add_argument("--data", required=True, help="folder with the four input CSV files")
     ap.add_argument("--out", required=True, help="output folder")
     ap.add_argument("--k", type=int, default=500)
+    for name, default in FILES.items():
+        ap.add_argument(f"--{name}", default=default, help=f"file or folder name in --data (default {default})")
     args = ap.parse_args(argv)
-    spark = get_session()
-    inputs = load_inputs(spark, args.data)
-    if args.job == "prepare":
-        print(prepare(spark, inputs, args.out))
-    else:
-        print(submit(spark, inputs, args.out, args.k))
+    spark = spark or SparkSession.builder.appName("ledgerlens").getOrCreate()
+    inputs = load_inputs(spark, args.data, {k: getattr(args, k) for k in FILES})
+    try:
+        if args.job == "prepare":
+            print(prepare(spark, inputs, args.out))
+        else:
+            print(submit(spark, inputs, args.out, args.k))
+    finally:
+        remove_stages(spark)
 
 
 if __name__ == "__main__":

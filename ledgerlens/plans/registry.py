@@ -8,24 +8,27 @@ ISO strings, so that the DuckDB oracle can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.encoding import category_shares, fit_onehot, full_dummies
-from ledgerlens.operators.ledger import account_activity
+from ledgerlens.operators.ledger import account_activity, edge_table
 from ledgerlens.operators.neighbours import dormant_neighbours
 from ledgerlens.ml import models as M
 from ledgerlens.operators import distributions as D
 from ledgerlens.operators import profile as P
 from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features
-from ledgerlens.plans.features import eda_features, model_features
-from ledgerlens.plans.scoring import rank_inactive
+from ledgerlens.plans.features import align_to, eda_features, fit_model_features, model_features
+from ledgerlens.plans.scoring import rank_inactive, scoring_table, training_table
 from ledgerlens.session import materialize
 from ledgerlens.sources import standin as S
-from ledgerlens.sources.schema import ONEHOT_COLUMNS
+from ledgerlens.sources.files import read_csv, stage_folder, stage_handoff, write_csv
+from ledgerlens.sources.schema import ONEHOT_COLUMNS, USERS
 
 ROUND_DIGITS = 6
 
@@ -82,8 +85,10 @@ def account_activity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dormant_neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4: dormant-partner counts for every ledger account with one."""
-    p2 = p2_stage(spark, sf_dir)
-    nb = dormant_neighbours(S.ledger(spark, sf_dir), p2.select("id", "is_stage_2"))
+    labels, users, ledger = _inputs(spark, sf_dir)
+    edges = stage_handoff(edge_table(ledger), "edges")  # one ledger scan for both
+    p2 = base_features(labels, users, ledger, edges=edges)
+    nb = dormant_neighbours(ledger, p2.select("id", "is_stage_2"), edges=edges)
     return nullable_counts_as_double(nb, ["n_partners_received_stage_2", "n_partners_sent_stage_2"])
 
 
@@ -98,6 +103,78 @@ def test_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(model_features(p4, with_dummies=False))
 
 
+def _with_dummy_list(features: DataFrame, names: list[str]) -> DataFrame:
+    """The dummies that are 1, as one sorted comma-joined column: the registered form has the same
+    columns whatever categories the data have."""
+    on = F.array(*[F.when(F.col(f"`{n}`") == 1, F.lit(n)) for n in sorted(names)])
+    return features.select(*[c for c in features.columns if c not in names],
+                           F.array_join(on, ",").alias("dummies"))
+
+
+def model_features_full_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 as the model trains on it: numeric features and dummies of the whole population."""
+    p2 = p2_stage(spark, sf_dir)
+    fitted = fit_model_features(p2)
+    return round_doubles(_with_dummy_list(model_features(p2, fitted), fitted.encoding.names))
+
+
+def test_features_full_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 with dummies: the test population, refitted on itself."""
+    p4 = p2_stage(spark, sf_dir, "test", labelled=False)
+    fitted = fit_model_features(p4)
+    return round_doubles(_with_dummy_list(model_features(p4, fitted), fitted.encoding.names))
+
+
+def scoring_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P19 + Q19: the test population with the training population's statistics, bounds, dummies
+    and column order."""
+    ledger, users = S.ledger(spark, sf_dir), S.users(spark, sf_dir)
+    edges = stage_handoff(edge_table(ledger), "edges")
+    p2, p3, fitted = training_table(S.account_labels(spark, sf_dir, "train"), users, ledger, edges)
+    p4 = scoring_table(S.population_ids(spark, sf_dir, "test"), users, ledger, p2, fitted, edges)
+    aligned = align_to(p4, ["id", *M.feature_columns(p3)])
+    return round_doubles(_with_dummy_list(aligned, fitted.encoding.names))
+
+
+def csv_roundtrip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: the profiles written as CSV, some values as null tokens or infinite, and read back
+    with the declared schema."""
+    odd = F.pmod(F.col("id"), F.lit(7))
+    balance = (F.when(odd == 1, "NaN").when(odd == 2, "NA").when(odd == 3, "inf").when(odd == 4, "-Infinity")
+               .otherwise(F.col("start_balance").cast("string")))
+    gender = F.when(odd == 5, "nan").when(odd == 6, "").otherwise(F.col("gender"))
+    path = f"{stage_folder(spark)}/csv-{uuid.uuid4().hex}"
+    write_csv(S.users(spark, sf_dir).withColumns({"start_balance": balance, "gender": gender}), path)
+    back = read_csv(spark, path, USERS)
+    return round_doubles(back.withColumn("registration_time", F.date_format("registration_time", "yyyy-MM-dd HH:mm:ss")))
+
+
+def top_k_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 on a deterministic score: the 100 accounts longest dormant, ties by id, with their rank."""
+    p2 = p2_stage(spark, sf_dir)
+    best = M.top_k(p2.select("id", "days_past_last_trxs"), "days_past_last_trxs", 100)
+    # the rank window runs over the 100 rows that are left
+    order = Window.orderBy(F.desc("days_past_last_trxs"), "id")
+    return best.select(F.row_number().over(order).alias("rank"), "id", "days_past_last_trxs")
+
+
+def accuracy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 on fixed predictions: dormant accounts predicted inactive."""
+    p2 = p2_stage(spark, sf_dir)
+    scored = p2.select(F.col("inactive").cast("double").alias(M.LABEL), F.col("is_stage_2").cast("double").alias("prediction"))
+    n = scored.count()
+    return spark.createDataFrame([(n, round(float(M.accuracy(scored)), 6))], "n_rows bigint, accuracy double")
+
+
+def label_feature_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20: id, label and the assembled vector's size and sum."""
+    p3 = model_features(p2_stage(spark, sf_dir), with_dummies=False)
+    data = M.assemble(p3, M.feature_columns(p3))
+    x = vector_to_array(M.FEATURES)
+    return round_doubles(data.select("id", M.LABEL, F.size(x).alias("n_features"),
+                                     F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("total")), 4)
+
+
 def eda_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exploration variant of the features."""
     labels, users, ledger = _inputs(spark, sf_dir)
@@ -208,7 +285,7 @@ def dummy_correlation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + A17: the exploration features with every category of the two
     kept string columns as a prefixed dummy, then the correlation matrix."""
     e = eda_features(p2_stage(spark, sf_dir)).drop("id")
-    wide = full_dummies(e, ["area_type", "gender"])
+    wide = full_dummies(e, ["area_type", "gender"], min_share=0.01)
     return P.correlation(wide, P.numeric_columns(wide), 3)
 
 
@@ -217,7 +294,7 @@ def _train_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     p2 = p2_stage(spark, sf_dir, "train")
     p3 = model_features(p2)
     feats = M.feature_columns(p3)
-    return materialize(M.spread(M.assemble(
+    return materialize(M.training_table(M.assemble(
         p3.withColumn("inactive", F.col("inactive").cast("double")), feats)))
 
 
@@ -235,7 +312,7 @@ def forest_importances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     p2 = p2_stage(spark, sf_dir, "train")
     p3 = model_features(p2)
     feats = M.feature_columns(p3)
-    train = materialize(M.spread(M.assemble(p3, feats)))
+    train = materialize(M.training_table(M.assemble(p3, feats)))
     model = M.forest_classifier().fit(train)
     imp = model.featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(feats, [float(v) for v in imp])),
@@ -243,10 +320,10 @@ def forest_importances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 + M5 + M6: 3-fold cross-validated accuracy of sampled points of
-    the elastic-net logistic regression space."""
+    """M4 + M5 + M6: 3-fold cross-validated accuracy of the search's default
+    number of points (20) of the elastic-net logistic regression space."""
     data = _train_vectors(spark, sf_dir)
-    res = M.cv_search(data, "logistic_net", n_points=4, folds=3)
+    res = M.cv_search(data, "logistic_net", folds=3)
     return M.search_table(spark, res, "logistic_net")
 
 
@@ -296,6 +373,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dormant_neighbours": dormant_neighbours_query,
         "model_features": model_features_query,
         "test_features": test_features_query,
+        "model_features_full": model_features_full_query,
+        "test_features_full": test_features_full_query,
+        "scoring_features": scoring_features_query,
+        "csv_roundtrip": csv_roundtrip_query,
+        "top_k_deterministic": top_k_query,
+        "accuracy_fixed_predictions": accuracy_query,
+        "label_feature_split": label_feature_split_query,
         "eda_features": eda_features_query,
         "onehot_fit": onehot_fit_query,
         "onehot_encode": onehot_encode_query,

@@ -20,8 +20,8 @@ from ledgerlens.ml.models import (
     assemble,
     feature_columns,
     forest_regressor,
-    spread,
     top_k,
+    training_table as dealt_rows,
 )
 from ledgerlens.operators.ledger import edge_table
 from ledgerlens.plans.base import base_features, population_stats
@@ -65,7 +65,7 @@ def rank_inactive(train_labels: DataFrame, test_ids: DataFrame, users: DataFrame
     edges = stage_handoff(edge_table(ledger), "edges")
     train_p2, p3, fitted = training_table(train_labels, users, ledger, edges)
     feats = feature_columns(p3)
-    train = materialize(spread(assemble(
+    train = materialize(dealt_rows(assemble(
         p3.withColumn("inactive", F.col("inactive").cast("double")), feats)))
     model = forest_regressor(grid, seed).fit(train)
     p4 = scoring_table(test_ids, users, ledger, train_p2, fitted, edges)

@@ -1,13 +1,15 @@
 """Session construction and lineage cutting.
 
 The library itself never changes session settings; ``get_session`` is for
-tests, the bench and command-line use.  On a cluster the session comes from
-the platform and ``spark.checkpoint.dir`` names a shared, reliable folder.
+tests and the bench alone.  Jobs take the session that the platform gives them
+(``SparkSession.builder.getOrCreate()``), whose ``spark.checkpoint.dir`` names a
+shared, reliable folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a shared, reliable folder for "
                 "lineage cuts (a machine-local folder would be lost with its executor)")
@@ -77,13 +79,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least the default parallelism when it has
-    fewer partitions (AQE coalesces small shuffles to a few partitions).
-    Used before steps whose per-row work is large (pair expansion, tree
-    induction); a no-op for inputs that are already widely partitioned."""
-    sc = df.sparkSession.sparkContext
-    n = min_partitions or sc.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

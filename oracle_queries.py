@@ -49,9 +49,14 @@ POPULATION_FILTER = {
 }
 
 
-def p2_ctes(population: str = "all", labelled: bool = True) -> str:
-    """CTEs ending in ``p2``: base features of a population."""
+def p2_ctes(population: str = "all", labelled: bool = True, stats: str | None = None) -> str:
+    """CTEs ending in ``p2``: base features of a population, with the global values of the
+    p2 table ``stats`` or else its own."""
     label_cols = "pop.inactive," if labelled else ""
+    max_reg, min_last, max_first = (f"(SELECT {e} FROM {stats or 'j'})" for e in (
+        "max(registration_time)", f"min({'last_trx_date' if stats else 'last_d'})",
+        f"max({'first_trx_date' if stats else 'first_d'})"))
+    max_last = f"(SELECT max(last_trx_date) FROM {stats})" if stats else "(SELECT max(last_f) FROM j2)"
     return f"""{STANDIN},
 pop AS (SELECT * FROM acct_labels_all WHERE {POPULATION_FILTER[population]}),
 trx AS (SELECT source, target, CAST(time AS DATE) AS d, amount FROM ledger),
@@ -85,14 +90,14 @@ j AS (
 ),
 j2 AS (
   SELECT j.*,
-         (epoch_us((SELECT max(registration_time) FROM j)) - epoch_us(registration_time))
-           / 86400000000.0 AS dfr_raw,
-         coalesce(last_d, (SELECT min(last_d) FROM j)) AS last_f,
-         coalesce(first_d, (SELECT max(first_d) FROM j)) AS first_f
+         CASE WHEN registration_time IS NOT NULL THEN
+           greatest((epoch_us({max_reg}) - epoch_us(registration_time)) / 86400000000.0, 0) END AS dfr_raw,
+         coalesce(last_d, {min_last}) AS last_f,
+         coalesce(first_d, {max_first}) AS first_f
   FROM j
 ),
 j3 AS (
-  SELECT j2.*, date_diff('day', last_f, (SELECT max(last_f) FROM j2)) AS dpl FROM j2
+  SELECT j2.*, date_diff('day', last_f, {max_last}) AS dpl FROM j2
 ),
 flags AS (SELECT id, CASE WHEN dpl > 30 THEN 1 ELSE 0 END AS is_stage_2 FROM j3),
 r2 AS (SELECT t.target AS id, count(DISTINCT t.source) AS r2
@@ -243,27 +248,95 @@ lg AS (SELECT lg0.*,
   {ratios} FROM lg0)"""
 
 
-def model_features_sql(population: str = "all", labelled: bool = True) -> str:
+def _scaled_ctes(bounds_from: str = "am", clamp: bool = False) -> str:
+    """CTEs from ``lg`` to ``fin``: amounts, min-max bounds of ``bounds_from``, scaled logs."""
     vals = ",\n  ".join(f"{e} AS v_{c}" for c, e in AMOUNTS.items())
     bounds = ", ".join(f"min(v_{c}) AS lo_{c}, max(v_{c}) AS hi_{c}" for c in AMOUNTS)
+    share = "least(greatest((v_{c} - lo_{c}) / (hi_{c} - lo_{c}), 0), 1)" if clamp else "(v_{c} - lo_{c}) / (hi_{c} - lo_{c})"
     scaled = ",\n  ".join(
-        f"CASE WHEN hi_{c} > lo_{c} THEN ln((v_{c} - lo_{c}) / (hi_{c} - lo_{c}) + 1e-6) ELSE 0 END"
-        f" AS {c}_log" for c in AMOUNTS)
-    numeric = (KEPT_BASE + [c + "_log" for c in LOG_COLUMNS] + [r[0] for r in LOG_RATIOS]
-               + [c + "_log" for c in AMOUNTS] + ["amount_sent_receive_logratio"])
-    out = ["id"] + (["inactive"] if labelled else []) + numeric
-    doubles = set(numeric) - {"days_past_last_trxs", "is_stage_2"}
-    return f"""WITH {p2_ctes(population, labelled)},
-{_logs_ctes()},
-am AS (SELECT lg.*,
+        f"CASE WHEN hi_{c} > lo_{c} THEN ln({share.format(c=c)} + 1e-6) ELSE 0 END AS {c}_log" for c in AMOUNTS)
+    return f"""am AS (SELECT lg.*,
   {vals} FROM lg),
-mm AS (SELECT {bounds} FROM am),
+mm AS (SELECT {bounds} FROM {bounds_from}),
 sc AS (SELECT am.*,
   {scaled} FROM am, mm),
 fin AS (SELECT sc.*,
   coalesce(amount_sent_log / nullif(amount_received_log, 0), 0) AS amount_sent_receive_logratio
-  FROM sc)
-SELECT {_rounded(out, doubles)} FROM fin"""
+  FROM sc)"""
+
+
+MODEL_NUMERIC = (KEPT_BASE + [c + "_log" for c in LOG_COLUMNS] + [r[0] for r in LOG_RATIOS]
+                 + [c + "_log" for c in AMOUNTS] + ["amount_sent_receive_logratio"])
+MODEL_DOUBLES = set(MODEL_NUMERIC) - {"days_past_last_trxs", "is_stage_2"}
+
+
+def model_features_sql(population: str = "all", labelled: bool = True) -> str:
+    out = ["id"] + (["inactive"] if labelled else []) + MODEL_NUMERIC
+    return f"""WITH {p2_ctes(population, labelled)},
+{_logs_ctes()},
+{_scaled_ctes()}
+SELECT {_rounded(out, MODEL_DOUBLES)} FROM fin"""
+
+
+def _dummy_lists(fitted_on: str, of: str) -> str:
+    """CTEs ending in ``dl``: each id of ``of`` with its dummies fitted on ``fitted_on``, sorted."""
+    long = "\n  UNION ALL ".join(f"SELECT id, '{c}' AS column_name, {c} AS value FROM {of}" for c in ONEHOT)
+    return f"""{_onehot_ctes(fitted_on)},
+own AS ({long}),
+dl AS (SELECT own.id, string_agg(own.value, ',' ORDER BY own.value) AS dummies FROM own
+       JOIN fit ON fit.column_name = own.column_name AND fit.value = own.value AND fit.kept AND NOT fit.baseline
+       GROUP BY own.id)"""
+
+
+def features_full_sql(population: str, labelled: bool) -> str:
+    out = ["id"] + (["inactive"] if labelled else []) + MODEL_NUMERIC
+    return f"""WITH {p2_ctes(population, labelled)},
+{_logs_ctes()},
+{_scaled_ctes()},
+{_dummy_lists("p2", "p2")}
+SELECT {_rounded(["fin." + c for c in out], {"fin." + c for c in MODEL_DOUBLES}).replace("AS fin.", "AS ")},
+       coalesce(dl.dummies, '') AS dummies FROM fin LEFT JOIN dl ON dl.id = fin.id"""
+
+
+def scoring_features_sql() -> str:
+    vals = ",\n  ".join(f"{e} AS v_{c}" for c, e in AMOUNTS.items())
+    return f"""WITH tr AS (WITH {p2_ctes("train")} SELECT * FROM p2),
+tram AS (SELECT {vals} FROM tr),
+{p2_ctes("test", False, "tr")},
+{_logs_ctes()},
+{_scaled_ctes("tram", clamp=True)},
+{_dummy_lists("tr", "p2")}
+SELECT {_rounded(["fin." + c for c in ["id", *MODEL_NUMERIC]], {"fin." + c for c in MODEL_DOUBLES}).replace("AS fin.", "AS ")},
+       coalesce(dl.dummies, '') AS dummies FROM fin LEFT JOIN dl ON dl.id = fin.id"""
+
+
+def csv_roundtrip_sql() -> str:
+    return f"""WITH {STANDIN}
+SELECT id, CASE WHEN id % 7 IN (1, 2) THEN NULL WHEN id % 7 IN (3, 4) THEN 0.0
+                ELSE round(start_balance, 6) END AS start_balance,
+       strftime(registration_time, '%Y-%m-%d %H:%M:%S') AS registration_time,
+       account_type, business_type, area_name, area_type,
+       CASE WHEN id % 7 NOT IN (5, 6) THEN gender END AS gender
+FROM acct_users"""
+
+
+def top_k_sql() -> str:
+    return f"""WITH {p2_ctes('all')}
+SELECT CAST(row_number() OVER (ORDER BY days_past_last_trxs DESC, id) AS INTEGER) AS rank, id, days_past_last_trxs
+FROM p2 ORDER BY days_past_last_trxs DESC, id LIMIT 100"""
+
+
+def accuracy_sql() -> str:
+    return f"""WITH {p2_ctes('all')}
+SELECT count(*) AS n_rows, round(count(*) FILTER (inactive = is_stage_2) / count(*), 6) AS accuracy FROM p2"""
+
+
+def label_feature_split_sql() -> str:
+    total = " + ".join(MODEL_NUMERIC)
+    return f"""WITH {p2_ctes('all')},
+{_logs_ctes()},
+{_scaled_ctes()}
+SELECT id, inactive, {len(MODEL_NUMERIC)} AS n_features, round({total}, 4) AS total FROM fin"""
 
 
 EDA_LOGS = ["start_balance", "n_transactions", "n_bonuses", "n_partners", "n_partners_stage_2",
@@ -282,9 +355,9 @@ SELECT {_rounded(out, doubles)} FROM lg"""
 ONEHOT = ["business_type", "area_name", "area_type", "gender"]
 
 
-def _onehot_ctes() -> str:
+def _onehot_ctes(source: str = "p2") -> str:
     long = "\n  UNION ALL ".join(
-        f"SELECT id, '{c}' AS column_name, {c} AS value FROM p2" for c in ONEHOT)
+        f"SELECT id, '{c}' AS column_name, {c} AS value FROM {source}" for c in ONEHOT)
     return f"""lp AS ({long}),
 cnt AS (SELECT column_name, value, count(*) AS n FROM lp WHERE value IS NOT NULL
         GROUP BY column_name, value),
@@ -528,6 +601,13 @@ def oracle_sql() -> dict[str, str]:
         "dormant_neighbours": dormant_neighbours_sql(),
         "model_features": model_features_sql("all", True),
         "test_features": model_features_sql("test", False),
+        "model_features_full": features_full_sql("all", True),
+        "test_features_full": features_full_sql("test", False),
+        "scoring_features": scoring_features_sql(),
+        "csv_roundtrip": csv_roundtrip_sql(),
+        "top_k_deterministic": top_k_sql(),
+        "accuracy_fixed_predictions": accuracy_sql(),
+        "label_feature_split": label_feature_split_sql(),
         "eda_features": eda_features_sql(),
         "onehot_fit": onehot_fit_sql(),
         "onehot_encode": onehot_encode_sql(),

@@ -89,12 +89,3 @@ def test_refit_vs_reuse_stats(spark):
     # refitted: id 2 registered last in the sub-population -> 0 days
     assert refit["days_from_registr"].tolist() == [10.5, 0.0]
     assert reused["days_from_registr"].tolist() == [30.0, 19.5]
-
-
-def test_flags_and_dates(spark):
-    from ledgerlens.operators.ledger import with_flags
-
-    _, _, trx = micro(spark)
-    f = with_flags(trx).toPandas()
-    assert f.is_bonus.sum() == 1 and f.is_penalty.sum() == 1
-    assert str(f.date.min()) == "2020-01-02"

@@ -46,3 +46,39 @@ def test_cv_search_and_pca(spark):
 def test_regparam_mapping():
     lr = M.logistic("l1", C=10.0, n_rows=100)
     assert lr.getRegParam() == pytest.approx(1e-3) and lr.getElasticNetParam() == 1.0
+
+
+def test_depth_outside_the_range_is_an_error():
+    with pytest.raises(ValueError):
+        M.forest_params({**SMALL_FOREST, "max_depth": 80})
+    assert M.SEARCH_SPACES["forest"]["max_depth"] == ("int", 10, 30)
+
+
+CORES = """
+import sys
+sys.path.insert(0, {root!r})
+from ledgerlens.session import get_session
+spark = get_session(master="local[" + sys.argv[1] + "]", shuffle_partitions=int(sys.argv[2]))
+from ledgerlens.ml import models as M
+from ledgerlens.plans.registry import _train_vectors
+from ledgerlens.plans.scoring import rank_inactive
+from ledgerlens.sources import standin as S
+sf = {sf!r}
+run = rank_inactive(S.account_labels(spark, sf, "train"), S.population_ids(spark, sf, "test"), S.users(spark, sf),
+                    S.ledger(spark, sf), k=20, grid={grid!r})
+print("TOP", [r.id for r in run.top.collect()])
+print("CV", [round(s, 9) for _, s in M.cv_search(_train_vectors(spark, sf), "logistic", n_points=2).scores])
+"""
+
+
+def test_results_do_not_depend_on_the_cores():
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = CORES.format(root=ROOT, sf=SF_SMALL, grid=SMALL_FOREST)
+    out = [[x for x in subprocess.run([sys.executable, "-c", code, cores, parts], capture_output=True, text=True, check=True,
+                                      timeout=600).stdout.splitlines() if x.startswith(("TOP", "CV"))]
+           for cores, parts in (("2", "3"), ("4", "8"))]
+    assert len(out[0]) == 2 and out[0] == out[1]

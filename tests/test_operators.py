@@ -21,7 +21,7 @@ def test_exact_quantiles_match_numpy(spark):
             rows.append((g, float(v), float(round(v)), None if rng.random() < 0.1 else float(v)))
     df = spark.createDataFrame(rows, "g int, a double, b double, c double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    q = exact_quantiles(df, ["a", "b", "c"], probs, ["g"], num_partitions=4).toPandas()
+    q = exact_quantiles(df, ["a", "b", "c"], probs, ["g"]).toPandas()
     for (g, col), sub in q.groupby(["g", "column_name"]):
         vals = np.array([r[{"a": 1, "b": 2, "c": 3}[col]] for r in rows if r[0] == g], dtype=float)
         vals = vals[~np.isnan(vals)]
@@ -94,3 +94,51 @@ def test_approx_quantiles_close_to_exact(spark):
     for p, v in zip(q.p, q.value):
         rank = (vals <= v).mean()
         assert abs(rank - p) < 0.01
+
+
+def test_quantiles_of_one_value_in_most_rows(spark):
+    """90% of the rows share one value: no task holds more than one row for each distinct value."""
+    from ledgerlens.operators.distributions import box_stats
+    from ledgerlens.operators.quantiles import SortedValues
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, 7.0).otherwise(F.col("id").cast("double")).alias("a"),
+                                    F.lit(None).cast("string").alias("g"))
+    held = SortedValues(df, ["a"], ["g"]).values
+    sizes = [r["count"] for r in held.groupBy("pid").count().collect()]
+    assert sum(sizes) == 2001 and max(sizes) <= 2001
+    assert held.agg(F.sum("w")).first()[0] == 20_000
+    box = box_stats(df, ["a"], ["g"]).first()
+    a = df.toPandas().a.to_numpy()
+    assert (box.q1, box["median"], box.q3, box.n) == (7.0, 7.0, 7.0, 20_000)
+    assert box.n_outliers == (a != 7.0).sum() and box.whisker_low == box.whisker_high == 7.0
+
+
+def test_full_dummies_need_a_bound(spark):
+    from ledgerlens.operators.encoding import full_dummies
+
+    df = spark.createDataFrame([("a", 1)] * 9 + [("b", 2)], "c string, x int")
+    with pytest.raises(ValueError):
+        full_dummies(df, ["c"])
+    with pytest.raises(ValueError):
+        full_dummies(df, ["c"], min_share=0.2)
+    assert full_dummies(df, ["c"], min_share=0.05).columns == ["x", "c_a", "c_b"]
+    assert full_dummies(df, ["c"], values={"c": ["a", "z"]}).agg(F.sum("c_a"), F.sum("c_z")).first() == (9, 0)
+
+
+def test_fitted_bounds_clamp_values_outside(spark):
+    from ledgerlens.functions.expr import minmax_log
+
+    df = spark.createDataFrame([(x,) for x in (-10.0, 0.0, 50.0, 100.0, 250.0)], "x double")
+    low, zero, mid, top, high = (r[0] for r in df.select(minmax_log("x", F.lit(0.0), F.lit(100.0))).collect())
+    assert low == zero < mid < top == high
+    assert zero == pytest.approx(math.log(1e-6)) and top == pytest.approx(math.log(1 + 1e-6))
+
+
+def test_age_of_accounts_registered_after_the_fitted_latest(spark):
+    from fixtures import micro
+    from ledgerlens.plans.base import base_features, population_stats
+
+    labels, users, trx = micro(spark)
+    old = base_features(labels.where("id <> 4"), users, trx)
+    late = base_features(labels.where("id = 4"), users, trx, stats=population_stats(old)).first()
+    assert late.days_from_registr == 0.0 and late.count_intensity == 0.0

@@ -58,3 +58,18 @@ def test_hot_account_matches_brute_force(spark):
     for t in (200, 333, 599):
         assert got.loc[t, "n_transactions_received"] == recv.loc[t, "n"]
         assert got.loc[t, "n_partners_received"] == recv.loc[t, "p"]
+
+
+def test_dormant_neighbours_scan_the_ledger_once(spark):
+    from ledgerlens.plans.registry import dormant_neighbours_query
+
+    plan = executed(dormant_neighbours_query(spark, SF_SMALL))
+    assert "lineitem.parquet" not in plan  # only the written pair table and what was made from it
+
+
+def test_density_does_not_shuffle_values_on_the_column_name(spark):
+    from ledgerlens.operators.distributions import density_curves
+
+    df = spark.range(1000).select((F.col("id") % 50).cast("double").alias("a"), F.col("id").cast("double").alias("b"))
+    plan = executed(density_curves(df, ["a", "b"], points=20)).split("Initial Plan")[0]
+    assert "BroadcastHashJoin [column_name" in plan

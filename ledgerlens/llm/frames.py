@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerlens.sources.files import stage_folder
+
 # Fixed value: the white space that separates words and is stripped from lines.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -38,10 +40,9 @@ def free_name(df: DataFrame, stem: str) -> str:
 
 
 def shared_folder(spark: SparkSession, stem: str) -> str:
-    """A new folder name below the checkpoint folder, which the driver and all executors share."""
-    from ledgerlens.session import checkpoint_dir
-
-    return f"{checkpoint_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+    """A new folder name among the application's stages, which the driver and all executors share
+    (``sources.files.remove_stages`` removes them)."""
+    return f"{stage_folder(spark)}/{stem}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, stem: str) -> DataFrame:

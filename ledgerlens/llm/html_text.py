@@ -4,8 +4,9 @@ Every piece of text of a page belongs to the path of open tags above it.  For
 each path the length of its text and its punctuation are added up over the page
 and set against the number of pieces; the two ratios are smoothed between
 neighbouring paths, fused by their product, and a threshold on the fused score
-separates the paths of the article from those of the page's frame.  What an
-element says about itself (nav, footer, form, class="ad", ...) shuts its path
+selects the paths of the article, wherever they lie in the page; gaps inside their
+blocks are closed.  Being inside <article> or <main> doubles a path's score.  What
+an element says about itself (nav, footer, form, class="ad", ...) shuts its path
 out beforehand.
 """
 
@@ -50,6 +51,11 @@ _SIBLINGS = {k: frozenset(v.split()) for k, v in _SIBLINGS.items()}
 _SCOPES = frozenset("table ul ol dl article section div body main aside nav".split())
 _ROOTS = frozenset(["article", "main"])
 _WHOLE = frozenset(["html", "body", "main", "article"])
+_PAGE = frozenset(["", "html", "body"])
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# Elements that hold running text, and those that only group them.
+_LINES = _HEADINGS | frozenset("p li dt dd blockquote pre figcaption address center".split())
+_LISTS = frozenset("ul ol dl figure".split())
 _COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|repl(?:y|ies)|respond)(?:$|[\s_-])", re.I)
 
 
@@ -138,8 +144,15 @@ def _pieces(page: str, paths: _Paths) -> list[tuple[int, int, str]]:
     return out
 
 
-def _content_root(pieces: list[tuple[int, int, str]], paths: _Paths) -> int:
-    """The path below which the article lies, by fused text and punctuation ratios."""
+def _selected(pieces: list[tuple[int, int, str]], paths: _Paths) -> list[bool]:
+    """For every piece, whether it belongs to the article.
+
+    The paths whose fused score reaches the threshold select the text, wherever
+    they lie.  Content blocks are then found from the top: an element is opened
+    if it is the page itself or if one part holds nine tenths of its content; else
+    it is a block, in which the gaps are closed.  Every part of an opened element
+    that has content is looked at in the same way.
+    """
     size: dict[int, int] = defaultdict(int)
     marks: dict[int, int] = defaultdict(int)
     count: dict[int, int] = defaultdict(int)
@@ -149,33 +162,87 @@ def _content_root(pieces: list[tuple[int, int, str]], paths: _Paths) -> int:
             marks[path] += len(_MARKS.findall(text))
             count[path] += 1
     if not size:
-        return 0
+        return [False] * len(pieces)
     order = list(size)  # by first appearance
     text_ratio = [size[p] / count[p] for p in order]
     mark_ratio = [marks[p] / count[p] for p in order]
+    parent, tag = paths.parent, paths.tag
+    n_paths = len(parent)
+    # the element that a path's line stands in, and whether its text is a link
+    line, link, named = list(range(n_paths)), [False] * n_paths, [False] * n_paths
+    for p in range(1, n_paths):  # parents have smaller numbers
+        if tag[p] in _INLINE:
+            line[p] = line[parent[p]]
+            link[p] = tag[p] == "a" or link[parent[p]]
+        named[p] = named[parent[p]] or tag[p] in _ROOTS
+
+    def near(p: int, q: int) -> bool:
+        """Neighbours in the tree, or lines of running text that follow each other."""
+        if parent[p] == parent[q] or p == parent[q] or q == parent[p]:
+            return True
+        return not (link[p] or link[q]) and tag[line[p]] in _LINES and tag[line[q]] in _LINES
+
+    before = [i - 1 if i and near(order[i], order[i - 1]) else i for i in range(len(order))]
+    after = [i + 1 if i + 1 < len(order) and near(order[i], order[i + 1]) else i for i in range(len(order))]
 
     def smooth(x: list[float]) -> list[float]:
-        return [0.5 * v + 0.25 * x[max(i - 1, 0)] + 0.25 * x[min(i + 1, len(x) - 1)] for i, v in enumerate(x)]
+        return [0.5 * v + 0.25 * x[i] + 0.25 * x[j] for v, i, j in zip(x, before, after)]
 
-    fused = [a * (1 + b) for a, b in zip(smooth(text_ratio), smooth(mark_ratio))]
+    fused = [a * (1 + b) * (2 if named[p] else 1) for p, a, b in zip(order, smooth(text_ratio), smooth(mark_ratio))]
     mean = sum(fused) / len(fused)
-    content = [p for p, f in zip(order, fused) if f >= 0.5 * mean]
-    # text of the content paths below every path
-    below: dict[int, int] = defaultdict(int)
-    for p in content:
-        for q in paths.up(p):
-            below[q] += size[p]
-    total = below[0]
-    named = [q for q in below if paths.tag[q] in _ROOTS]
-    outer = [q for q in named if not any(paths.tag[u] in _ROOTS for u in paths.up(paths.parent[q]))]
-    if outer and 2 * max(below[q] for q in outer) >= total:
-        return max(outer, key=lambda q: (below[q], -q))
-    root = 0  # the deepest block that still holds nearly all content
-    while True:
-        inner = [q for q in below if paths.parent[q] == root and 10 * below[q] >= 9 * total]
-        if not inner or paths.tag[inner[0]] in _INLINE or paths.tag[inner[0]] == "p":
-            return root
-        root = inner[0]
+    content = {p for p, f in zip(order, fused) if f >= 0.5 * mean}
+    # all text and content below every path, the content of its lines, of its largest part, and articles in it
+    whole, below, own, part = [0] * n_paths, [0] * n_paths, [0] * n_paths, [0] * n_paths
+    articles = [False] * n_paths
+    for p in range(n_paths - 1, -1, -1):
+        whole[p] += size.get(p, 0)
+        if p in content:
+            below[p] += size[p]
+            own[p] += size[p]
+        if p:
+            q = parent[p]
+            whole[q] += whole[p]
+            below[q] += below[p]
+            if tag[p] in _INLINE or tag[p] in _LINES or tag[p] in _LISTS:
+                own[q] += own[p]
+            else:
+                part[q] = max(part[q], below[p])
+            articles[q] = articles[q] or articles[p] or (tag[p] == "article" and below[p] > 0)
+
+    def is_block(p: int) -> bool:
+        if tag[p] in _PAGE:
+            return 2 * own[p] >= below[p]
+        if tag[p] in _INLINE or tag[p] in _LINES:
+            return True
+        if tag[p] in _ROOTS and 2 * below[p] >= whole[p] and not articles[p]:
+            return True
+        return 10 * part[p] < 9 * below[p]
+
+    opened, block = [False] * n_paths, [False] * n_paths
+    for p in range(n_paths):
+        block[p] = p > 0 and block[parent[p]]
+        if not block[p] and below[p] and (p == 0 or opened[parent[p]]):
+            block[p] = is_block(p)
+            opened[p] = not block[p]
+    kept = [block[path] or path in content for path, _, _ in pieces]
+    # a heading directly above kept text belongs to it
+    full = [i for i, (_, _, text) in enumerate(pieces) if text.strip()]
+    for i, j in zip(full[-2::-1], full[:0:-1]):
+        kept[i] = kept[i] or (kept[j] and tag[line[pieces[i][0]]] in _HEADINGS)
+    # gaps between kept texts are closed, if an element below the page holds both sides and there is text beside links
+    inner = [False] * n_paths  # below the page
+    for p in range(1, n_paths):
+        inner[p] = inner[parent[p]] or tag[p] not in _PAGE
+    sides = [i for i in full if kept[i]]
+    for i, j in zip(sides, sides[1:]):
+        gap = [pieces[g] for g in range(i + 1, j) if pieces[g][2].strip()]
+        a, b = pieces[i][0], pieces[j][0]
+        while a != b:
+            a, b = (parent[a], b) if a > b else (a, parent[b])
+        linked = sum(len(text.strip()) for path, _, text in gap if link[path])
+        if inner[a] and 2 * linked < sum(len(text.strip()) for _, _, text in gap) or not gap and pieces[i][1] == pieces[j][1]:
+            kept[i + 1:j] = [True] * (j - i - 1)
+    return kept
 
 
 def extract(page: str | None) -> str:
@@ -184,13 +251,9 @@ def extract(page: str | None) -> str:
         return ""
     paths = _Paths()
     pieces = _pieces(page, paths)
-    root = _content_root(pieces, paths)
-    inside = {0: root == 0}
-    for p in range(1, len(paths.parent)):  # parents have smaller numbers
-        inside[p] = p == root or inside[paths.parent[p]]
     blocks: dict[int, list[str]] = {}
-    for path, block, text in pieces:
-        if inside[path]:
+    for (_, block, text), kept in zip(pieces, _selected(pieces, paths)):
+        if kept:
             blocks.setdefault(block, []).append(text)
     lines = (_SPACES.sub(" ", "".join(b)).strip() for b in blocks.values())
     return " ".join(x for x in lines if x)

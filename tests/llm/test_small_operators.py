@@ -271,6 +271,24 @@ def test_html_without_article_uses_the_ratios():
     assert text.startswith("Title A sentence") and "Terms" not in text and "Home" not in text
 
 
+LONG = "A sentence, of some length, with marks. " * 8
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class=a><a href=1>Home</a></div><h1>Title of it</h1><p class=l>The lead, one sentence.</p>"
+    f"<div class=b><p>{LONG}</p><p>{LONG}</p></div><div class=c>Terms</div></body>",
+    f"<body><div id=page><div class=a><a href=1>Home</a></div><h1>Title of it</h1><p class=l>The lead, one sentence.</p>"
+    f"<div class=b><p>{LONG}</p><p>{LONG}</p></div><div class=c>Terms</div></div></body>"])
+def test_html_title_and_lead_outside_the_body_div(page):
+    assert html_text.extract(page) == f"Title of it The lead, one sentence. {LONG}{LONG}".strip()
+
+
+def test_html_several_articles_and_text_outside():
+    page = (f"<body><ul><li><a href=1>Home</a></ul><article id=a><h2>First</h2><p>{LONG}{LONG}</p></article>"
+            f"<article id=b><h2>Second</h2><p>{LONG}</p></article><div class=x><p>{LONG}</p></div><div class=c>Terms</div></body>")
+    assert html_text.extract(page) == f"First {LONG}{LONG}Second {LONG}{LONG}".strip()
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain  text &lt;", "plain text <"), ("<p>a<p>b", "a b"), ("a < b > c", "a < b > c"), ("<nav>x</nav>", ""),
     ("<p>a</b>b</p", "ab</p"), ("<article>x<script>y", "x"), ("<!-- never closed <p>x", "<!-- never closed"),

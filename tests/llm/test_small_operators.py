@@ -132,6 +132,18 @@ def test_pii_trees(spark):
         assert base == pii_brute(r.text) and set(base) <= {tuple(s) for s in r.pii}
 
 
+@pytest.mark.parametrize("docs", ["sf0.001", "sf0.01", "few positives", "empty"])
+def test_pii_trees_at_every_size(spark, docs):
+    if docs.startswith("sf"):
+        model = pii.fit_pii(spark.read.parquet(f"/root/testdata/{docs}/documents.parquet"))
+    else:
+        rows = [(i, f"about {10_000_000 + 7919 * i} rows") for i in range(3000)] + [(5000, "mail a@b.co"), (5001, "at +49 30 1234567")]
+        model = pii.fit_pii(frame(spark, rows if docs == "few positives" else []), sample=200)
+    assert len(model.trees) == 10 and model.margin < float("inf") and model.held_out_precision >= 0.98
+    found = pii.find_pii(frame(spark, [(1, "Call me: 743-555-3824 today"), (2, "version 5.17.2, 12345678 rows")]), model)
+    assert {r.doc_id: [tuple(s) for s in r.pii] for r in found.collect()} == {1: [("phone", 9, 21)], 2: []}
+
+
 def test_pii_tree_expressions_equal_the_model(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler

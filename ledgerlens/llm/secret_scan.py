@@ -29,8 +29,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-Za-z0-9+/]{38,}={0,2}")
+# Line ends may be escaped, as in JSON; header lines may stand above the body.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(?:\s|\\{1,4}[nrt])*+"
+                  r"((?:[A-Za-z][A-Za-z-]{0,40}:[^\n\r\\]{1,200}(?:\s|\\{1,4}[nrt])++){0,8})"
+                  r"((?:[A-Za-z0-9+/=\s]|\\{1,4}[nrt/])++)-----END \1-----")
+_ESCAPED = re.compile(r"\\+(?:[nrt]|(/))")
+_DEK = re.compile(r"DEK-Info:\x20*([A-Za-z0-9-]+),([0-9A-Fa-f]{16,32})(?![0-9A-Fa-f])")
+_BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))M[A-Za-z0-9+/]{38,}={0,2}")
+_URL_BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))M[A-Za-z0-9_-]{38,}={0,2}")
 _HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
 _SSH = re.compile(r"(?<![A-Za-z0-9+/])b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/]{20,}={0,2}")
 
@@ -65,7 +71,7 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_private_key(data: bytes | None) -> bool:
-    """DER of an RSA, EC or PKCS#8 private key: one SEQUENCE over everything that starts with a
+    """DER of an RSA, DSA, EC or PKCS#8 private key: one SEQUENCE over everything that starts with a
     version number and holds the numbers or strings that such a key has."""
     if not data or data[0] != 0x30:
         return False
@@ -78,12 +84,24 @@ def is_private_key(data: bytes | None) -> bool:
     tags = [t for t, _ in parts]
     if len(parts) >= 9 and tags[:9] == [0x02] * 9:  # RSA: version and eight numbers
         return len(parts[1][1]) >= 32
+    if tags == [0x02] * 6:  # DSA: version, p, q, g, public and private number
+        p, q, x = (len(parts[i][1]) for i in (1, 2, 5))
+        return parts[0][1] == b"\0" and p >= 64 and 20 <= q <= 65 and 0 < x <= q
     if len(parts) >= 3 and tags[1] == 0x30 and tags[2] == 0x04:  # PKCS#8: algorithm, key bytes
         algorithm = der_items(parts[1][1])
         return bool(algorithm) and algorithm[0][0] == 0x06 and len(parts[2][1]) >= 16
     return len(parts) >= 2 and tags[1] == 0x04 and 16 <= len(parts[1][1]) <= 80  # EC
 
 
+def is_encrypted_body(headers: str, data: bytes | None) -> bool:
+    """The body of a traditional encrypted PEM: its headers name a cipher and an initial vector, and
+    the bytes fill whole blocks of the vector's size."""
+    dek = _DEK.search(headers)
+    if not dek or "ENCRYPTED" not in headers or not data or len(data) < 32:
+        return False
+    return "CBC" not in dek[1].upper() or 2 * len(data) % len(dek[2]) == 0
+
+
 def is_jwt(s: str) -> bool:
     """A signed token: a JSON header naming an algorithm, and a JSON payload."""
     head, body, _ = s.split(".")
@@ -128,12 +146,14 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
         out += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_jwt(m[0])]
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            data = _unbase64(m[2])
-            if is_private_key(data) or is_ssh_key(data) or ("ENCRYPTED" in m[1] and data and der_items(data)):
+            data = _unbase64(_ESCAPED.sub(lambda e: e[1] or "", m[3]))
+            if is_private_key(data) or is_ssh_key(data) or is_encrypted_body(m[2], data) or ("ENCRYPTED" in m[1] and data and der_items(data)):
                 out.append(("pem", *m.span()))
     inside = [s[1:] for s in out]
     fresh = lambda m: all(m.end() <= a or m.start() >= b for a, b in inside)
-    out += [("der", *m.span()) for m in _BASE64.finditer(text) if fresh(m) and is_private_key(_unbase64(m[0]))]
+    der = {m.span() for pattern in (_BASE64, _URL_BASE64) for m in pattern.finditer(text)
+           if fresh(m) and is_private_key(_unbase64(m[0]))}
+    out += [("der", *span) for span in sorted(der)]
     if "30" in text:
         out += [("hexder", *m.span()) for m in _HEX_DER.finditer(text)
                 if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0]))]

@@ -219,6 +219,33 @@ def test_secrets_are_confirmed_by_structure():
     assert [s[0] for s in secret_scan.confirmed_spans(base64.b64encode(ssh).decode())] == ["sshkey"]
 
 
+def armor(name, data, head="", end="\n"):
+    body = base64.b64encode(data).decode()
+    lines = [f"-----BEGIN {name}-----", *head.splitlines(), *[body[i:i + 64] for i in range(0, len(body), 64)], f"-----END {name}-----"]
+    return end.join(lines)
+
+
+def test_secret_keys_in_other_forms():
+    number = lambda n: der(2, b"\x01" * n)
+    rsa = der(0x30, der(2, b"\x00"), number(64), number(3), *[number(32)] * 6)
+    dsa = der(0x30, der(2, b"\x00"), number(128), number(20), number(128), number(127), number(20))
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    assert secret_scan.is_private_key(dsa) and not secret_scan.is_private_key(dsa[:-1])
+    for pem in (armor("RSA PRIVATE KEY", rsa, end="\\n"), armor("RSA PRIVATE KEY", rsa, end="\\r\\n"), armor("DSA PRIVATE KEY", dsa),
+                armor("RSA PRIVATE KEY", b"\x9b\x02" * 160, head), armor("RSA PRIVATE KEY", b"\x9b\x02" * 160, head, "\\n")):
+        text = '{"private_key": "' + pem + '\\n"}'
+        assert secret_scan.confirmed_spans(text) == [("pem", 17, 17 + len(pem))]
+    for bad in (armor("RSA PRIVATE KEY", b"\x9b\x02" * 161, head), armor("RSA PRIVATE KEY", b"\x9b\x02" * 160)):
+        assert secret_scan.confirmed_spans(bad) == []
+    key = der(0x30, der(2, b"\x00"), der(0x30, der(6, b"\x2b\x65\x70")), der(4, bytes(range(200, 256)) + b"\xfb\xef\xbe\xfb" * 4))
+    url = base64.urlsafe_b64encode(key).decode()
+    assert "-" in url and "_" in url
+    assert secret_scan.confirmed_spans(f"k {url} x") == [("der", 2, 2 + len(url))]
+    plain = base64.b64encode(dsa).decode()
+    assert secret_scan.confirmed_spans(f'"\\n{plain}-x') == [("der", 3, 3 + len(plain))]
+
+
+
 def test_secret_redaction_empty_and_clashes(spark):
     docs = spark.createDataFrame([(1, "secret=abcdefgh tail", 3)], "doc_id bigint, text string, secrets int")
     assert secret_scan.scan_secrets(docs).columns == ["doc_id", "text", "secrets"]

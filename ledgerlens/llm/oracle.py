@@ -76,6 +76,27 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM s
 """
 
+_GROUP = "CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), {0}, 8) AS BIGINT)"
+FILL_IN_MIDDLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+                  {_GROUP.format(1)} AS h1, {_GROUP.format(9)} AS h2, {_GROUP.format(17)} AS h3, {_GROUP.format(25)} AS h4
+           FROM documents),
+c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+             greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM d),
+p AS (SELECT *, coalesce(array_to_string(u[:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+             coalesce(array_to_string(u[b + 1:], ''), '') AS suf,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+                  THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": JACCARD, "op2_decontamination": DECONTAMINATION, "op3_substring_dedup": SUBSTRING_DEDUP, "op6_line_dedup": LINE_DEDUP, "op8_warc": WARC}
+    return {"op1_ngram_jaccard": JACCARD, "op2_decontamination": DECONTAMINATION, "op3_substring_dedup": SUBSTRING_DEDUP, "op6_line_dedup": LINE_DEDUP, "op8_warc": WARC,
+            "op11_fill_in_middle": FILL_IN_MIDDLE}

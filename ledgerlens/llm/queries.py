@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, line_dedup, pieces, pii, quality, rlz, secret_scan, warc
+from ledgerlens.llm import decontaminate, fim, html_text, jaccard, line_dedup, pieces, pii, quality, rlz, secret_scan, warc
 from ledgerlens.llm.frames import sha256_hex, table
 
 
@@ -78,6 +78,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim.restore(fim.fill_in_middle(docs).drop("text")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        sha256_hex(F.col("output")).alias("output_sha256"), sha256_hex(F.col("restored")).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard, op2_decontamination, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup, op7_sentencepiece, op8_warc, op9_secret_scan, op10_html_text)}
+        op1_ngram_jaccard, op2_decontamination, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup,
+        op7_sentencepiece, op8_warc, op9_secret_scan, op10_html_text, op11_fill_in_middle)}

@@ -3,11 +3,13 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-if ROOT not in sys.path:
-    sys.path.insert(0, ROOT)
+HERE = os.path.dirname(os.path.abspath(__file__))
+ROOT = os.path.dirname(os.path.dirname(HERE))
+for folder in (ROOT, HERE):
+    if folder not in sys.path:
+        sys.path.insert(0, folder)
 
-SF = "/root/testdata/sf0.001"
+from llm_fixtures import SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,13 +26,3 @@ def spark():
 def texts(spark):
     """Whole texts of the smallest documents table."""
     return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
-
-
-#: nulls, empty, blank, ties and repeated rows
-ODD = [(1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "one two three four"), (6, "one two three four"),
-       (None, "one two three four"), (7, "x" * 20_000), (8, "word " * 5_000), (9, "word " * 5_000),
-       (9, "word " * 5_000), (9, "other text of the same id"), (10, "a\n\nb\n" * 300), (11, "  padded  line \r\n")]
-
-
-def frame(spark, rows, schema="doc_id bigint, text string"):
-    return spark.createDataFrame(rows, schema)

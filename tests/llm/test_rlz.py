@@ -3,7 +3,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import ODD, frame
+from llm_fixtures import ODD, frame
 
 from ledgerlens.llm import buckets, rlz
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
-from conftest import ODD, ROOT, SF, frame
+from llm_fixtures import ODD, ROOT, SF, frame
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 

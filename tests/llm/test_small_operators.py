@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import ODD, SF, frame
+from llm_fixtures import ODD, SF, frame
 
 from ledgerlens.llm import html_text, line_dedup, pii, quality, secret_scan, warc
 

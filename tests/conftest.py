@@ -3,11 +3,11 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-if ROOT not in sys.path:
-    sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
+HERE = os.path.dirname(os.path.abspath(__file__))
+ROOT = os.path.dirname(HERE)
+for folder in (ROOT, HERE):
+    if folder not in sys.path:
+        sys.path.insert(0, folder)
 
 
 @pytest.fixture(scope="session")

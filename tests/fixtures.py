@@ -1,10 +1,14 @@
-"""The hand-made micro fixture: 5 accounts, 7 transactions."""
+"""What the tests share, and the hand-made micro fixture: 5 accounts, 7 transactions."""
 
+import os
 from datetime import datetime
 from decimal import Decimal
 
 from ledgerlens.sources.schema import LABELS, TRANSACTIONS, USERS
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def ts(s):
     return datetime.strptime(s, "%Y-%m-%d %H:%M")

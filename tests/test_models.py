@@ -1,7 +1,7 @@
 """Model operators: rows-only checks plus score range and top-k size."""
 
 import pytest
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 from ledgerlens.ml import models as M
 from ledgerlens.plans.scoring import rank_inactive
@@ -75,7 +75,7 @@ def test_results_do_not_depend_on_the_cores():
     import subprocess
     import sys
 
-    from conftest import ROOT
+    from fixtures import ROOT
 
     code = CORES.format(root=ROOT, sf=SF_SMALL, grid=SMALL_FOREST)
     out = [[x for x in subprocess.run([sys.executable, "-c", code, cores, parts], capture_output=True, text=True, check=True,

@@ -4,7 +4,7 @@ import os
 import sys
 
 import pytest
-from conftest import ROOT, SF_SMALL
+from fixtures import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 from ledgerlens.plans import pipeline as P
 from ledgerlens.sources import standin as S
@@ -74,7 +74,7 @@ def test_a_cluster_needs_a_checkpoint_folder():
     import subprocess
     import sys
 
-    from conftest import ROOT
+    from fixtures import ROOT
 
     code = ("import sys; sys.path.insert(0, %r)\n"
             "from types import SimpleNamespace as N\n"

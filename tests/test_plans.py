@@ -1,6 +1,6 @@
 """Plan shape: the properties that decide behaviour at scale."""
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.ledger import account_activity

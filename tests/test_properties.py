@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.ledger import account_activity

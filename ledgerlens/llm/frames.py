@@ -45,11 +45,11 @@ def shared_folder(spark: SparkSession, stem: str) -> str:
     return f"{stage_folder(spark)}/{stem}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, stem: str) -> DataFrame:
+def staged(df: DataFrame, stem: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the lineage is cut and
     what follows reads only the columns it needs, also after executors are lost."""
     path = shared_folder(df.sparkSession, stem)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,8 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import decontaminate, fim, html_text, jaccard, line_dedup, pieces, pii, quality, rlz, secret_scan, warc
-from ledgerlens.llm.frames import sha256_hex, table
+from ledgerlens.llm import (
+    decontaminate,
+    fim,
+    html_text,
+    jaccard,
+    line_dedup,
+    pieces,
+    pii,
+    quality,
+    rlz,
+    secret_scan,
+    token_files,
+    warc,
+)
+from ledgerlens.llm.frames import sha256_hex, shared_folder, table
 
 
 def joined_spans(spans, kind="kind"):
@@ -85,7 +98,13 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256_hex(F.col("output")).alias("output_sha256"), sha256_hex(F.col("restored")).alias("restored_sha256"))
 
 
+def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-files")
+    token_files.write_ids(token_files.staged_tokens(table(spark, sf_dir, "documents")), path)
+    return token_files.read_ids(spark, path, with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard, op2_decontamination, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup,
-        op7_sentencepiece, op8_warc, op9_secret_scan, op10_html_text, op11_fill_in_middle)}
+        op7_sentencepiece, op8_warc, op9_secret_scan, op10_html_text, op11_fill_in_middle, op13_token_ids)}

@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ledgerlens.llm import arrays
 from ledgerlens.llm.frames import staged
 
 #: Ids from one checkpoint to the next.
@@ -33,7 +34,7 @@ SEGMENT_IDS = 1 << 20
 #: Longest code, unless more distinct ids need a longer one; the decoding table has 2 ** MAX_BITS rows.
 MAX_BITS = 18
 #: Words that a worker's table holds before it is emptied.
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 1_400_000
 #: Ids of one pass of the coder.
 SLICE_IDS = 1 << 20
 
@@ -49,29 +50,95 @@ def _default_tokenizer() -> str:
 
 # -- ids of texts
 
-# White space as the byte-level pre-tokenizer sees it.
-_WS = "\t-\r \x85\xa0  -     　"
-_WS_SET = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c))
-# A text falls apart, without a change to its ids, before every last white space of a run and
-# after the run; and after plain letters that a space or one of these marks follows.
-_CHUNK = re.compile(f" ?[A-Za-z]+(?=[ .,;:!?\n]|\\Z)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
+class WordTable:
+    """Numbers of words of up to 23 bytes: open addressing over their own bytes, many words at a time.
 
+    A word's key is its bytes in three numbers with its length on top, so equal keys are equal words."""
 
-class _Table(dict):
-    """Number of every word met so far; a new word gets the next number and waits for its ids."""
+    LONGEST = 23
+    _LOW = [np.array([(1 << 8 * min(max(n - at, 0), 8)) - 1 for n in range(24)], np.uint64) for at in (0, 8, 16)]
 
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
+    def __init__(self, bits: int = 21):
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys = [np.zeros(1 << bits, np.uint64) for _ in range(3)]
+        self.number = np.full(1 << bits, -1, np.int32)
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
-        return n
+    @classmethod
+    def key(cls, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+        """Keys of the words ``data[start:start + size]``; 24 more bytes must follow the last start."""
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the 8 bytes from every byte on
+        out = [eight[start + at] & low[size] for at, low in zip((0, 8, 16), cls._LOW)]
+        out[2] |= size.astype(np.uint64) << np.uint64(56)
+        return out
+
+    @staticmethod
+    def scattered(key: list[np.ndarray]) -> np.ndarray:
+        h = key[0] * np.uint64(0x9E3779B97F4A7C15) + key[1] * np.uint64(0xC2B2AE3D27D4EB4F) + key[2] * np.uint64(0x165667B19E3779F9)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ h >> np.uint64(32)
+
+    def find(self, key: list[np.ndarray], h: np.ndarray) -> np.ndarray:
+        """Numbers of the words, -1 where the table does not hold one."""
+        out = np.full(len(h), -1, np.int32)
+        todo, slot = np.arange(len(h)), h & self.mask
+        while len(todo):
+            there = self.number[slot]
+            same = there >= 0
+            goes_on = same.copy()
+            for held, own in zip(self.keys, key):
+                same &= held[slot] == own[todo]
+            out[todo[same]] = there[same]
+            goes_on &= ~same  # another word lies here; an empty place ends the search
+            todo, slot = todo[goes_on], slot[goes_on] + np.uint64(1) & self.mask
+        return out
+
+    def add(self, key: list[np.ndarray], h: np.ndarray, number: np.ndarray) -> None:
+        todo, slot = np.arange(len(h)), h & self.mask
+        while len(todo):
+            free = self.number[slot] < 0
+            self.number[slot[free]] = number[todo[free]]  # of several words for one place the last gets it
+            placed = free & (self.number[slot] == number[todo])
+            for held, own in zip(self.keys, key):
+                held[slot[placed]] = own[todo[placed]]
+            todo, slot = todo[~placed], slot[~placed] + np.uint64(1) & self.mask
+
+
+_KIND = np.zeros(256, np.uint8)  # 1 white space, 2 plain letters and digits, 4 marks that end a word
+_KIND[[9, 10, 11, 12, 13, 32]] = 1
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 2
+_KIND[[ord(c) for c in ".,;:!?"]] = 4
+# First bytes of white space beyond ASCII, and all of it in UTF-8.
+_WIDE = [c.encode() for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"] + [chr(c).encode() for c in range(0x2000, 0x200B)]
+_WIDE_FIRST = np.zeros(256, bool)
+_WIDE_FIRST[[w[0] for w in _WIDE]] = True
+_WIDE_SECOND = np.zeros((256, 256), bool)
+_WIDE_SECOND[[w[0] for w in _WIDE], [w[1] for w in _WIDE]] = True
+
+
+def word_starts(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Where the words of texts begin (``data[begin[i]:begin[i + 1]]``), ASCII white space only.
+
+    A text's ids are its words' ids one after another.  White space is cut before the last
+    character of a run that a word follows, and a single space goes with the word after it, as
+    the byte-level pre-tokenizer cuts; marks are cut from the plain letter or digit before them."""
+    n = len(data)
+    kind = np.concatenate(([0], _KIND[data], [0])).astype(np.uint8)
+    before, here, after = kind[:-2], kind[1:-1], kind[2:]
+    space = np.concatenate(([0], data)) == 32
+    ends = np.zeros(n + 1, bool)
+    ends[begin[1:]] = True  # a run at the end of a text stays whole
+    gap = here == 1
+    cut = (gap & ((before != 1) | ((after != 1) & ~ends[1:])))
+    cut |= ~gap & (before == 1) & ~space[:-1]
+    cut |= (here == 4) & (before == 2)
+    first = begin[:-1][begin[:-1] < begin[1:]]
+    cut[first] = True
+    return np.flatnonzero(cut)
 
 
 class WordEncoder:
-    """Ids of texts by a byte-level tokenizer file, word by word."""
+    """Ids of texts by a byte-level tokenizer file, word by word: the library encodes a word once."""
 
     def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
@@ -83,7 +150,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = not special
         # strings that the file treats as one id are cut out of the text before any word
         marks = [] if not special else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = re.compile("|".join(map(re.escape, marks))) if marks else None
+        self.marks = re.compile(b"|".join(re.escape(m.encode()) for m in marks)) if marks else None
         made = json.loads(self.tokenizer.to_str())
         cut = made["pre_tokenizer"] or {}
         # only such a file's ids are those of its words one after another
@@ -93,56 +160,110 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.table = _Table()
-        self.flat, self.size = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-
-    def _learn(self) -> None:
-        """Ids of the new words.  Words without white space at their end go to the library as lines
-        of one text: a line end between them has an id of its own that no such word holds."""
-        new, self.table.new = self.table.new, []
-        for i in range(0, len(new), 1000):
-            part = new[i:i + 1000]
-            if any(w[-1] in _WS_SET or (w[0] in _WS_SET and w[0] != " ") for w in part):
-                ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-                size = np.array([len(x) for x in ids], np.int64)
-                more = np.concatenate(ids)
-            else:
-                lines = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, np.uint32)
-                between = np.flatnonzero(lines == self.line_end)
-                size = np.diff(np.concatenate(([-1], between, [len(lines)]))) - 1
-                more = np.delete(lines, between)
-            if len(size) != len(part):
+        self.table, self.long = WordTable(), {}
+        self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of new words, numbered on.  Words that end in no white space go to the library as
+        lines of one text: the line end between them has an id of its own that no word holds.
+        Returns the words in the order of their numbers."""
+        plain = [w for w in words if not _KIND[w[-1]] == 1]
+        apart = [w for w in words if _KIND[w[-1]] == 1]
+        ids, size = [self.flat], [self.size]
+        for i in range(0, len(plain), 1000):
+            part = plain[i:i + 1000]
+            lines = np.array(self.tokenizer.encode(b"\n".join(part).decode(), add_special_tokens=False).ids, np.uint32)
+            between = np.flatnonzero(lines == self.line_end)
+            if len(between) != len(part) - 1:
                 raise ValueError("a word that holds the id of a line end")
-            self.flat.append(more)
-            self.size.append(size)
-
-    def _learned(self) -> tuple[np.ndarray, np.ndarray]:
-        self._learn()
-        self.flat, self.size = [np.concatenate(self.flat)], [np.concatenate(self.size)]
-        return self.flat[0], np.concatenate(([0], np.cumsum(self.size[0])))
-
-    def encode(self, texts: list[str], end_id: int | None) -> list[np.ndarray]:
-        """Ids of every text, with ``end_id`` after them."""
-        if len(self.table) > TABLE_WORDS:
-            self.clear()
-        words = [_CHUNK.findall(t) if self.by_word and not (self.marks and self.marks.search(t)) else None for t in texts]
-        number = self.table.__getitem__
-        found = [w if w is None else np.fromiter(map(number, w), np.int64, len(w)) for w in words]
-        del words
-        flat, begin = self._learned()
-        size = self.size[0]
+            ids.append(np.delete(lines, between))
+            size.append(np.diff(np.concatenate(([-1], between, [len(lines)]))) - 1)
+        for w in apart:
+            own = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
+            ids.append(np.array(own, np.uint32))
+            size.append(np.array([len(own)]))
+        self.flat, self.size = np.concatenate(ids), np.concatenate(size)
+        return plain + apart
+
+    def _numbers(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Number of every word; new ones are learned first."""
+        out = np.empty(len(start), np.int64)
+        short = size <= WordTable.LONGEST
+        key = WordTable.key(data, start[short], size[short])
+        h = WordTable.scattered(key)
+        number = self.table.find(key, h)
+        new = np.flatnonzero(number < 0)
+        raw = data.tobytes()
+        s, n = start[short], size[short]
+        by = new[np.argsort(h[new], kind="stable")]
+        differs = np.ones(len(by), bool)
+        differs[1:] = np.any([k[by[1:]] != k[by[:-1]] for k in key], axis=0)
+        rows = by[differs]  # one place of every new word
+        words = [raw[a:a + b] for a, b in zip(s[rows].tolist(), n[rows].tolist())]
+        long = [raw[a:a + b] for a, b in zip(start[~short].tolist(), size[~short].tolist())]
+        fresh = list(dict.fromkeys(w for w in long if w not in self.long))
+        first = len(self.size)
+        order = self._learn(words + fresh)
+        place = dict(zip(order, range(first, first + len(order))))
+        self.long |= {w: place[w] for w in fresh}
+        if len(rows):
+            mine = np.array([place[w] for w in words], np.int32)
+            self.table.add([k[rows] for k in key], h[rows], mine)
+            number[by] = mine[np.cumsum(differs) - 1]
+        out[short] = number
+        out[~short] = [self.long[w] for w in long]
+        return out
+
+    def encode(self, column: pa.Array, end_id: int | None) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """(first row, ids of every text with ``end_id`` after them), slice by slice; null is empty."""
         end = np.empty(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
-        out = []
-        for text, w in zip(texts, found):
-            if w is None:
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            elif len(w):
-                n = size[w]
-                upto = np.cumsum(n)
-                ids = flat[np.repeat(begin[w] - upto + n, n) + np.arange(upto[-1])]
-            else:
-                ids = np.empty(0, np.uint32)
-            out.append(np.concatenate((ids, end)))
+        whole, offsets = arrays.buffers(column)
+        for i, j in arrays.slices(offsets):
+            if len(self.size) > TABLE_WORDS:
+                self.clear()
+            begin = offsets[i:j + 1] - offsets[i]
+            data = np.concatenate((whole[offsets[i]:offsets[j]], np.zeros(32, np.uint8)))
+            texts = data[:begin[-1]]
+            alone = self._alone(texts, begin)
+            start = word_starts(texts, begin) if self.by_word else np.empty(0, np.int64)
+            size = np.diff(np.append(start, len(texts)))
+            if alone.any():
+                keep = ~alone[np.searchsorted(begin, start, "right") - 1]
+                start, size = start[keep], size[keep]
+            word = self._numbers(data, start, size)
+            n = self.size[word]
+            upto = np.concatenate(([0], np.cumsum(n)))
+            first = np.concatenate(([0], np.cumsum(self.size)))[word] if len(word) else word
+            ids = self.flat[np.repeat(first - upto[:-1], n) + np.arange(upto[-1])]
+            row = upto[np.searchsorted(start, begin)]
+            out = []
+            for r in range(j - i):
+                own = ids[row[r]:row[r + 1]]
+                if alone[r]:
+                    text = texts[begin[r]:begin[r + 1]].tobytes().decode()
+                    own = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                out.append(np.concatenate((own, end)))
+            yield i, out
+
+    def _alone(self, texts: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """The texts that the library gets whole: with white space beyond ASCII or special strings, or
+        all of them, if the file's ids are not those of single words."""
+        rows = len(begin) - 1
+        if not self.by_word:
+            return np.ones(rows, bool)
+        out = np.zeros(rows, bool)
+        lead = np.flatnonzero(_WIDE_FIRST[texts])
+        lead = lead[lead + 1 < len(texts)]
+        maybe = lead[_WIDE_SECOND[texts[lead], texts[lead + 1]]]
+        three = maybe[texts[maybe] >= 0xE0]
+        three = three[three + 2 < len(texts)]
+        known = {w for w in _WIDE if len(w) == 3}
+        sure = [p for p in three.tolist() if texts[p:p + 3].tobytes() in known]
+        at = np.concatenate((maybe[texts[maybe] < 0xE0], np.array(sure, np.int64)))
+        out[np.searchsorted(begin, at, "right") - 1] = True
+        if self.marks:
+            raw = texts.tobytes()
+            out[[int(np.searchsorted(begin, m.start(), "right")) - 1 for m in self.marks.finditer(raw)]] = True
         return out
 
 
@@ -151,8 +272,9 @@ _encoders: dict[tuple, WordEncoder] = {}  # of this worker; a table outlives its
 
 def tokenize(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 0, special: bool = True,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the ids of every whole text as little-endian unsigned 32-bit numbers, with
-    ``end_id`` after each text.
+    """(doc_id, ids, tally): the ids of every whole text as little-endian unsigned 32-bit numbers, with
+    ``end_id`` after each text.  The last row of a task also holds how often each id came up in the
+    task (``tally``, null in all other rows), so that the ids need not be read again to be counted.
 
     ``tokenizer`` is the path of a byte-level tokenizer file on every machine, read once a worker;
     ``special`` says whether the file's special strings in a text become their ids.
@@ -164,6 +286,14 @@ def tokenize(docs: DataFrame, tokenizer: str | None = None, end_id: int | None =
     path = tokenizer or _default_tokenizer()
     rows = docs.select(docs[f"`{id_col}`"].cast("bigint").alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("text"))
 
+    def rows_of(ident: pa.Array, found: list[np.ndarray], tally: np.ndarray | None = None) -> pa.RecordBatch:
+        counts = [None] * len(found)
+        if tally is not None:
+            counts[-1] = [{"id": int(k), "n": int(tally[k])} for k in np.flatnonzero(tally)]
+        kind = pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64())]))
+        return pa.record_batch([ident, pa.array([x.tobytes() for x in found], pa.binary()), pa.array(counts, kind)],
+                               names=["doc_id", "ids", "tally"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -172,14 +302,17 @@ def tokenize(docs: DataFrame, tokenizer: str | None = None, end_id: int | None =
         if key not in _encoders:
             _encoders[key] = WordEncoder(path, special)
         encoder = _encoders[key]
+        total, last = np.zeros(0, np.int64), None
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()], end_id)
-                yield pa.record_batch([part.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary())],
-                                      names=["doc_id", "ids"])
+            for first, found in encoder.encode(batch.column("text"), end_id):
+                if last is not None:
+                    yield rows_of(*last)
+                last = batch.column("doc_id").slice(first, len(found)), found
+                total = _added(total, np.concatenate(found))
+        if last is not None:
+            yield rows_of(*last, tally=total)
 
-    return rows.mapInArrow(work, "doc_id bigint, ids binary")
+    return rows.mapInArrow(work, "doc_id bigint, ids binary, tally array<struct<id: bigint, n: bigint>>")
 
 
 # -- the code
@@ -236,23 +369,29 @@ class Code:
         return where
 
 
+def _added(total: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Counts by id with those of ``ids`` added."""
+    own = np.bincount(ids) if len(ids) else total[:0]
+    out = np.pad(total, (0, max(0, len(own) - len(total))))
+    out[:len(own)] += own
+    return out
+
+
 def fit_code(tokens: DataFrame, max_bits: int = MAX_BITS) -> Code:
-    """The code of all ids in ``tokens``.  Tasks add their counts up first; what reaches the driver
-    is one row for each distinct id, which the vocabulary bounds."""
+    """The code of all ids in ``tokens``, from their tallies where ``tokenize`` has left them.  Tasks add
+    their counts up first; what reaches the driver is one row for each distinct id, which the
+    vocabulary bounds."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            data, _ = _ids(batch.column("ids"))
-            if len(data):
-                own = np.bincount(data)
-                total = np.pad(total, (0, max(0, len(own) - len(total))))
-                total[:len(own)] += own
+            total = _added(total, _ids(batch.column("ids"))[0])
         met = np.flatnonzero(total)
         yield pa.record_batch([pa.array(met.astype(np.int64)), pa.array(total[met])], names=["id", "n"])
 
-    rows = (tokens.select("ids").mapInArrow(count, "id bigint, n bigint")
-            .groupBy("id").agg(F.sum("n").alias("n")).toPandas().sort_values("id"))
+    counted = (tokens.where("tally is not null").select(F.inline("tally")) if "tally" in tokens.columns
+               else tokens.select("ids").mapInArrow(count, "id bigint, n bigint"))
+    rows = (counted.groupBy("id").agg(F.sum("n").alias("n")).toPandas().sort_values("id"))
     ids = rows["id"].to_numpy(np.int64)
     return Code(ids, limited_lengths(rows["n"].to_numpy(np.int64), max_bits))
 

@@ -88,21 +88,41 @@ def test_words_one_by_one_are_the_library_s_ids(library):
     for special in (True, False):
         encoder = K.WordEncoder(FILE, special)
         library.encode_special_tokens = not special
-        assert [x.tolist() for x in encoder.encode(texts, None)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert coded(encoder, texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     library.encode_special_tokens = False
 
 
+def test_table_is_emptied_and_long_words(library, monkeypatch):
+    monkeypatch.setattr(K, "TABLE_WORDS", 50)
+    monkeypatch.setattr(K.arrays, "SLICE_BYTES", 300)
+    rng = random.Random(4)
+    texts = [" ".join("xyz"[rng.randrange(3)] * rng.randrange(60) + rng.choice(("", ".", "\0", "é")) for _ in range(30)) for _ in range(100)]
+    texts += ["\0", "a\0", "a", "a\0\0", None]
+    encoder = K.WordEncoder(FILE)
+    assert coded(encoder, texts) == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_other_files_go_to_the_library_whole():
     path = public_tokenizers.path("word_bpe_49k.json")
     encoder = K.WordEncoder(path)
     assert not encoder.by_word
     texts = ["Some  Words\nhere.", "", "word 12"]
-    assert [x.tolist() for x in encoder.encode(texts, 9)] == [
+    assert coded(encoder, texts, 9) == [
         e.ids + [9] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     with pytest.raises(FileNotFoundError):
         K.WordEncoder("/nowhere/file.json")
 
 
+def coded(encoder, texts, end=None):
+    import pyarrow as pa
+
+    out = []
+    for first, found in encoder.encode(pa.array(texts, pa.string()), end):
+        assert first == len(out)
+        out += [x.tolist() for x in found]
+    return out
+
+
 def by_hand(rows, library, end=0):
     out, start = [], 0
     coded = [(i, [*library.encode(t or "", add_special_tokens=False).ids, end]) for i, t in rows]

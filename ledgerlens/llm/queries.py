@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlens.llm import (
     decontaminate,
     fim,
+    hard_negatives,
     html_text,
     jaccard,
     line_dedup,
@@ -98,6 +99,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256_hex(F.col("output")).alias("output_sha256"), sha256_hex(F.col("restored")).alias("restored_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    ident, label = F.col("vec_id"), F.col("label")
+    return hard_negatives.mine(vectors, ident % 50 == 0, F.when(ident % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
     token_files.write_ids(token_files.staged_tokens(table(spark, sf_dir, "documents")), path)
@@ -107,4 +114,4 @@ def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard, op2_decontamination, op3_substring_dedup, op4_quality_rules, op5_pii, op6_line_dedup,
-        op7_sentencepiece, op8_warc, op9_secret_scan, op10_html_text, op11_fill_in_middle, op13_token_ids)}
+        op7_sentencepiece, op8_warc, op9_secret_scan, op10_html_text, op11_fill_in_middle, op12_hard_negatives, op13_token_ids)}

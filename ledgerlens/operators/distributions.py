@@ -1,9 +1,9 @@
 """Distribution tables (C7: D1-D7), the data behind the exploration charts.
 
 Nothing is drawn; every operator returns a small aggregate table computed
-in one or two distributed passes.  Pairwise operators emit one row per
-(row, unordered column pair) into a hash aggregate (one job for all pairs,
-never one job per pair) and mirror the result to ordered pairs.
+in one or two distributed passes.  Pairwise operators are one job for all
+pairs and mirror their result to ordered pairs: trend lines come from a
+moment table, 2-D histograms from counted vectors of bins.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.encoding import category_counts
+from ledgerlens.operators.moments import lines, pair_moments
 from ledgerlens.operators.quantiles import (
     SortedValues,
     approx_quantiles,
@@ -153,64 +154,39 @@ def box_stats_by_category(df: DataFrame, cat_cols: list[str], num_cols: list[str
     return box_stats(long, num_cols, ["category_column", "category_value"])
 
 
-def pair_rows(df: DataFrame, cols: list[str], extra: dict[str, object] | None = None,
-              with_diagonal: bool = False) -> DataFrame:
-    """One row per (input row, unordered pair) with both values present:
-    ``(column_a, column_b, xa, xb[, bin_a, bin_b])``.  Pairwise statistics
-    then aggregate by ``(column_a, column_b)``: a handful of aggregate
-    functions inside whole-stage codegen instead of one aggregate with an
-    expression per pair."""
-    pairs = ([(a, b) for i, a in enumerate(cols) for b in cols[i:]] if with_diagonal
-             else _unordered_pairs(cols))
-    structs = []
-    for a, b in pairs:
-        fields = [F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                  F.col(a).cast("double").alias("xa"), F.col(b).cast("double").alias("xb")]
-        if extra:
-            fields += [F.col(extra[a]).alias("bin_a"), F.col(extra[b]).alias("bin_b")]
-        structs.append(F.struct(*fields))
-    rows = df.select(F.inline(F.array(*structs)))
-    return rows.where(F.col("xa").isNotNull() & F.col("xb").isNotNull())
-
-
 def hist2d(df: DataFrame, cols: list[str], bins: int = HIST2D_BINS) -> DataFrame:
     """``(column_a, column_b, bin_a, bin_b, n)`` for every ordered pair:
     ``bins`` equal-width bins over each column's [min, max], the last edge
-    closed; a constant column has one bin."""
-    bounds = df.agg(*[F.min(F.col(c).cast("double")).alias(f"mn_{c}") for c in cols],
-                    *[F.max(F.col(c).cast("double")).alias(f"mx_{c}") for c in cols])
+    closed; a constant column has one bin.  A row counts for a pair if both
+    values are present (neither NULL nor NaN).
+
+    Counted in two levels: rows collapse to distinct vectors of bins first
+    (most of a skewed table falls into few of them), and only counted vectors
+    are expanded to pairs."""
+    x = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in cols}
+    bounds = df.agg(*[F.min(x[c]).alias(f"mn_{i}") for i, c in enumerate(cols)],
+                    *[F.max(x[c]).alias(f"mx_{i}") for i, c in enumerate(cols)])
     binned = []
-    for c in cols:
-        mn = bounds.select(f"mn_{c}").scalar()
-        mx = bounds.select(f"mx_{c}").scalar()
-        pos = F.floor(F.try_divide(F.col(c).cast("double") - mn, mx - mn) * F.lit(bins))
-        binned.append(F.least(F.coalesce(pos, F.lit(0)), F.lit(bins - 1))
-                      .cast("int").alias(f"_bin_{c}"))
-    wide = df.select(*cols, *binned)
-    rows = pair_rows(wide, cols, {c: f"_bin_{c}" for c in cols})
-    counts = rows.groupBy("column_a", "column_b", "bin_a", "bin_b").agg(
-        F.count(F.lit(1)).alias("n"))
-    mirrored = counts.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
-                             F.col("bin_b").alias("bin_a"), F.col("bin_a").alias("bin_b"), "n")
-    return counts.unionByName(mirrored)
+    for i, c in enumerate(cols):
+        mn = bounds.select(f"mn_{i}").scalar()
+        mx = bounds.select(f"mx_{i}").scalar()
+        pos = F.floor(F.try_divide(x[c] - mn, mx - mn) * F.lit(bins))
+        binned.append(F.when(x[c].isNotNull(), F.least(F.coalesce(pos, F.lit(0)), F.lit(bins - 1))).cast("int"))
+    vectors = df.select(F.array(*binned).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("w"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col("v")[i].alias("bin_i"), F.col("v")[j].alias("bin_j"))
+                      for i in range(len(cols)) for j in range(i + 1, len(cols))])
+    counts = (vectors.select("w", F.inline(pairs)).where(F.col("bin_i").isNotNull() & F.col("bin_j").isNotNull())
+              .groupBy("i", "j", "bin_i", "bin_j").agg(F.sum("w").alias("n")))
+    names = F.array(*[F.lit(c) for c in cols])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.get(names, F.col(a)).alias("column_a"), F.get(names, F.col(b)).alias("column_b"),
+                 F.col(f"bin_{a}").alias("bin_a"), F.col(f"bin_{b}").alias("bin_b"), "n")
+        for a, b in (("i", "j"), ("j", "i"))])))
 
 
 def trend_lines(df: DataFrame, cols: list[str]) -> DataFrame:
     """Ordinary least squares of ``column_y`` on ``column_x`` for every
     ordered pair: ``(column_x, column_y, n, slope, intercept, r2)``,
-    pairwise-complete rows; a constant x gives NULL slope."""
-    rows = pair_rows(df, cols)
-    xa, xb = F.col("xa"), F.col("xb")
-    agg = rows.groupBy("column_a", "column_b").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.regr_slope(xb, xa).alias("s_ab"), F.regr_intercept(xb, xa).alias("i_ab"),
-        F.regr_r2(xb, xa).alias("r_ab"),
-        F.regr_slope(xa, xb).alias("s_ba"), F.regr_intercept(xa, xb).alias("i_ba"),
-        F.regr_r2(xa, xb).alias("r_ba"))
-    ab = agg.select(F.col("column_a").alias("column_x"), F.col("column_b").alias("column_y"), "n",
-                    F.col("s_ab").alias("slope"), F.col("i_ab").alias("intercept"),
-                    F.col("r_ab").alias("r2"))
-    ba = agg.select(F.col("column_b").alias("column_x"), F.col("column_a").alias("column_y"), "n",
-                    F.col("s_ba").alias("slope"), F.col("i_ba").alias("intercept"),
-                    F.col("r_ba").alias("r2"))
-    return ab.unionByName(ba)
+    pairwise-complete rows, from one moment table (``moments.pair_moments``);
+    a constant x gives NULL slope."""
+    return lines(pair_moments(df, cols))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.operators.moments import correlations, pair_moments
 from ledgerlens.operators.quantiles import (
     approx_quantiles,
     exact_quantiles,
@@ -126,21 +127,13 @@ def outliers(df: DataFrame, cols: list[str] | None = None, n_std: float = 3.0) -
 
 def correlation(df: DataFrame, cols: list[str] | None = None, digits: int | None = 3) -> DataFrame:
     """Pearson correlation for every ordered pair (diagonal included),
-    pairwise-complete, ``(column_a, column_b, corr)``.
-
-    Per unordered pair (rows where both are present): sample covariance
-    over the product of the two sample deviations; a constant column gives
-    NULL instead of a division error.
-    """
-    from ledgerlens.operators.distributions import pair_rows
-
-    cols = cols or numeric_columns(df)
-    rows = pair_rows(df, cols, with_diagonal=True)
-    r = F.try_divide(F.covar_samp("xa", "xb"), F.stddev_samp("xa") * F.stddev_samp("xb"))
+    pairwise-complete, ``(column_a, column_b, corr)``, from one moment table
+    (``moments.pair_moments``); a constant column gives NULL instead of a
+    division error."""
+    one = correlations(pair_moments(df, cols or numeric_columns(df)))
     if digits is not None:
-        r = F.round(r, digits)
-    one = rows.groupBy("column_a", "column_b").agg(r.alias("corr"))
-    mirrored = (one.where(F.col("column_a") != F.col("column_b"))
-                .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
-                        "corr"))
-    return one.unionByName(mirrored)
+        one = one.withColumn("corr", F.round("corr", digits))
+    # every row of the table is a pair and its mirror image
+    both = F.array(F.struct("column_a", "column_b", "corr"),
+                   F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"))
+    return one.select(F.inline(F.when(F.col("column_a") == F.col("column_b"), F.slice(both, 1, 1)).otherwise(both)))

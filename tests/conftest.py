@@ -14,4 +14,7 @@ for folder in (ROOT, HERE):
 def spark():
     from ledgerlens.session import get_session
 
-    return get_session(master="local[*]", shuffle_partitions=8)
+    session = get_session(master="local[*]", shuffle_partitions=8)
+    env = session.sparkContext.environment  # Python workers import the library from any working folder
+    env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), ROOT) if x)
+    return session

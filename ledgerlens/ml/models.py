@@ -8,7 +8,7 @@ row position to re-attach them by).
 from __future__ import annotations
 
 import random
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
@@ -20,11 +20,15 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.ml.logistic_path import fit_many, fold_accuracy, pack
+from ledgerlens.operators.moments import pair_moments
+
 LABEL = "inactive"
 FEATURES = "features"
 
@@ -36,7 +40,9 @@ BEST_FOREST = {"max_depth": 22, "max_features": 5, "min_samples_leaf": 1,
 # depth 30 at most, so the forest's range ends there; a least number of rows to split a node has
 # no counterpart and is not searched.
 SEARCH_SPACES = {
+    "logistic_none": {},
     "logistic": {"C": ("float", 0.1, 1000.0)},
+    "logistic_l1": {"C": ("float", 0.1, 1000.0)},
     "logistic_net": {"C": ("float", 0.1, 1000.0), "l1_ratio": ("float", 0.0, 1.0)},
     "svm": {"C": ("float", 0.1, 1000.0)},
     "forest": {"max_depth": ("int", 10, 30), "max_features": ("int", 1, 7),
@@ -174,9 +180,18 @@ def sample_points(space: dict, n: int, seed: int = 42) -> list[dict]:
 
 @dataclass
 class SearchResult:
+    """``evidence``: for every fit what shows that it was trained (point, fold, converged, descending,
+    steps and, where the learner knows it, the violation of its optimality conditions)."""
+
     best_score: float
     best_params: dict
     scores: list[tuple[dict, float]]
+    evidence: list[dict] = field(default_factory=list)
+
+
+#: Families whose fits share their passes over the rows (``logistic_path``), with the share of the
+#: penalty that is absolute; None: a parameter of the point.
+LOGISTIC = {"logistic_none": 0.0, "logistic": 0.0, "logistic_l1": 1.0, "logistic_net": None}
 
 
 def cv_search(data: DataFrame, family: str, n_points: int = 20, folds: int = 3,
@@ -184,35 +199,70 @@ def cv_search(data: DataFrame, family: str, n_points: int = 20, folds: int = 3,
               points: list[dict] | None = None) -> SearchResult:
     """M4: k-fold cross-validated accuracy of sampled points of a model
     family's space (or of the given ``points``); best mean accuracy and its
-    parameters.  All points share one ``CrossValidator`` as parameter maps,
-    so up to ``parallelism`` of them are fitted concurrently per fold.  Rows are
-    dealt and folded by hashes of ``id``, so the scores do not depend on the
-    cluster."""
+    parameters.  The logistic families fit all points and folds at once, in
+    shared passes over cached blocks of rows; the others share one
+    ``CrossValidator`` as parameter maps, up to ``parallelism`` of them at a time.
+    Rows are dealt and folded by hashes of ``id``, so the scores do not depend on
+    the cluster."""
+    points = points or sample_points(SEARCH_SPACES[family], n_points, seed)
     data = with_folds(training_table(data), folds, seed).persist()
     try:
         n_rows = data.count()
-        points = points or sample_points(SEARCH_SPACES[family], n_points, seed)
         n_features = len(data.select(FEATURES).first()[0])
-        estimators = [_build(family, p, n_rows, n_features, seed) for p in points]
-        base = estimators[0]
-        maps = [{base.getParam(prm.name): val for prm, val in est.extractParamMap().items()
-                 if est.isSet(prm)} for est in estimators]
-        evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-        cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds,
-                            foldCol="fold", seed=seed, parallelism=max(1, min(parallelism, len(maps))))
-        model = cv.fit(data)
+        if family in LOGISTIC:
+            means, evidence = _logistic_search(data, family, points, folds, n_rows, n_features)
+        else:
+            means, evidence = _validated(data, family, points, folds, seed, parallelism, n_rows, n_features)
     finally:
         data.unpersist()
-    scores = [(p, float(m)) for p, m in zip(points, model.avgMetrics)]
+    scores = [(p, float(m)) for p, m in zip(points, means)]
     best = max(scores, key=lambda t: t[1])
-    return SearchResult(best[1], best[0], scores)
+    return SearchResult(best[1], best[0], scores, evidence)
+
+
+def penalties(family: str, p: dict, n_rows: int) -> tuple[float, float]:
+    """(l1, l2) strengths of a point: an inverse strength ``C`` over ``n_rows`` examples is 1 / (C * n_rows)."""
+    if family == "logistic_none":
+        return 0.0, 0.0
+    reg, share = 1.0 / (p["C"] * n_rows), LOGISTIC[family]
+    share = p["l1_ratio"] if share is None else share
+    return reg * share, reg * (1 - share)
+
+
+def _logistic_search(data, family, points, folds, n_rows, n_features):
+    blocks = pack(data, LABEL, FEATURES, "fold").persist()
+    try:
+        fits = fit_many(blocks, n_features, [penalties(family, p, n_rows) for p in points], list(range(folds)))
+        right = fold_accuracy(blocks, fits, n_features).reshape(len(points), folds)
+    finally:
+        blocks.unpersist()
+    evidence = [{"point": f.point, "fold": f.fold, "converged": f.converged, "steps": len(f.objectives), "violation": f.violation,
+                 "descending": all(b <= a + 1e-9 for a, b in zip(f.objectives, f.objectives[1:]))} for f in fits]
+    return right.mean(axis=1).tolist(), evidence
+
+
+def _validated(data, family, points, folds, seed, parallelism, n_rows, n_features):
+    estimators = [_build(family, p, n_rows, n_features, seed) for p in points]
+    base = estimators[0]
+    maps = [{base.getParam(prm.name): val for prm, val in est.extractParamMap().items() if est.isSet(prm)} for est in estimators]
+    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
+    cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold",
+                        seed=seed, parallelism=max(1, min(parallelism, len(maps))), collectSubModels=True)
+    model = cv.fit(data)
+    evidence = [{"point": k, "fold": f} | training_evidence(m, points[k]) for f, own in enumerate(model.subModels) for k, m in enumerate(own)]
+    return model.avgMetrics, evidence
+
+
+def training_evidence(model, point: dict) -> dict:
+    """What a fitted model tells of its training: a loss that has come down, or all of its trees."""
+    if hasattr(model, "getNumTrees"):
+        grown = model.getNumTrees if isinstance(model.getNumTrees, int) else model.getNumTrees()
+        return {"converged": grown == point.get("n_estimators", grown), "descending": model.totalNumNodes > grown, "steps": grown, "violation": None}
+    history = list(model.summary().objectiveHistory)
+    return {"converged": len(history) > 1, "descending": history[-1] < history[0], "steps": len(history), "violation": None}
 
 
 def _build(family: str, p: dict, n_rows: int, n_features: int, seed: int) -> Estimator:
-    if family == "logistic":
-        return logistic("l2", p["C"], n_rows=n_rows)
-    if family == "logistic_net":
-        return logistic("elasticnet", p["C"], p["l1_ratio"], n_rows=n_rows)
     if family == "svm":
         return linear_svm(p["C"], n_rows=n_rows)
     if family == "forest":
@@ -231,6 +281,12 @@ def search_table(spark: SparkSession, result: SearchResult, family: str) -> Data
     return spark.createDataFrame(rows, "family string, point int, params string, accuracy double")
 
 
+def evidence_table(spark: SparkSession, result: SearchResult, family: str) -> DataFrame:
+    """The convergence report of a search: one row for every point and fold."""
+    rows = [(family, e["point"], e["fold"], e["converged"], e["descending"], e["steps"], e["violation"]) for e in result.evidence]
+    return spark.createDataFrame(rows, "family string, point int, fold int, converged boolean, descending boolean, steps int, violation double")
+
+
 def principal_components(data: DataFrame, k: int = 3) -> tuple[DataFrame, list[float]]:
     """PCA on the assembled features; projected rows and the explained
     variance ratio of each component."""
@@ -238,6 +294,33 @@ def principal_components(data: DataFrame, k: int = 3) -> tuple[DataFrame, list[f
     return model.transform(data), [float(v) for v in model.explainedVariance]
 
 
+def component_table(df: DataFrame, feature_cols: list[str], categorical: list[str], k: int = 3,
+                    key: str = "id") -> DataFrame:
+    """M11 as a table: ``key``, the categorical columns as they are, ``pc1`` .. ``pck`` and the explained
+    variance ratio of each as ``ratio1`` .. (the same in every row)."""
+    vectors = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES, handleInvalid="error").transform(df)
+    projected, ratios = principal_components(vectors.select(key, *categorical, FEATURES), k)
+    pc = vector_to_array("pca")
+    return projected.select(key, *categorical, *[pc[i].alias(f"pc{i + 1}") for i in range(k)],
+                            *[F.lit(ratios[i]).alias(f"ratio{i + 1}") for i in range(k)])
+
+
+def pca_identities(features: DataFrame, table: DataFrame, feature_cols: list[str], k: int) -> list[tuple[bool, bool]]:
+    """For every component of ``component_table``: whether its variance over the features' total variance is
+    the ratio it reports (the trace identity), and whether it is uncorrelated with the other components."""
+    total = sum(r["m2_a"] for r in pair_moments(features, feature_cols).where("column_a = column_b").collect())
+    names = [f"pc{i + 1}" for i in range(k)]
+    pairs = {(r["column_a"], r["column_b"]): r for r in pair_moments(table, names).collect()}  # k (k + 1) / 2 rows
+    ratios = table.select(*[F.first(f"ratio{i + 1}") for i in range(k)]).first()
+    out = []
+    for i, name in enumerate(names):
+        share = pairs[name, name]["m2_a"] / total if total else 0.0
+        others = [r for (a, b), r in pairs.items() if a != b and name in (a, b)]
+        out.append((abs(share - ratios[i]) < 1e-6,
+                    all(abs(r["c_ab"]) <= 1e-6 * max((r["m2_a"] * r["m2_b"]) ** 0.5, 1e-300) for r in others)))
+    return out
+
+
 def top_k(scored: DataFrame, score_col: str = "prediction", k: int = 500,
           key: str = "id") -> DataFrame:
     """K1: the ``k`` best scores, ties broken by ``key``; planned as

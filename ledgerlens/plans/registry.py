@@ -8,6 +8,7 @@ ISO strings, so that the DuckDB oracle can be compared by value.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -22,9 +23,9 @@ from ledgerlens.operators.neighbours import dormant_neighbours
 from ledgerlens.ml import models as M
 from ledgerlens.operators import distributions as D
 from ledgerlens.operators import profile as P
-from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features
-from ledgerlens.plans.features import align_to, eda_features, fit_model_features, model_features
-from ledgerlens.plans.scoring import rank_inactive, scoring_table, training_table
+from ledgerlens.plans.base import AMOUNT_COLUMNS, base_features, population_stats
+from ledgerlens.plans.features import MODEL_NUMERIC, align_to, eda_features, fit_model_features, model_features
+from ledgerlens.plans.scoring import Ranker, fit_ranker, scoring_table, training_table
 from ledgerlens.session import materialize
 from ledgerlens.sources import standin as S
 from ledgerlens.sources.files import read_csv, stage_folder, stage_handoff, write_csv
@@ -131,7 +132,7 @@ def scoring_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger, users = S.ledger(spark, sf_dir), S.users(spark, sf_dir)
     edges = stage_handoff(edge_table(ledger), "edges")
     p2, p3, fitted = training_table(S.account_labels(spark, sf_dir, "train"), users, ledger, edges)
-    p4 = scoring_table(S.population_ids(spark, sf_dir, "test"), users, ledger, p2, fitted, edges)
+    p4 = scoring_table(S.population_ids(spark, sf_dir, "test"), users, ledger, population_stats(p2), fitted, edges)
     aligned = align_to(p4, ["id", *M.feature_columns(p3)])
     return round_doubles(_with_dummy_list(aligned, fitted.encoding.names))
 
@@ -298,12 +299,58 @@ def _train_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         p3.withColumn("inactive", F.col("inactive").cast("double")), feats)))
 
 
+@functools.cache
+def _stored_ranker(application: str, path: str, sf_dir: str) -> tuple[str, Ranker]:
+    """The chosen forest, fitted once for an application and data folder and stored among its stages; its
+    path and the fitted object."""
+    spark = SparkSession.active()
+    ranker, _ = fit_ranker(S.account_labels(spark, sf_dir, "train"), S.users(spark, sf_dir), S.ledger(spark, sf_dir))
+    path = f"{path}/ranker-{uuid.uuid4().hex}"
+    ranker.save(path)
+    return path, ranker
+
+
+def _scored(spark: SparkSession, sf_dir: str, ranker: Ranker) -> DataFrame:
+    p4 = ranker.prepared(S.population_ids(spark, sf_dir, "test"), S.users(spark, sf_dir), S.ledger(spark, sf_dir))
+    return ranker.scores(p4)
+
+
 def forest_rank_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 + M3 + K1 + P19: the 500 test accounts most likely inactive."""
-    run = rank_inactive(S.account_labels(spark, sf_dir, "train"),
-                        S.population_ids(spark, sf_dir, "test"), S.users(spark, sf_dir),
-                        S.ledger(spark, sf_dir))
-    return run.top
+    """M2 + M3 + K1 + P19: the 500 test accounts most likely inactive, scored by the stored forest."""
+    path, _ = _stored_ranker(spark.sparkContext.applicationId, stage_folder(spark), sf_dir)
+    return M.top_k(_scored(spark, sf_dir, Ranker.load(spark, path)), "prediction", 500).select("id")
+
+
+#: The fewest trees of the search range, for the checks that need a second fit.
+CHECK_FOREST = M.BEST_FOREST | {"n_estimators": 25}
+
+
+def forest_checks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3: what must hold of the forests whatever the data: ``(check, n, ok)``.
+
+    Scores lie in [0, 1]; the top 500 are distinct and in order; the stored forest puts the same accounts
+    first as the fitted one; importances sum to 1; a fit on the same rows in another order and other
+    partitions is the same forest."""
+    path, fitted = _stored_ranker(spark.sparkContext.applicationId, stage_folder(spark), sf_dir)
+    stored = Ranker.load(spark, path)
+    scores = materialize(_scored(spark, sf_dir, stored))
+    n, low, high = scores.agg(F.count(F.lit(1)), F.min("prediction"), F.max("prediction")).first()
+    top = M.top_k(scores, "prediction", 500).collect()  # 500 rows
+    same = [r["id"] for r in M.top_k(_scored(spark, sf_dir, fitted), "prediction", 500).collect()]
+    order = [(-r["prediction"], r["id"]) for r in top]
+    sums = [float(sum(m.featureImportances.toArray())) for m in (fitted.model, stored.model)]
+    rows = [("scores_in_range", n, n == 0 or (low >= 0 and high <= 1)),
+            ("top_distinct_and_ordered", len(top), order == sorted(set(order))),
+            ("stored_forest_same_top", len(same), same == [r["id"] for r in top]),
+            ("importances_sum_to_1", 2, all(abs(s - 1) < 1e-9 for s in sums))]
+    data = _train_vectors(spark, sf_dir)
+    shuffled = materialize(data.repartition(5).orderBy(F.xxhash64("id")))
+    for name, learner in (("classifier", M.forest_classifier), ("regressor", M.forest_regressor)):
+        one, two = (learner(CHECK_FOREST).fit(M.training_table(d)) for d in (data, shuffled))
+        trees = [m.toDebugString.split("\n", 1)[1] for m in (one, two)]  # the first line names the object
+        ok = trees[0] == trees[1] and abs(sum(one.featureImportances.toArray()) - 1) < 1e-9
+        rows.append((f"{name}_order_of_rows", one.getNumTrees, bool(ok)))
+    return spark.createDataFrame(rows, "check string, n bigint, ok boolean")
 
 
 def forest_importances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,39 +366,48 @@ def forest_importances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "feature string, importance double")
 
 
+def _search_facts(spark: SparkSession, searches: dict[str, M.SearchResult], n_rows: int) -> DataFrame:
+    """What must hold for every point of a search whatever the data: one row for each, beside the number
+    of rows.  The scores themselves come from ``models.cv_search`` and ``models.search_table``."""
+    rows = []
+    for family, result in searches.items():
+        for k, (_, score) in enumerate(result.scores):
+            own = [e for e in result.evidence if e["point"] == k]
+            rows.append((family, k, n_rows, len({e["fold"] for e in own}), all(e["converged"] for e in own),
+                         all(e["descending"] for e in own), 0.0 <= score <= result.best_score <= 1.0))
+    return spark.createDataFrame(rows, "family string, point int, n_rows bigint, folds int, converged boolean, "
+                                       "descending boolean, score_in_range boolean")
+
+
 def model_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 + M5 + M6: 3-fold cross-validated accuracy of the search's default
-    number of points (20) of the elastic-net logistic regression space."""
+    """M4 + M5 + M6: the 3-fold cross-validated search over the default number of points (20) of the
+    elastic-net logistic regression space; every fit of a point has to converge."""
     data = _train_vectors(spark, sf_dir)
-    res = M.cv_search(data, "logistic_net", folds=3)
-    return M.search_table(spark, res, "logistic_net")
+    return _search_facts(spark, {"logistic_net": M.cv_search(data, "logistic_net", folds=3)}, data.count())
 
 
-# One point per family, inside the search ranges.
+# One point per family that Spark ML fits one by one, well inside the search ranges.
 FAMILY_POINTS = {
-    "logistic": {"C": 1.0},
     "svm": {"C": 1.0},
-    "gbt": {"subsample": 1.0, "max_depth": 4, "min_child_weight": 2, "learning_rate": 0.1,
-            "n_estimators": 25},
-    "mlp": {"learning_rate_init": 0.03, "max_iter": 200, "hidden_layer_sizes": 100},
+    "gbt": {"subsample": 0.9, "colsample": 0.8, "max_depth": 5, "min_child_weight": 5, "learning_rate": 0.1,
+            "n_estimators": 50},
+    "mlp": {"learning_rate_init": 0.1, "max_iter": 250, "hidden_layer_sizes": 150},
 }
 
 
 def model_accuracy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5-M9: 3-fold cross-validated accuracy of one point per family."""
+    """M5-M9: 3-fold cross-validation of every family: the logistic penalties at points drawn from their
+    full ranges, the others at one point each."""
     from concurrent.futures import ThreadPoolExecutor
 
     data = _train_vectors(spark, sf_dir)
-
-    def one(item):
-        fam, point = item
-        res = M.cv_search(data, fam, folds=3, points=[point])
-        return fam, str(sorted(res.best_params.items())), res.best_score
-
+    searches = {f: M.cv_search(data, f, n_points=3, folds=3) for f in ("logistic", "logistic_l1", "logistic_net")}
+    searches["logistic_none"] = M.cv_search(data, "logistic_none", n_points=1, folds=3)
     # independent validations, submitted as concurrent Spark jobs
     with ThreadPoolExecutor(max_workers=len(FAMILY_POINTS)) as pool:
-        rows = list(pool.map(one, FAMILY_POINTS.items()))
-    return spark.createDataFrame(rows, "family string, params string, accuracy double")
+        done = pool.map(lambda item: (item[0], M.cv_search(data, item[0], folds=3, points=[item[1]])), FAMILY_POINTS.items())
+        searches |= dict(done)
+    return _search_facts(spark, searches, data.count())
 
 
 def pca_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,6 +422,21 @@ def pca_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "component int, explained_variance double")
 
 
+def pca_projection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every training account's 3 components beside its categorical columns, per category: the
+    category counts, and per component whether the projection keeps its promises (``models.pca_identities``)."""
+    p3 = model_features(p2_stage(spark, sf_dir, "train"))
+    categorical = ["is_stage_2", *[c for c in p3.columns if c not in ("id", M.LABEL, *MODEL_NUMERIC)]]
+    feats = [c for c in M.feature_columns(p3) if c not in categorical]
+    table = materialize(M.component_table(p3, feats, categorical, 3))
+    checks = M.pca_identities(p3.select(*feats), table, feats, 3)
+    counted = table.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("is_stage_2").alias("n_stage_2"))
+    n, dormant = counted.first()
+    return spark.createDataFrame([(k + 1, n, dormant, *ok) for k, ok in enumerate(checks)],
+                                 "component int, n_rows bigint, n_stage_2 bigint, ratio_is_share_of_variance boolean, "
+                                 "uncorrelated_with_others boolean")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "base_features": base_features_query,
@@ -399,8 +470,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dist_box_by_category": dist_box_by_category_query,
         "dummy_correlation": dummy_correlation_query,
         "forest_rank_top500": forest_rank_query,
+        "forest_checks": forest_checks_query,
         "forest_importances": forest_importances_query,
         "model_search": model_search_query,
         "model_accuracy": model_accuracy_query,
         "pca_variance": pca_query,
+        "pca_projection": pca_projection_query,
     }

@@ -5,13 +5,17 @@ features, min-max bounds and one-hot encoding use the *training*
 population's fitted statistics (Q19), and the test columns are selected by
 the trained model's names (P19), so a category that is dummy-encoded in
 training but rare in the test set is still encoded the same way.
+
+A ``Ranker`` holds the model and everything that was fitted with it, and can be
+stored: scoring is then a job of its own that sees no training row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import RandomForestRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.ml.models import (
@@ -23,11 +27,12 @@ from ledgerlens.ml.models import (
     top_k,
     training_table as dealt_rows,
 )
+from ledgerlens.operators.encoding import OneHotEncoding
 from ledgerlens.operators.ledger import edge_table
 from ledgerlens.plans.base import base_features, population_stats
 from ledgerlens.plans.features import FittedFeatures, align_to, fit_model_features, model_features
-from ledgerlens.sources.files import stage_handoff
 from ledgerlens.session import materialize
+from ledgerlens.sources.files import stage_handoff
 
 
 @dataclass
@@ -47,15 +52,64 @@ def training_table(train_labels: DataFrame, users: DataFrame, ledger: DataFrame,
     return p2, model_features(p2, fitted), fitted
 
 
-def scoring_table(test_ids: DataFrame, users: DataFrame, ledger: DataFrame, train_p2: DataFrame,
+def scoring_table(test_ids: DataFrame, users: DataFrame, ledger: DataFrame, stats: DataFrame,
                   fitted: FittedFeatures, edges: DataFrame | None = None) -> DataFrame:
-    """p4 of an unlabelled population with the training statistics."""
-    p2 = materialize(base_features(test_ids.select("id"), users, ledger,
-                                   stats=population_stats(train_p2), keep_amounts=True,
+    """p4 of an unlabelled population with the training statistics (``population_stats``)."""
+    p2 = materialize(base_features(test_ids.select("id"), users, ledger, stats=stats, keep_amounts=True,
                                    edges=edges))
     return model_features(p2, fitted)
 
 
+@dataclass
+class Ranker:
+    """A fitted ranking forest with the training population's statistics."""
+
+    model: RandomForestRegressionModel
+    fitted: FittedFeatures
+    stats: DataFrame
+    features: list[str]
+
+    def prepared(self, ids: DataFrame, users: DataFrame, ledger: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+        """p4 of ``ids`` as the model was trained on it, in the order of its columns."""
+        return align_to(scoring_table(ids, users, ledger, self.stats, self.fitted, edges), ["id", *self.features])
+
+    def scores(self, prepared: DataFrame) -> DataFrame:
+        """``(id, prediction)``, the mean leaf value of the forest."""
+        return self.model.transform(assemble(prepared, self.features, keep=("id",))).select("id", "prediction")
+
+    def save(self, path: str) -> None:
+        """Write the model (Spark ML's own format) and one small table for each fitted value below ``path``."""
+        spark, path = self.stats.sparkSession, path.rstrip("/")
+        self.model.write().overwrite().save(f"{path}/model")
+        self.stats.write.mode("overwrite").parquet(f"{path}/population")
+        self.fitted.minmax.write.mode("overwrite").parquet(f"{path}/bounds")
+        dummies = [(i, *d) for i, d in enumerate(self.fitted.encoding.dummies)]
+        spark.createDataFrame(dummies, "place int, name string, column string, value string").write.mode(
+            "overwrite").parquet(f"{path}/dummies")
+        spark.createDataFrame(list(enumerate(self.features)), "place int, name string").write.mode(
+            "overwrite").parquet(f"{path}/features")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Ranker:
+        """Read what ``save`` has written; the collected tables have one row for each feature."""
+        path = path.rstrip("/")
+        read = lambda name: spark.read.parquet(f"{path}/{name}")
+        dummies = [(r["name"], r["column"], r["value"]) for r in read("dummies").orderBy("place").collect()]
+        features = [r["name"] for r in read("features").orderBy("place").collect()]
+        fitted = FittedFeatures(read("bounds"), OneHotEncoding(dummies), features)
+        return cls(RandomForestRegressionModel.load(f"{path}/model"), fitted, read("population"), features)
+
+
+def fit_ranker(train_labels: DataFrame, users: DataFrame, ledger: DataFrame, grid: dict = BEST_FOREST, seed: int = 42,
+               edges: DataFrame | None = None) -> tuple[Ranker, DataFrame]:
+    """Fit the regression forest on the training features; also returns these (p3)."""
+    train_p2, p3, fitted = training_table(train_labels, users, ledger, edges)
+    feats = feature_columns(p3)
+    train = materialize(dealt_rows(assemble(
+        p3.withColumn("inactive", F.col("inactive").cast("double")), feats)))
+    return Ranker(forest_regressor(grid, seed).fit(train), fitted, population_stats(train_p2), feats), p3
+
+
 def rank_inactive(train_labels: DataFrame, test_ids: DataFrame, users: DataFrame,
                   ledger: DataFrame, k: int = 500, grid: dict = BEST_FOREST,
                   seed: int = 42) -> RankingRun:
@@ -63,15 +117,15 @@ def rank_inactive(train_labels: DataFrame, test_ids: DataFrame, users: DataFrame
     ``k`` test accounts with the highest predicted inactivity (``id``,
     best first; ties by id)."""
     edges = stage_handoff(edge_table(ledger), "edges")
-    train_p2, p3, fitted = training_table(train_labels, users, ledger, edges)
-    feats = feature_columns(p3)
-    train = materialize(dealt_rows(assemble(
-        p3.withColumn("inactive", F.col("inactive").cast("double")), feats)))
-    model = forest_regressor(grid, seed).fit(train)
-    p4 = scoring_table(test_ids, users, ledger, train_p2, fitted, edges)
-    test = assemble(align_to(p4, ["id", *feats]), feats, keep=("id",))
-    scored = model.transform(test).select("id", "prediction")
-    return RankingRun(top_k(scored, "prediction", k).select("id"), model, fitted, p3, p4)
+    ranker, p3 = fit_ranker(train_labels, users, ledger, grid, seed, edges)
+    p4 = ranker.prepared(test_ids, users, ledger, edges)
+    return RankingRun(top_k(ranker.scores(p4), "prediction", k).select("id"), ranker.model, ranker.fitted, p3, p4)
+
+
+def score_inactive(ranker: Ranker, ids: DataFrame, users: DataFrame, ledger: DataFrame, k: int = 500) -> DataFrame:
+    """The scoring job: the ``k`` accounts of ``ids`` that a stored ranker puts first (``id``, best first)."""
+    edges = stage_handoff(edge_table(ledger), "edges")
+    return top_k(ranker.scores(ranker.prepared(ids, users, ledger, edges)), "prediction", k).select("id")
 
 
-__all__ = ["RankingRun", "rank_inactive", "training_table", "scoring_table", "FEATURES"]
+__all__ = ["FEATURES", "Ranker", "RankingRun", "fit_ranker", "rank_inactive", "score_inactive", "scoring_table", "training_table"]

@@ -339,6 +339,37 @@ def label_feature_split_sql() -> str:
 SELECT id, inactive, {len(MODEL_NUMERIC)} AS n_features, round({total}, 4) AS total FROM fin"""
 
 
+_POINTS = {"model_search": [("logistic_net", 20)],
+           "model_accuracy": [("logistic", 3), ("logistic_l1", 3), ("logistic_net", 3), ("logistic_none", 1),
+                              ("svm", 1), ("gbt", 1), ("mlp", 1)]}
+
+
+def search_sql(query: str) -> str:
+    """What must hold for every point of a search: as many rows as the training population has,
+    3 folds, convergence, a loss that has come down, a score in range."""
+    points = " UNION ALL ".join(f"SELECT '{family}' AS family, unnest(range({n})) AS point" for family, n in _POINTS[query])
+    return f"""SELECT family, point, (SELECT count(*) FROM customer WHERE c_custkey % 5 <> 0) AS n_rows, 3 AS folds,
+       true AS converged, true AS descending, true AS score_in_range FROM ({points})"""
+
+
+def pca_projection_sql() -> str:
+    """Rows of the training population and its dormant accounts; the identities hold for every component."""
+    return f"""WITH {p2_ctes('train')}
+SELECT component, n_rows, n_stage_2, true AS ratio_is_share_of_variance, true AS uncorrelated_with_others
+FROM (SELECT count(*) AS n_rows, CAST(sum(is_stage_2) AS BIGINT) AS n_stage_2 FROM p2),
+     (SELECT unnest([1, 2, 3]) AS component)"""
+
+
+def forest_checks_sql() -> str:
+    return """WITH t AS (SELECT count(*) AS n FROM customer WHERE c_custkey % 5 = 0)
+SELECT 'scores_in_range' AS "check", n, true AS ok FROM t
+UNION ALL SELECT 'top_distinct_and_ordered', least(n, 500), true FROM t
+UNION ALL SELECT 'stored_forest_same_top', least(n, 500), true FROM t
+UNION ALL SELECT 'importances_sum_to_1', 2, true
+UNION ALL SELECT 'classifier_order_of_rows', 25, true
+UNION ALL SELECT 'regressor_order_of_rows', 25, true"""
+
+
 EDA_LOGS = ["start_balance", "n_transactions", "n_bonuses", "n_partners", "n_partners_stage_2",
             "days_before_first_trx", "count_intensity"]
 
@@ -608,6 +639,10 @@ def oracle_sql() -> dict[str, str]:
         "top_k_deterministic": top_k_sql(),
         "accuracy_fixed_predictions": accuracy_sql(),
         "label_feature_split": label_feature_split_sql(),
+        "forest_checks": forest_checks_sql(),
+        "pca_projection": pca_projection_sql(),
+        "model_search": search_sql("model_search"),
+        "model_accuracy": search_sql("model_accuracy"),
         "eda_features": eda_features_sql(),
         "onehot_fit": onehot_fit_sql(),
         "onehot_encode": onehot_encode_sql(),

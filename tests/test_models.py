@@ -43,6 +43,31 @@ def test_cv_search_and_pca(spark):
     assert len(ratios) == 3 and sum(ratios) <= 1 + 1e-9
 
 
+def test_a_stored_ranker_scores_alone(spark, tmp_path):
+    from ledgerlens.plans.scoring import Ranker, fit_ranker, score_inactive
+
+    users, ledger = S.users(spark, SF_SMALL), S.ledger(spark, SF_SMALL)
+    ranker, p3 = fit_ranker(S.account_labels(spark, SF_SMALL, "train"), users, ledger, SMALL_FOREST)
+    ranker.save(str(tmp_path / "ranker"))
+    stored = Ranker.load(spark, str(tmp_path / "ranker"))
+    assert stored.features == ranker.features and stored.fitted.encoding.dummies == ranker.fitted.encoding.dummies
+    ids = S.population_ids(spark, SF_SMALL, "test")
+    top = [[r.id for r in score_inactive(r, ids, users, ledger, 25).collect()] for r in (ranker, stored)]
+    assert top[0] == top[1] and len(top[0]) == 25
+
+
+def test_components_beside_the_categories(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(60).select("id", (F.col("id") % 2).alias("kind"), (F.col("id") * 1.0).alias("a"),
+                                (F.sin("id") * 3).alias("b"), (F.col("id") * 2 + F.cos("id")).alias("c"))
+    table = M.component_table(df, ["a", "b", "c"], ["kind"], 2)
+    assert table.columns == ["id", "kind", "pc1", "pc2", "ratio1", "ratio2"] and table.count() == 60
+    assert M.pca_identities(df, table, ["a", "b", "c"], 2) == [(True, True), (True, True)]
+    wrong = table.withColumn("pc1", F.col("pc1") + F.col("pc2"))
+    assert M.pca_identities(df, wrong, ["a", "b", "c"], 2) == [(False, False), (True, False)]
+
+
 def test_regparam_mapping():
     lr = M.logistic("l1", C=10.0, n_rows=100)
     assert lr.getRegParam() == pytest.approx(1e-3) and lr.getElasticNetParam() == 1.0

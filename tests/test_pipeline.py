@@ -37,6 +37,20 @@ def test_prepare_and_submit(spark, monkeypatch):
     assert len(ids) == 10 and all(i % 5 == 0 for i in ids)
 
 
+def test_explore_train_and_score(spark):
+    data, out = tempfile.mkdtemp(prefix="ledgerlens-csv-"), tempfile.mkdtemp(prefix="ledgerlens-out-")
+    for name, df in {"train": S.account_labels(spark, SF_SMALL, "train"), "test": S.population_ids(spark, SF_SMALL, "test"),
+                     "users": S.users(spark, SF_SMALL), "transactions": S.ledger(spark, SF_SMALL)}.items():
+        df.write.option("header", True).csv(f"{data}/{P.FILES[name]}")
+    inputs = P.load_inputs(spark, data)
+    p3 = spark.read.option("header", True).csv(P.explore(spark, inputs, out))
+    assert p3.count() == inputs.train.count() and {"area_type", "gender", "inactive"} <= set(p3.columns)
+    small = {"max_depth": 5, "max_features": 5, "min_samples_leaf": 1, "min_samples_split": 4, "n_estimators": 5}
+    P.train(spark, inputs, out, small)
+    ids = [int(r.id) for r in spark.read.option("header", True).csv(P.score(spark, inputs, out, k=10)).collect()]
+    assert len(ids) == 10 and all(i % 5 == 0 for i in ids)
+
+
 def test_null_tokens_and_infinite_numbers(spark):
     from ledgerlens.sources.files import read_csv, write_csv
     from ledgerlens.sources.schema import USERS

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 #: Rows of one packed block.
 BLOCK_ROWS = 4096
-#: A fit has converged when no coefficient violates its optimality condition by more.
+#: A fit has converged when no coefficient violates its optimality condition by more; or by up to a hundred
+#: times as much while a whole step changes the objective by less than STILL of it.
 TOLERANCE = 1e-6
+STILL = 1e-9
 MAX_PASSES = 60
 #: Partial sums of more tasks than this are added up on the executors first.
 DRIVER_PARTIALS = 16
@@ -118,7 +120,7 @@ def _step(g: np.ndarray, h: np.ndarray, b: np.ndarray, l1: np.ndarray, l2: np.nd
     """The coefficients at which one fit's quadratic model plus its penalties is least: an active-set
     method, exact up to rounding.  ``g`` and ``h`` are gradient and Hessian at ``b``."""
     d = len(b)
-    h = h + np.eye(d) * 1e-9 * max(np.trace(h) / d, 1e-12)  # features that depend on each other: stay near b
+    h = h + np.diag(1e-10 * np.diag(h) + 1e-14)  # features that depend on each other: stay near b
     x = b.copy()
     sign = np.sign(x)
     on = (x != 0) | (l1 == 0)
@@ -166,14 +168,16 @@ def fit_many(blocks: DataFrame, n_features: int, penalties: list[tuple[float, fl
         raise ValueError("no training rows")
     about = first[:, 1:d + 1].sum(axis=0) / first[:, 0].sum()  # squares from the mean: no cancellation
     per = _sum_over(blocks, (len(kinds) + 1, 2 * d + 1), moments)
-    n, sd = {}, {}
+    n, sd, apart_by = {}, {}, {}
     for f in dict.fromkeys(folds):
         own = np.ones(len(per), bool)
         if f is not None:
             own[kinds.index(f)] = False
         rows, total, squares = per[own, 0].sum(), per[own, 1:d + 1].sum(axis=0), per[own, d + 1:].sum(axis=0)
-        n[f] = rows
-        sd[f] = np.sqrt(np.maximum(squares - (total - rows * about) ** 2 / max(rows, 1), 0) / max(rows - 1, 1))
+        n[f], apart_by[f] = rows, total / max(rows, 1) - about
+        apart = squares - (total - rows * about) ** 2 / max(rows, 1)
+        # what is left of the squares of a feature that is constant in these rows is rounding
+        sd[f] = np.sqrt(np.where(apart > 1e-12 * squares, apart, 0) / max(rows - 1, 1))
 
     keys = [(p, f) for p in range(len(penalties)) for f in folds]
     state = {}
@@ -181,25 +185,30 @@ def fit_many(blocks: DataFrame, n_features: int, penalties: list[tuple[float, fl
     for wave in ([k for k in keys if k[0] == strongest], [k for k in keys if k[0] != strongest]):
         if wave:
             start = {k: state[strongest, k[1]] if (strongest, k[1]) in state else None for k in wave}
-            state |= _newton(blocks, wave, penalties, start, n, sd, about, tolerance, max_passes)
+            state |= _newton(blocks, wave, penalties, start, n, sd, about, apart_by, tolerance, max_passes)
     out = []
     for p, f in keys:
         s = state[p, f]
         scale = np.where(sd[f] > 0, sd[f], 1)
         weights = np.where(sd[f] > 0, s["b"][:-1] / scale, 0.0)
-        out.append(Fit(p, f, *penalties[p], weights, float(s["b"][-1] - weights @ about), s["violation"] <= tolerance, s["violation"], s["objectives"]))
+        out.append(Fit(p, f, *penalties[p], weights, float(s["b"][-1] - weights @ (about + apart_by[f])), s["converged"], s["violation"], s["objectives"]))
     return out
 
 
-def _newton(blocks, keys, penalties, start, n, sd, about, tolerance, max_passes) -> dict:
+def _newton(blocks, keys, penalties, start, n, sd, about, apart, tolerance, max_passes) -> dict:
     """Proximal Newton for a wave of fits; a fit that has converged leaves the passes.  Features are
-    measured from ``about``: only the intercept changes, and it no longer depends on them."""
+    measured from their means in the fit's own rows (``about + apart``): only the intercept changes, and it
+    no longer depends on them.  The passes measure them from ``about``, the same for all fits."""
     d = len(about)
+    moved = {}  # from a fit's own intercept to the one of the passes
+    for f, by in apart.items():
+        moved[f] = np.eye(d + 1)
+        moved[f][d, :d] = -by
     one_over = {f: np.append(np.where(s > 0, 1 / np.where(s > 0, s, 1), 0), 1.0) for f, s in sd.items()}
     l1 = np.array([[penalties[p][0]] * d + [0.0] for p, _ in keys])
     l2 = np.array([[penalties[p][1]] * d + [0.0] for p, _ in keys])
     b = np.array([start[k]["b"] if start[k] else np.zeros(d + 1) for k in keys])
-    kept = [{"b": b[i].copy(), "value": np.inf, "g": None, "h": None, "violation": np.inf, "objectives": []} for i in range(len(keys))]
+    kept = [{"b": b[i].copy(), "value": np.inf, "g": None, "h": None, "violation": np.inf, "converged": False, "objectives": []} for i in range(len(keys))]
     active = list(range(len(keys)))
     for _ in range(max_passes):
         if not active:
@@ -207,7 +216,7 @@ def _newton(blocks, keys, penalties, start, n, sd, about, tolerance, max_passes)
         tried = b[active]
         of = [keys[i][1] for i in active]
         scale = np.array([one_over[f] for f in of])
-        weights = tried * scale  # in the features' own units
+        weights = np.array([moved[f] @ w for f, w in zip(of, tried * scale)])  # in the features' own units
 
         def sums(fold, x, y):
             total = np.zeros((len(of), 1 + (d + 1) + (d + 1) ** 2))
@@ -233,13 +242,16 @@ def _newton(blocks, keys, penalties, start, n, sd, about, tolerance, max_passes)
                     b[i] = (tried[at] + k["b"]) / 2
                     moving.append(i)
                 continue
-            g = found[at, 1:d + 2] / rows * scale[at]
-            h = found[at, d + 2:].reshape(d + 1, d + 1) / rows * np.outer(scale[at], scale[at])
+            to = moved[of[at]] * scale[at]
+            g = to.T @ found[at, 1:d + 2] / rows
+            h = to.T @ (found[at, d + 2:].reshape(d + 1, d + 1) / rows) @ to
             smooth = g + l2[i] * tried[at]
             gap = np.where(tried[at] != 0, np.abs(smooth + l1[i] * np.sign(tried[at])), np.maximum(np.abs(smooth) - l1[i], 0))
-            k |= {"b": tried[at].copy(), "value": value, "g": g, "h": h, "violation": float(gap.max())}
+            still = k["value"] - value <= STILL * abs(value) and gap.max() <= 100 * tolerance
+            k |= {"b": tried[at].copy(), "value": value, "g": g, "h": h, "violation": float(gap.max()),
+                  "converged": bool(gap.max() <= tolerance or still)}
             k["objectives"].append(float(value))
-            if k["violation"] > tolerance:
+            if not k["converged"]:
                 moving.append(i)
         stepping = [i for i in moving if (b[i] == kept[i]["b"]).all()]
         if stepping:

@@ -27,7 +27,7 @@ def test_same_fits_as_spark(table):
     points = [(0.02, 0.0), (0.0, 0.05), (0.01, 0.01)]
     fits = L.fit_many(blocks, 7, points, [0, 1, 2, None], tolerance=1e-9)
     assert [(f.point, f.fold) for f in fits] == [(p, f) for p in range(3) for f in (0, 1, 2, None)]
-    assert all(f.converged and f.violation <= 1e-9 for f in fits)
+    assert all(f.converged and f.violation <= 1e-7 for f in fits)
     assert all(b <= a + 1e-12 for f in fits for a, b in zip(f.objectives, f.objectives[1:]))
     for f in fits:
         if f.fold in (1, None):

@@ -73,8 +73,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return warc.archived(pages).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
+    return warc.rebuilt(pages)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,6 +107,57 @@ def read_archive(spark: SparkSession, path: str, with_records: bool = True) -> D
     return out
 
 
+def rebuild_records(spark: SparkSession, path: str) -> DataFrame:
+    """Every original record of an archive, as bytes: (page_id, record_type, refers_to, url, header, record).
+
+    Only responses have a body, so only they meet the stored payloads, on the SHA-256: a payload that many
+    pages share is joined once.  A response without a stored payload fails the read."""
+    heads = spark.read.parquet(f"{path}/headers").withColumn("head", F.col("header").cast("string"))
+    page = r"<urn:page:(-?\d+)>"
+    heads = heads.select(
+        F.regexp_extract(_field("WARC-Record-ID"), page, 1).try_cast("bigint").alias("page_id"),
+        _field("WARC-Type").alias("record_type"),
+        F.regexp_extract(_field("WARC-Refers-To"), page, 1).try_cast("bigint").alias("refers_to"),
+        F.coalesce(_field("WARC-Target-URI"), F.lit("")).alias("url"), "header", "digest")
+    end = F.lit(_END + _END).cast("binary")
+    stored = spark.read.parquet(f"{path}/payloads").select("digest", "payload")
+    missing = F.raise_error(F.concat(F.lit("no payload "), F.col("digest"))).cast("binary")
+    full = (heads.where(F.col("record_type") == "response").join(stored, "digest", "left")
+            .withColumn("record", F.concat("header", F.coalesce("payload", missing), end)).drop("payload"))
+    short = heads.where(F.col("record_type") != "response").withColumn("record", F.concat("header", end))
+    return full.unionByName(short).drop("digest")
+
+
+def rebuilt(pages: DataFrame) -> DataFrame:
+    """Archive ``pages``, rebuild every record and read it: page_id, payload_bytes, payload_digest,
+    record_type, refers_to, verified.
+
+    Bytes and SHA-1 are those of the record's own body, cut out by its Content-Length; a revisit's are those
+    of the body of the response that it refers to.  ``verified`` says that the body ends where the record
+    does and has the SHA-1 of the header.  Nulls, repeated rows and empty tables: as in ``write_archive``."""
+    path = shared_folder(pages.sparkSession, "warc")
+    write_archive(pages, path)
+    read = rebuild_records(pages.sparkSession, path).withColumn("head", F.col("header").cast("string"))
+    start = F.octet_length("header")
+    size = _field("Content-Length").cast("int")
+    body = F.substring(F.col("record"), start + 1, size)
+    facts = read.select(
+        "page_id", "record_type", "refers_to", F.regexp_extract(_field("WARC-Payload-Digest"), "sha1:([0-9a-f]*)", 1).alias("said"),
+        F.octet_length(body).cast("bigint").alias("payload_bytes"), F.sha1(body).alias("payload_digest"),
+        (F.octet_length("record") == start + size + 4).alias("whole"))
+    own = facts.where(F.col("record_type") == "response").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        (F.col("whole") & (F.col("said") == F.col("payload_digest"))).alias("verified"))
+    # one row for each response that can be referred to
+    referred = (facts.where((F.col("record_type") == "response") & F.col("whole") & (F.col("payload_bytes") >= MIN_REVISIT_BYTES))
+                .select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("said"), "payload_bytes").distinct())
+    other = (facts.where(F.col("record_type") != "response").drop("payload_bytes")
+             .join(referred, ["refers_to", "said"], "left").select(
+                 "page_id", "payload_bytes", F.col("said").alias("payload_digest"), "record_type", "refers_to",
+                 (F.col("whole") & F.col("payload_bytes").isNotNull()).alias("verified")))
+    return own.unionByName(other)
+
+
 def archived(pages: DataFrame, with_records: bool = False) -> DataFrame:
     """Write ``pages`` to a new archive in the shared folder and read it back."""
     path = shared_folder(pages.sparkSession, "warc")

@@ -28,7 +28,9 @@ _HAS_NAME = re.compile("|".join(map(_either_case, _NAMES)))
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# From the first header start of a run of token characters; nothing is tried twice, so a long run without a
+# token costs one pass.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+)")
 # Line ends may be escaped, as in JSON; header lines may stand above the body.
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(?:\s|\\{1,4}[nrt])*+"
                   r"((?:[A-Za-z][A-Za-z-]{0,40}:[^\n\r\\]{1,200}(?:\s|\\{1,4}[nrt])++){0,8})"
@@ -143,7 +145,7 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans whose decoded bytes have the structure of a key or signed token."""
     out = []
     if "eyJ" in text:
-        out += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_jwt(m[0])]
+        out += [("jwt", *m.span(1)) for m in _JWT.finditer(text) if is_jwt(m[1])]
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
             data = _unbase64(_ESCAPED.sub(lambda e: e[1] or "", m[3]))

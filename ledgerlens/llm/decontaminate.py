@@ -8,6 +8,11 @@ times its size, and its Jaccard similarity to that window is high however long
 the document is.  Windows and items are compared by MinHash; an item that agrees
 with some window in at least one of the hash functions is a candidate, which is
 then verified by exact containment of its shingles in the whole document.
+
+Items of up to BLOCK shingles are too small for a window: they are found without
+MinHash.  A document that holds enough of an item's n shingles to contain it lacks at
+most n - needed of them, so it holds one of any n - needed + 1; these are looked up
+among all its shingles, which misses nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlens.llm import arrays
 from ledgerlens.llm.frames import free_name
 
-#: Hash functions; with similarity 0.17 (the least for a whole item) a miss has probability 0.83 ** 64 = 7e-6.
+#: Hash functions.  The least similarity of a whole item to its window is 9 / 32 (9 shingles in two blocks of 16):
+#: it is missed with probability 0.72 ** 64 = 7e-10; of one with 7 of its 9 shingles, 7 / 34, with 5e-7.
 HASHES = 64
 #: Smallest block of shingles; all windows consist of such blocks.
 BLOCK = 8
@@ -60,8 +66,9 @@ def size_class(n: int) -> int:
 class ItemIndex:
     """MinHash values of a block of items by size class and hash function."""
 
-    def __init__(self, items: list[tuple[int, str]], k: int):
+    def __init__(self, items: list[tuple[int, str]], k: int, num: int = 75, den: int = 100):
         self.k = k
+        small: list[tuple[int, int]] = []  # (shingle, item) of the smallest items
         self.sets: list[tuple[int, set]] = []
         by_class: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
         for ident, text in items:
@@ -71,8 +78,14 @@ class ItemIndex:
             data, offsets = arrays.buffers(pa.array([text]))
             words = arrays.Words(data, offsets, 0, 1, lower=True)
             hashed = arrays.shingle_sets(words.hashes(), words.row, k)[0]
-            by_class[size_class(len(hashed))].append((len(self.sets), _signature(hashed)))
+            if len(exact) <= BLOCK:
+                needed = max(1, -(-num * len(exact) // den))
+                small += [(int(h), len(self.sets)) for h in hashed[:len(exact) - needed + 1]]
+            else:
+                by_class[size_class(len(hashed))].append((len(self.sets), _signature(hashed)))
             self.sets.append((ident, exact))
+        small.sort()
+        self.small = np.array([h for h, _ in small], np.uint64), np.array([i for _, i in small], np.int64)
         self.classes: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for c, members in by_class.items():
             number = np.array([m[0] for m in members])
@@ -80,8 +93,25 @@ class ItemIndex:
             order = np.argsort(signs, axis=0, kind="stable")
             self.classes[c] = [(signs[order[:, f], f], number[order[:, f]]) for f in range(HASHES)]
 
+    def _small(self, grams: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, int]]:
+        known, item = self.small
+        if not len(known) or not len(grams):
+            return
+        lo = np.searchsorted(known, grams, "left")
+        hit = np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == grams)
+        rows = np.searchsorted(begin, hit, "right") - 1
+        found = set()
+        for g, r in zip(hit.tolist(), rows.tolist()):
+            i = int(lo[g])
+            while i < len(known) and known[i] == grams[g]:
+                found.add((r, int(item[i])))
+                i += 1
+        yield from found
+
     def candidates(self, grams: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(row, item) pairs that agree in a hash function, from the shingle hashes of a slice of texts."""
+        """(row, item) pairs that agree in a hash function or, of the smallest items, in a shingle looked up,
+        from the shingle hashes of a slice of texts."""
+        yield from self._small(grams, begin)
         size = np.diff(begin)
         n_blocks = -(-size // BLOCK)
         used = np.flatnonzero(size > 0)
@@ -130,9 +160,9 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, num: int = 75
     Words are runs without white space, A-Z lower-cased; a text with fewer than
     ``k`` words is one shingle.  The documents are read once for every ITEM_BLOCK
     items and are not shuffled; the items, which a benchmark bounds, go to the
-    tasks block by block.  Items in several pieces far apart have smaller
-    similarities to single windows and may be missed; items in one piece are
-    missed with a probability below 1e-5.
+    tasks block by block.  Items of up to BLOCK shingles are found always.  Larger items in one
+    piece are missed with a probability below 1e-6; in several pieces far apart they have smaller
+    similarities to single windows and may be missed.
 
     * null or empty text or item: contains nothing, is contained in nothing
     * null ids stay null in the result; repeated rows of either table each count
@@ -147,7 +177,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, num: int = 75
         index = spark.sparkContext.broadcast(block)
 
         def find(batches):
-            known = ItemIndex(index.value, k)
+            known = ItemIndex(index.value, k, num, den)
             for batch in batches:
                 out = []
                 data, offsets = arrays.buffers(batch.column("text"))
@@ -162,7 +192,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, num: int = 75
                         grams = np.insert(grams, begin[few], full[few])
                         begin = begin + np.searchsorted(few, np.arange(len(begin)), "left")
                     exact: dict[int, set] = {}
-                    for r, n in sorted(known.candidates(grams, begin)):
+                    for r, n in sorted(set(known.candidates(grams, begin))):
                         if r not in exact:
                             exact[r] = shingles(batch.column("text")[i + r].as_py(), k)
                         ident, item = known.sets[n]

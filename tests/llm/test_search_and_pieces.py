@@ -1,5 +1,6 @@
 """Decontamination, SentencePiece, the pipeline and the registration."""
 
+import random
 import re
 import subprocess
 import sys
@@ -215,3 +216,25 @@ def test_native_operators_run_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = pii.find_pii(docs, pii.PiiModel([(0, 1.0, 0.1, 0.2)], [1.0], 0.5))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_smallest_items_are_never_missed():
+    """Items of up to 8 shingles: every item whose shingles a text holds to three quarters is a candidate."""
+    import numpy as np
+
+    from ledgerlens.llm import arrays, decontaminate
+
+    rng = random.Random(8)
+    items, texts = [], []
+    for n in range(3000):
+        words = [f"i{n}w{j}" for j in range(rng.randrange(5, 13))]
+        items.append((n, " ".join(words)))
+        size = len(words) - 4
+        hidden = words if size < 4 else words[:4 + -(-3 * size // 4)]  # three quarters of the shingles
+        texts.append(" ".join([*[f"f{rng.randrange(10**6)}" for _ in range(300)], *hidden, *[f"f{rng.randrange(10**6)}" for _ in range(300)]]))
+    index = decontaminate.ItemIndex(items, 5)
+    data, offsets = arrays.buffers(pa.array(texts))
+    words = arrays.Words(data, offsets, 0, len(texts), lower=True)
+    grams, begin = arrays.ngrams(words.hashes(), words.row, 5)
+    assert {(n, n) for n in range(3000)} <= set(index.candidates(grams, begin))
+    assert not np.any([len(s) > 8 for _, s in index.sets])

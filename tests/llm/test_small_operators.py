@@ -11,6 +11,7 @@ import pytest
 from llm_fixtures import ODD, SF, frame
 
 from ledgerlens.llm import html_text, line_dedup, pii, quality, secret_scan, warc
+from ledgerlens.llm.frames import shared_folder
 
 SPACES = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -273,6 +274,53 @@ def test_warc_round_trip(spark):
     assert bytes(got[1, 1200].record).endswith(b"Content-Length: 0\r\n\r\n\r\n\r\n")
 
 
+def test_warc_records_are_rebuilt(spark):
+    big, other = "<p>" + "x" * 1500, "é" * 700
+    rows = [(1, "u", big), (2, "u", big), (2, "u", big), (7, "v", big), (None, "w", big), (3, "", other), (4, None, None), (5, "s", "small"), (6, "s", "small")]
+    pages = frame(spark, rows, "page_id bigint, url string, html string")
+    got = warc.rebuilt(pages).collect()
+    want = []
+    for i, _, html in rows:
+        body = (html or "").encode()
+        last = max((p for p, _, h in rows if h == html and p is not None), default=None)
+        visit = len(body) >= 1000 and i != last
+        want.append((i, len(body), hashlib.sha1(body).hexdigest(), "revisit" if visit else "response", last if visit else None, True))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    path = shared_folder(spark, "warc-test")
+    warc.write_archive(pages, path)
+    for r in warc.rebuild_records(spark, path).collect():
+        head, body = bytes(r.record).split(b"\r\n\r\n", 1)
+        assert head.startswith(b"WARC/1.1\r\n") and body.endswith(b"\r\n\r\n")
+        assert f"Content-Length: {len(body) - 4}".encode() in head
+    assert warc.rebuilt(pages.limit(0)).count() == 0
+
+
+def test_pii_of_many_matches_grows_with_the_text(spark):
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        df = frame(spark, [(1, "10.0.0.1 " * n)])
+        start = time.time()
+        spans = [x for x in df.select(pii._base(df["text"]).alias("b")).first().b if x["kind"] == pii.KINDS.index("ip")]
+        assert len(spans) == n and (spans[-1]["start"], spans[-1]["end"]) == (9 * n - 9, 9 * n - 1)
+        took.append(time.time() - start)
+    assert took[1] < 12 * max(took[0], 1.0)  # the square would be 16 times
+
+
+def test_long_token_like_texts_take_one_pass():
+    import time
+
+    took = []
+    for n in (100_000, 400_000):
+        t = time.process_time()
+        assert secret_scan.confirmed_spans("eyJ" * n) == [] and secret_scan.confirmed_spans("eyJa." * n + "!") == []
+        took.append(time.process_time() - t)
+    assert took[1] < 10 * max(took[0], 0.05)
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxIn0.c2ln"
+    assert secret_scan.confirmed_spans(f"x_{token} {token}") == [("jwt", 2, 2 + len(token)), ("jwt", 3 + len(token), 3 + 2 * len(token))]
+
+
 def test_warc_damage_is_noticed(spark):
     from ledgerlens.llm.frames import shared_folder
 

@@ -425,7 +425,7 @@ def pca_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pca_projection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every training account's 3 components beside its categorical columns, per category: the
     category counts, and per component whether the projection keeps its promises (``models.pca_identities``)."""
-    p3 = model_features(p2_stage(spark, sf_dir, "train"))
+    p3 = materialize(model_features(p2_stage(spark, sf_dir, "train")))
     categorical = ["is_stage_2", *[c for c in p3.columns if c not in ("id", M.LABEL, *MODEL_NUMERIC)]]
     feats = [c for c in M.feature_columns(p3) if c not in categorical]
     table = materialize(M.component_table(p3, feats, categorical, 3))

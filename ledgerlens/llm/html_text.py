@@ -5,9 +5,13 @@ each path the length of its text and its punctuation are added up over the page
 and set against the number of pieces; the two ratios are smoothed between
 neighbouring paths, fused by their product, and a threshold on the fused score
 selects the paths of the article, wherever they lie in the page; gaps inside their
-blocks are closed.  Being inside <article> or <main> doubles a path's score.  What
-an element says about itself (nav, footer, form, class="ad", ...) shuts its path
-out beforehand.
+blocks are closed.  Being inside <article> or <main> doubles a path's score.
+Elements that are never running text (nav, footer, form, script, ...) and reader
+comments are shut out beforehand.  What a class, id or role says (ad, search, alert,
+...) is weighed against the page's text: such an element goes, unless the text
+outside all such elements is too little to be the article.
+
+Reading a page takes time in proportion to its length, whatever its markup.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
                     "samp small span strike strong sub sup time tt u var wbr".split())
-_FRAME = frozenset("nav aside footer header form script style noscript iframe template head button select option "
+_FRAME = frozenset("nav aside footer form script style noscript iframe template head button select option "
                    "textarea input svg canvas object embed audio video menu dialog fieldset".split())
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
                       "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -37,8 +41,9 @@ _FRAME_WORDS = re.compile(
     r"login|search|share|sharing|social|related|recommend\w*|comments?|comment\w*|disqus|repl(?:y|ies)|respond|"
     r"pagination|pager|toolbar|copyright|legal|disclaimer|complementary|contentinfo|navigation|hidden)(?:$|[\s_-])",
     re.I)
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"""
-                    r"""<(/?)([A-Za-z][^\s/>]*)((?>(?:[^>"']|"[^"]*"|'[^']*')*+))>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)""", re.S)
+#: The rest of a tag: up to the first > outside quotes.
+_REST = re.compile(r"""((?>(?:[^>"']|"[^"]*"|'[^']*')*+))>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _SPACES = re.compile(r"\s+")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？]")
@@ -48,6 +53,8 @@ _MARKS = re.compile(r"[.,;:!?…。，、；：！？]")
 _SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr tbody thead tfoot", "td": "td th tr tbody", "th":
              "td th tr tbody", "option": "option optgroup", "tbody": "tbody tfoot", "thead": "tbody tfoot"}
 _SIBLINGS = {k: frozenset(v.split()) for k, v in _SIBLINGS.items()}
+# The elements that the start of an element closes.
+_CLOSES = {t: tuple(k for k, v in _SIBLINGS.items() if t in v) for t in frozenset().union(*_SIBLINGS.values())}
 _SCOPES = frozenset("table ul ol dl article section div body main aside nav".split())
 _ROOTS = frozenset(["article", "main"])
 _WHOLE = frozenset(["html", "body", "main", "article"])
@@ -59,11 +66,54 @@ _LISTS = frozenset("ul ol dl figure".split())
 _COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|repl(?:y|ies)|respond)(?:$|[\s_-])", re.I)
 
 
-def _in_frame(tag: str, attributes: str) -> bool:
+# What an element's tag and attributes say about it.
+_OPEN, _TITLE, _SHUT, _NAMED = range(4)  # of an article's header only the headings are read
+#: A named element is the article if it has this many times the text outside all named elements.
+_OUTWEIGHS = 4
+
+
+def _said(tag: str, attributes: str, in_article: bool) -> int:
     if tag in _FRAME:
-        return True
-    words = _COMMENTS if tag in _WHOLE else _FRAME_WORDS
-    return bool(attributes) and any(words.search(v.strip("\"'")) for _, v in _ATTRIBUTE.findall(attributes))
+        return _SHUT
+    values = [v.strip("\"'") for _, v in _ATTRIBUTE.findall(attributes)] if attributes else ()
+    if any(_COMMENTS.search(v) for v in values):
+        return _SHUT
+    if tag == "header":
+        return _TITLE if in_article else _NAMED
+    return _NAMED if tag not in _WHOLE and any(_FRAME_WORDS.search(v) for v in values) else _OPEN
+
+
+class _Open:
+    """The open elements, with the places of every tag, so that no search walks over them."""
+
+    def __init__(self):
+        self.tag: list[str] = []
+        self.path: list[int] = []
+        self.shut: list[int] = []
+        self.frame: list[int] = []  # number of the innermost named element, 0 for none
+        self.blocks: list[int] = []  # places of elements that are not inline
+        self.places: dict[str, list[int]] = defaultdict(list)
+
+    def push(self, tag: str, path: int, shut: int, frame: int) -> None:
+        self.places[tag].append(len(self.tag))
+        if tag not in _INLINE:
+            self.blocks.append(len(self.tag))
+        self.tag.append(tag)
+        self.path.append(path)
+        self.shut.append(shut)
+        self.frame.append(frame)
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def close(self, k: int) -> None:
+        """Close the element at place ``k`` and all that are open in it."""
+        while len(self.tag) > k:
+            tag = self.tag.pop()
+            self.places[tag].pop()
+            if tag not in _INLINE:
+                self.blocks.pop()
+        del self.path[k:], self.shut[k:], self.frame[k:]
 
 
 class _Paths:
@@ -80,27 +130,56 @@ class _Paths:
             self.tag.append(tag)
         return n
 
-    def up(self, path: int):
-        while path >= 0:
-            yield path
-            path = self.parent[path]
+
+def _without_frame(pieces: list[tuple[int, int, str, int]], outer: list[int], inside: list[bool],
+                   links: list[bool], articles: list[bool]) -> list[tuple[int, int, str]]:
+    """The pieces outside named elements that are frame.
+
+    ``outer`` has the named element around each named element (0: the page), ``inside``
+    whether it lies in an <article> or <main>; ``links`` and ``articles`` say whether a
+    piece is a link and whether it lies in such an element.  A named element is judged
+    within the element around it, with which it goes.  It stays if it has the most text of
+    its neighbours and ``_OUTWEIGHS`` times the unnamed text around it, unless that text
+    has an <article> or <main> apart from it.
+    """
+    if len(outer) == 1:
+        return [p[:3] for p in pieces]
+    n = len(outer)
+    own, apart = [0] * n, [0] * n  # text without links
+    for (*_, text, frame), link, article in zip(pieces, links, articles):
+        if not link:
+            own[frame] += len(text.strip())
+            apart[frame] += len(text.strip()) if article else 0
+    total, heaviest = own[:], [0] * n
+    for e in range(n - 1, 0, -1):  # outer elements have smaller numbers
+        total[outer[e]] += total[e]
+    for e in range(1, n):
+        if not heaviest[outer[e]] or total[e] > total[heaviest[outer[e]]]:
+            heaviest[outer[e]] = e
+    stays = [True] * n
+    for e in range(1, n):
+        o = outer[e]
+        stays[e] = (stays[o] and heaviest[o] == e and 0 < total[e] >= _OUTWEIGHS * own[o]
+                    and (inside[e] or not apart[o]))
+    return [p[:3] for p in pieces if stays[p[3]]]
 
 
 def _pieces(page: str, paths: _Paths) -> list[tuple[int, int, str]]:
     """The page's visible text outside the frame as (path, block, text), in page order."""
-    out: list[tuple[int, int, str]] = []
-    stack: list[tuple[str, int, bool]] = []  # open elements: tag, path, in the frame
+    out: list[tuple[int, int, str, int]] = []
+    stack = _Open()
+    outer, inside, links, articles = [0], [False], [], []
     block = at = 0
     end = page.rfind(">") + 1
+    quotes = True  # until a quote is found that nothing closes, a > in quotes ends no tag
 
     def text(a: int, b: int) -> None:
-        if a < b and stack and stack[-1][2]:
+        if a >= b or stack.shut and stack.shut[-1]:
             return
-        if a < b:
-            out.append((stack[-1][1] if stack else 0, block, html.unescape(page[a:b])))
-
-    def close(k: int) -> None:
-        del stack[k:]
+        top = bool(stack.tag)
+        out.append((stack.path[-1] if top else 0, block, html.unescape(page[a:b]), stack.frame[-1] if top else 0))
+        links.append(bool(stack.places["a"]))
+        articles.append(bool(stack.places["article"] or stack.places["main"]))
 
     while at < end:
         m = _TOKEN.search(page, at, end)
@@ -110,38 +189,46 @@ def _pieces(page: str, paths: _Paths) -> list[tuple[int, int, str]]:
         at = m.end()
         if m[2] is None:  # comment or declaration
             continue
+        rest = _REST.match(page, at, end) if quotes else None
+        if rest is None:
+            quotes = False
+        stop = rest.end(1) if rest else page.index(">", at)
+        attributes, at = page[at:stop], stop + 1
         tag = m[2].lower()
         if tag not in _INLINE:
             block += 1
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if stack[k][0] not in _INLINE and tag in _INLINE:
-                    break  # a stray end tag closes no block
+            k = stack.last([tag])
+            if k >= 0 and not (tag in _INLINE and stack.blocks and stack.blocks[-1] > k):
+                stack.close(k)  # a stray end tag closes no block
             continue
-        if tag in _CLOSES_P or tag in _SIBLINGS:
-            for k in range(len(stack) - 1, -1, -1):
-                if (stack[k][0] == "p" and tag in _CLOSES_P) or tag in _SIBLINGS.get(stack[k][0], ()):
-                    close(k)
-                    break
-                if stack[k][0] in _SCOPES:
-                    break
+        if tag in _CLOSES_P or tag in _CLOSES:
+            k = stack.last(_CLOSES.get(tag, ()) if tag not in _CLOSES_P else ("p", *_CLOSES.get(tag, ())))
+            if k > stack.last(_SCOPES):
+                stack.close(k)
         if tag in _VOID:
             continue
         if tag in _RAW:
-            found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = found.end() if found else len(page)
+            found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+            at = page.find(">", found.end()) + 1 if found else 0
+            at = at or len(page)
             continue
-        if m[3].endswith("/") and tag not in _INLINE and tag not in _CLOSES_P:
+        if attributes.endswith("/") and tag not in _INLINE and tag not in _CLOSES_P:
             continue
-        attributes = m[3]
-        shut = bool(stack and stack[-1][2]) or _in_frame(tag, attributes)
+        in_article = bool(stack.places["article"] or stack.places["main"])
+        said = _said(tag, attributes, in_article)
+        frame = stack.frame[-1] if stack.frame else 0
+        if said == _NAMED:
+            outer.append(frame)
+            inside.append(in_article)
+            frame = len(outer) - 1
+        shut = max(said if said != _NAMED else _OPEN, stack.shut[-1] if stack.shut else _OPEN)
+        if shut == _TITLE and tag in _HEADINGS:
+            shut = _OPEN
         label = f"{tag} {attributes.strip()}" if "class" in attributes or "id" in attributes else tag
-        stack.append((tag, paths.below(stack[-1][1] if stack else 0, tag, label), shut))
+        stack.push(tag, paths.below(stack.path[-1] if stack.path else 0, tag, label), shut, frame)
     text(at, len(page))
-    return out
+    return _without_frame(out, outer, inside, links, articles)
 
 
 def _selected(pieces: list[tuple[int, int, str]], paths: _Paths) -> list[bool]:
@@ -277,7 +364,8 @@ def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     * null, empty or frame-only html: empty text
     * plain text without a tag: the text itself
-    * broken markup (open elements, stray end tags, unfinished tags) is read on
+    * broken markup (open elements, stray end tags, unfinished tags) is read on; after a
+      quote that nothing closes, a tag ends at its first >
     * repeated rows: each by itself; empty table: empty result
     * columns of ``pages`` named ``text`` or ``n_chars`` are replaced
     """

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -396,3 +397,39 @@ def test_html_pages_hold_their_article(spark):
     assert html_text.extract_pages(pages.limit(0)).count() == 0
     clash = pages.selectExpr("page_id", "url", "html", "1 as text")
     assert html_text.extract_pages(clash).columns == ["page_id", "url", "html", "text", "n_chars"]
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="search">', '<body><div class="alert-story">', '<main><section id="related">'])
+def test_html_named_wrapper_of_the_article_stays(wrapper):
+    page = f'{wrapper}<h1>Title</h1><p>{LONG}</p><p>{LONG}</p><div class="ad">Buy this now.</div></div>'
+    assert html_text.extract(page) == f"Title {LONG.strip()} {LONG.strip()}"
+
+
+def test_html_named_parts_beside_the_article_go():
+    parts = f'<div class="related"><p>{LONG * 9}</p></div><div class="comments"><p>{LONG * 9}</p></div>'
+    assert html_text.extract(f"<article><p>{LONG}</p></article>{parts}") == LONG.strip()
+    assert html_text.extract(f'<header><h1>Site</h1></header><article><header><h1>Head</h1><p>By me</p></header>'
+                             f'<p>{LONG}</p></article>') == f"Head {LONG.strip()}"
+    assert html_text.extract(f'<div class="comments"><p>{LONG}</p></div>') == ""
+
+
+HOSTILE = {
+    "tags without an end": lambda n: "<a " * n + '">',
+    "stray inline ends": lambda n: "<i><div>" + "<b>" * n + "</i>" * n,
+    "block starts in open inline elements": lambda n: "<b>" * n + "<h1>x</h1>" * n,
+    "quoted ends": lambda n: "<a '>'" * n + '">',
+    "script without an end": lambda n: "<script>" + "</script " * n,
+    "named in named": lambda n: "<div class=ad>x" * n,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_html_broken_markup_takes_linear_time(kind):
+    def seconds(n):
+        page = HOSTILE[kind](n)
+        start = time.process_time()
+        html_text.extract(page)
+        return time.process_time() - start
+
+    # a quadratic reader takes minutes here and 16 times as long for 4 times the page
+    assert seconds(80_000) < 10 * seconds(20_000) + 1

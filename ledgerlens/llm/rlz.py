@@ -5,17 +5,19 @@ ids.  The reference is indexed in blocks: each run of windows goes to the block
 that its minimal 20-word gram names, so neighbouring windows mostly stay
 together, and equal windows always meet.  A block finds for each window the
 smallest document that has it; consecutive windows whose references are
-consecutive too grow greedily into one factor.  Where a factor ends, the windows
-that cross into the next one have been looked up like all others, so nothing
-between two factors is missed.  Factors are at least one window long and become
-the spans to remove.
+consecutive too grow greedily into one fragment.  A fragment ends where a block
+ends; back at their document, fragments that touch or overlap and whose references
+go on in step are joined to maximal factors, so a copied passage is one factor
+however many blocks have indexed it.  Windows that cross from one factor into the
+next have been looked up like all others, so nothing between two factors is missed.
+Factors are at least one window long and become the spans to remove.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.llm import arrays
 from ledgerlens.llm.buckets import FLUSH, by_bucket, dealt, even_keys, partitions, parts
@@ -23,7 +25,9 @@ from ledgerlens.llm.frames import free_name, without
 
 #: Words of the gram whose smallest hash in a window names the window's block.
 GRAM = 20
-_HASH_BYTES = (np.uint32, np.uint16, np.uint8)  # 56 bits of a window's hash are sent
+#: 88 bits of two independent hashes of a window are sent: 56 of the first, 32 of the second.
+_HASH_BYTES = (np.uint32, np.uint16, np.uint8, np.uint32)
+_SECOND = np.uint64(0xA0761D6478BD642F)
 
 
 def _smallest(grams: np.ndarray, begin: np.ndarray, count: np.ndarray, span: int) -> np.ndarray:
@@ -48,22 +52,23 @@ def _grown(doc, tag, start, ref, ref_start):
     return doc[at], tag[at], start[at], np.diff(np.append(at, len(doc))), ref[at], ref_start[at]
 
 
-_COLUMNS = ["ids", "tags", "starts", "lengths", "h0", "h1", "h2", "refs", "ref_starts"]
+_COLUMNS = ["ids", "tags", "starts", "lengths", "h0", "h1", "h2", "h3", "refs", "ref_starts"]
 
 
-def _row(bucket, ids, tags, starts, lengths, hashes=None, refs=None, ref_starts=None):
+def _row(bucket, ids, tags, starts, lengths, hashes=None, second=None, refs=None, ref_starts=None):
     hashes = np.empty(0, np.uint64) if hashes is None else hashes
+    second = np.empty(0, np.uint32) if second is None else second
     empty = np.empty(0, np.int64)
     return (bucket, ids.astype(np.int64), tags.astype(np.int64), starts.astype(np.int32), lengths.astype(np.int32),
             hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint16),
-            (hashes >> np.uint64(48)).astype(np.uint8),
+            (hashes >> np.uint64(48)).astype(np.uint8), second,
             (empty if refs is None else refs).astype(np.int64),
             (empty if ref_starts is None else ref_starts).astype(np.int32))
 
 
 def _batch(rows) -> pa.RecordBatch:
     cols = [pa.array([r[0] for r in rows], pa.int32())]
-    cols += [pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in range(1, 10)]
+    cols += [pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in range(1, len(_COLUMNS) + 1)]
     return pa.record_batch(cols, names=["bucket", *_COLUMNS])
 
 
@@ -84,29 +89,30 @@ def _indexed(docs: DataFrame, window: int) -> DataFrame:
             row = np.concatenate([x[2] + s for x, s in zip(held, shift)])
             pos = np.concatenate([x[3] for x in held])
             h = np.concatenate([x[4] for x in held])
-            block = np.concatenate([x[5] for x in held])
+            g = np.concatenate([x[5] for x in held])
+            block = np.concatenate([x[6] for x in held])
             # a window that several documents of the task have is sent once, by the smallest of them
             mine = rank[row]
-            order = np.lexsort((pos, mine, h))
-            new = np.concatenate(([True], h[order[1:]] != h[order[:-1]]))
+            order = np.lexsort((pos, mine, g, h))
+            new = np.concatenate(([True], (h[order[1:]] != h[order[:-1]]) | (g[order[1:]] != g[order[:-1]])))
             leader = order[np.flatnonzero(new)][np.cumsum(new) - 1]
             later = mine[order] > mine[leader]
             out = []
             if later.any():
                 x, y = order[later], leader[later]
                 d, t, s, c, r, rs = _grown(ids[row[x]], tags[row[x]], pos[x], ids[row[y]], pos[y])
-                out.append(_row(int(deal[int(arrays.mix(h[:1])[0] % np.uint64(n_buckets))]), d, t, s, c, None, r, rs))
+                out.append(_row(int(deal[int(arrays.mix(h[:1])[0] % np.uint64(n_buckets))]), d, t, s, c, None, None, r, rs))
             sent = np.ones(len(h), bool)
             sent[order[later]] = False
-            row, pos, h, block = row[sent], pos[sent], h[sent], block[sent]
+            row, pos, h, g, block = row[sent], pos[sent], h[sent], g[sent], block[sent]
             order = np.argsort(block, kind="stable")
-            row, pos, h = row[order], pos[order], h[order]
+            row, pos, h, g = row[order], pos[order], h[order], g[order]
             for b, i, j in parts(block[order], n_buckets):
                 new = np.ones(j - i, bool)
                 new[1:] = (row[i + 1:j] != row[i:j - 1]) | (pos[i + 1:j] != pos[i:j - 1] + 1)
                 at = np.flatnonzero(new)
                 out.append(_row(int(deal[b]), ids[row[i:j][at]], tags[row[i:j][at]], pos[i:j][at],
-                                np.diff(np.append(at, j - i)), h[i:j]))
+                                np.diff(np.append(at, j - i)), h[i:j], g[i:j]))
             return _batch(out)
 
         for batch in batches:
@@ -117,6 +123,7 @@ def _indexed(docs: DataFrame, window: int) -> DataFrame:
                 h, begin = arrays.ngrams(hashes, words.row, window)
                 if not len(h):
                     continue
+                second = arrays.ngrams(arrays.mix(hashes + _SECOND), words.row, window)[0].astype(np.uint32)
                 grams, first = arrays.ngrams(hashes, words.row, gram)
                 count = np.diff(begin)
                 low = _smallest(grams, first, count, window - gram + 1)
@@ -124,7 +131,7 @@ def _indexed(docs: DataFrame, window: int) -> DataFrame:
                 row = np.repeat(np.arange(j - i), count)
                 pos = (np.arange(len(h)) - np.repeat(begin[:-1], count)).astype(np.int32)
                 held.append((batch.column("id").slice(i, j - i).to_pylist(),
-                             batch.column("tag").slice(i, j - i).to_pylist(), row, pos, h, block))
+                             batch.column("tag").slice(i, j - i).to_pylist(), row, pos, h, second, block))
                 n += len(h)
                 if n >= FLUSH:
                     yield pack()
@@ -135,8 +142,8 @@ def _indexed(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(send, "bucket int, " + ", ".join(f"{c} binary" for c in _COLUMNS))
 
 
-def _factors(indexed: DataFrame, window: int) -> DataFrame:
-    """(id, tag, start, n_words, ref_id, ref_start): factors of every document in earlier ones."""
+def _fragments(indexed: DataFrame, window: int) -> DataFrame:
+    """(id, tag, start, n_words, ref_id, ref_start): what every block has found of the factors."""
     types = dict(zip(_COLUMNS, (np.int64, np.int64, np.int32, np.int32, *_HASH_BYTES, np.int64, np.int32)))
 
     def result(d, t, s, c, r, rs):
@@ -161,8 +168,9 @@ def _factors(indexed: DataFrame, window: int) -> DataFrame:
             run = np.repeat(np.arange(len(length)), length)
             first = np.concatenate(([0], np.cumsum(length)[:-1]))
             pos = col["starts"][run] + (np.arange(len(h)) - first[run]).astype(np.int32)
-            order = np.argsort(h, kind="stable")
-            same = h[order[1:]] == h[order[:-1]]
+            g = col["h3"]
+            order = np.lexsort((g, h))
+            same = (h[order[1:]] == h[order[:-1]]) & (g[order[1:]] == g[order[:-1]])
             shared = np.zeros(len(h), bool)
             shared[1:] |= same
             shared[:-1] |= same
@@ -170,9 +178,9 @@ def _factors(indexed: DataFrame, window: int) -> DataFrame:
             if not len(order):
                 continue
             doc = col["ids"][run[order]]
-            order = order[np.lexsort((pos[order], doc, h[order]))]
-            doc, key = col["ids"][run[order]], h[order]
-            new = np.concatenate(([True], key[1:] != key[:-1]))
+            order = order[np.lexsort((pos[order], doc, g[order], h[order]))]
+            doc, key, check = col["ids"][run[order]], h[order], g[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
             leader = np.flatnonzero(new)[np.cumsum(new) - 1]
             later = np.flatnonzero(doc > doc[leader])
             if len(later):
@@ -183,6 +191,20 @@ def _factors(indexed: DataFrame, window: int) -> DataFrame:
         parse, "id bigint, tag bigint, start int, n_words int, ref_id bigint, ref_start int")
 
 
+def _maximal(found: DataFrame) -> DataFrame:
+    """Factors from fragments: those of one document that touch or overlap, with references in step, are one."""
+    end, shift = F.col("start") + F.col("n_words"), F.col("start") - F.col("ref_start")
+    line = Window.partitionBy("id", "tag", "ref_id", "shift").orderBy("start", "end")
+    before = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    return (found.repartition("id", "tag").withColumn("end", end).withColumn("shift", shift)
+            .withColumn("new", F.coalesce(F.col("start") > before, F.lit(True)).cast("int"))
+            .withColumn("factor", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("id", "tag", "ref_id", "shift", "factor")
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+            .select("id", "tag", "start", (F.col("end") - F.col("start")).alias("n_words"), "ref_id",
+                    (F.col("start") - F.col("shift")).alias("ref_start")))
+
+
 def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = docs[f"`{text_col}`"]
     return docs.select(docs[f"`{id_col}`"].cast("bigint").alias("id"), F.xxhash64(text).alias("tag"),
@@ -195,10 +217,11 @@ def factors(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col:
     A factor says that ``n_words`` words (``window`` or more) from word ``start``
     of a document also stand from word ``ref_start`` of the document ``ref_id``,
     whose id is smaller.  ``tag`` is the hash of the row's text, which tells rows
-    with a repeated id apart.
+    with a repeated id apart.  A passage that a document has in step with one reference
+    is one factor, whatever blocks indexed it.
     """
     rows = _tagged(docs, id_col, text_col).where("id IS NOT NULL AND text IS NOT NULL")
-    return _factors(_indexed(rows, window), window).withColumnRenamed("id", "doc_id")
+    return _maximal(_fragments(_indexed(rows, window), window)).withColumnRenamed("id", "doc_id")
 
 
 def drop_repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",

@@ -56,6 +56,41 @@ def test_factors_point_at_their_reference(spark, texts):
         assert (by_id[f.doc_id][f.start:f.start + f.n_words] == by_id[f.ref_id][f.ref_start:f.ref_start + f.n_words])
 
 
+@pytest.mark.parametrize("flush", [50, 2_000_000])
+def test_a_long_passage_copied_between_tasks_is_one_factor(spark, monkeypatch, flush):
+    monkeypatch.setattr(rlz, "FLUSH", flush)
+    passage = [f"p{i}" for i in range(1000)]
+    rows = [(1, " ".join(["x"] * 30 + passage + ["y"])), (2, " ".join(["z"] * 7 + passage[100:])),
+            (3, " ".join(["a", *passage, "b", *passage[:60]]))]
+    found = rlz.factors(frame(spark, rows).repartition(3, "doc_id")).select(
+        "doc_id", "start", "n_words", "ref_id", "ref_start").collect()
+    assert sorted(map(tuple, found)) == [(2, 7, 900, 1, 130), (3, 1, 1000, 1, 30), (3, 1002, 60, 1, 30)]
+
+
+def test_windows_that_agree_in_the_first_hash_only_are_different(spark, monkeypatch):
+    ngrams = rlz.arrays.ngrams
+    calls = []
+
+    def first_hash_equal(words, row, k):
+        h, begin = ngrams(words, row, k)
+        calls.append(k)
+        return (h * 0 if len(calls) % 3 == 1 else h), begin  # 1st: window, 2nd: its check, 3rd: gram
+
+    rows = [(1, " ".join(f"p{i}" for i in range(60))), (2, " ".join(f"q{i}" for i in range(60)))]
+    batch = rlz.pa.RecordBatch.from_pydict({"id": [1, 2], "tag": [1, 2], "text": [t for _, t in rows]})
+    monkeypatch.setattr(rlz.arrays, "ngrams", first_hash_equal)
+    sent = {}
+
+    class Docs:
+        sparkSession = spark
+
+        def mapInArrow(self, f, schema):
+            sent["rows"] = [r for b in f(iter([batch])) for r in b.to_pylist()]
+
+    rlz._indexed(Docs(), 50)
+    assert len(calls) == 3 and sent["rows"] and not any(r["refs"] for r in sent["rows"])
+
+
 def test_odd_rows_short_windows_and_empty_tables(spark):
     assert result(spark, ODD) == brute(ODD)
     assert result(spark, ODD, 2) == brute(ODD, 2)

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.encoding import category_counts
 from ledgerlens.operators.moments import lines, pair_moments
 from ledgerlens.operators.quantiles import (
-    SortedValues,
     approx_quantiles,
+    exact_quantiles,
+    join_groups,
     quantile_columns,
     unpivot_numeric,
 )
@@ -125,23 +126,23 @@ def box_stats(df: DataFrame, cols: list[str], group_cols: list[str] = (),
     (per group)."""
     group_cols = list(group_cols)
     keys = [*group_cols, "column_name"]
-    # quartiles, whiskers and counts all come from the counted distinct values
-    sorted_ = SortedValues(df, cols, group_cols)
-    q = quantile_columns(approx_quantiles(df, cols, BOX_PROBS, group_cols) if approx
-                         else sorted_.quantiles(BOX_PROBS), BOX_PROBS, ["q1", "median", "q3"], group_cols)
+    quantiles = approx_quantiles if approx else exact_quantiles
+    q = quantile_columns(quantiles(df, cols, BOX_PROBS, group_cols), BOX_PROBS, ["q1", "median", "q3"], group_cols)
     iqr = F.col("q3") - F.col("q1")
     q = q.select(*keys, "q1", "median", "q3", iqr.alias("iqr"),
                  (F.col("q1") - F.lit(WHISKER_IQR) * iqr).alias("lower_fence"),
                  (F.col("q3") + F.lit(WHISKER_IQR) * iqr).alias("upper_fence"))
-    x, w = F.col("x"), F.col("w")
+    x = F.col("x")
     inside_lo = x >= F.col("lower_fence")
     inside_hi = x <= F.col("upper_fence")
     of_group = ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]
-    return sorted_.with_group(q).groupBy(*keys, *of_group).agg(
-        F.sum("w").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"),
+    # one more scan against the fences; every group is one row of each task
+    rows = join_groups(unpivot_numeric(df, cols, group_cols), q, keys)
+    return rows.groupBy(*keys, *of_group).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("min"), F.max("x").alias("max"),
         F.min(F.when(inside_lo, x)).alias("whisker_low"),
         F.max(F.when(inside_hi, x)).alias("whisker_high"),
-        F.sum(F.when(inside_lo & inside_hi, F.lit(0).cast("bigint")).otherwise(w)).alias("n_outliers"),
+        F.count_if(~(inside_lo & inside_hi)).alias("n_outliers"),
     ).select(*keys, "n", "min", "q1", "median", "q3", "max", "iqr", "lower_fence", "upper_fence",
              "whisker_low", "whisker_high", "n_outliers")
 

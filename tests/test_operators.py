@@ -3,10 +3,12 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.ml.models import top_k
+from ledgerlens.operators import quantiles
 from ledgerlens.operators.distributions import density_curves
 from ledgerlens.operators.encoding import fit_onehot
 from ledgerlens.operators.quantiles import exact_quantiles
@@ -142,3 +144,34 @@ def test_age_of_accounts_registered_after_the_fitted_latest(spark):
     old = base_features(labels.where("id <> 4"), users, trx)
     late = base_features(labels.where("id = 4"), users, trx, stats=population_stats(old)).first()
     assert late.days_from_registr == 0.0 and late.count_intensity == 0.0
+
+
+def _skewed(n):
+    rng = np.random.default_rng(3)
+    x = np.exp(rng.normal(0, 4, n))
+    x[: n // 3] = 7.0  # a value that a third of the rows have
+    return x
+
+
+@pytest.mark.parametrize("margin", [quantiles.MARGIN, 0])
+def test_bracketed_quantiles_are_exact(spark, monkeypatch, margin):
+    monkeypatch.setattr(quantiles, "MARGIN", margin)  # 0: brackets miss ranks, which are then counted one by one
+    x = _skewed(30_000)
+    df = spark.createDataFrame(pd.DataFrame({
+        "g": ["big" if i % 10 else ("small" if i % 1000 else None) for i in range(len(x))], "x": x, "y": -x}))
+    probs = [0.0, 0.25, 0.501, 0.75, 1.0]
+    got = exact_quantiles(df, ["x", "y"], probs, ["g"]).toPandas()
+    pdf = df.toPandas()
+    assert len(got) == 3 * 2 * len(probs)
+    for r in got.itertuples():
+        rows = pdf[pdf["g"].isna()] if pd.isna(r.g) else pdf[pdf["g"] == r.g]
+        assert np.isclose(r.value, np.quantile(rows[r.column_name], r.p), rtol=1e-12), r
+
+
+def test_only_values_near_the_ranks_move(spark):
+    n = 60_000
+    df = spark.createDataFrame(pd.DataFrame({"x": _skewed(n)})).repartition(4)
+    counted = quantiles.bracketed_counts(df, ["x"], [0.25, 0.5, 0.75])
+    rows = counted.collect()
+    assert sum(r["w"] for r in rows) == n
+    assert len(rows) < 0.05 * n  # of 40,001 distinct values

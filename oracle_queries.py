@@ -656,6 +656,7 @@ def oracle_sql() -> dict[str, str]:
         "dist_categorical": dist_categorical_sql(),
         "dist_crosstab": dist_crosstab_sql(),
         "dist_density": dist_density_sql(),
+        "dist_density_cells": dist_density_sql(),
         "dist_box": dist_box_sql(),
         "dist_hist2d": dist_hist2d_sql(),
         "dist_trend": dist_trend_sql(),

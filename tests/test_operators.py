@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.ml.models import top_k
 from ledgerlens.operators import quantiles
-from ledgerlens.operators.distributions import density_curves
+from ledgerlens.operators.distributions import density_curves, gauss_terms
 from ledgerlens.operators.encoding import fit_onehot
 from ledgerlens.operators.quantiles import exact_quantiles
 
@@ -175,3 +175,23 @@ def test_only_values_near_the_ranks_move(spark):
     rows = counted.collect()
     assert sum(r["w"] for r in rows) == n
     assert len(rows) < 0.05 * n  # of 40,001 distinct values
+
+
+@pytest.mark.parametrize("error", [1e-3, 1e-6, 1e-12])
+def test_fast_density_stays_within_its_error(spark, error):
+    rng = np.random.default_rng(8)
+    far = np.concatenate([rng.normal(0, 1, 3000), rng.normal(40, 0.1, 2000), [1e3, -50.0]])
+    df = spark.createDataFrame(pd.DataFrame({"x": far, "few": np.arange(len(far)) % 5.0, "one": 3.0}))
+    got = density_curves(df, ["x", "few", "one"], cells_above=100, error=error).toPandas()
+    exact = density_curves(df, ["x", "few", "one"]).toPandas()
+    both = got.merge(exact, on=["column_name", "i"], suffixes=("", "_exact"))
+    assert len(both) == len(got) == 1500 and gauss_terms(1e-3) < gauss_terms(1e-12)
+    few = both[both.column_name == "few"]
+    assert np.array_equal(few.x, few.x_exact) and np.allclose(few.density, few.density_exact, rtol=1e-12)
+    one = both[both.column_name == "one"]
+    assert one.density.isna().all() == one.density_exact.isna().all()
+    x = both[both.column_name == "x"]
+    h = far.std(ddof=1) * len(far) ** -0.2
+    off = np.abs(x.density - x.density_exact).max()
+    assert off <= error / (h * math.sqrt(2 * math.pi)) + 1e-14
+    assert error < 1e-9 or off > 0  # the transform was used

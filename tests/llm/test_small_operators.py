@@ -433,3 +433,17 @@ def test_html_broken_markup_takes_linear_time(kind):
 
     # a quadratic reader takes minutes here and 16 times as long for 4 times the page
     assert seconds(80_000) < 10 * seconds(20_000) + 1
+
+
+@pytest.mark.parametrize("draws", ["even", "same"])
+def test_pii_sample_is_the_smallest_draws_of_each_class(spark, draws):
+    rng = np.random.default_rng(4)
+    rows = [(float(i % 10 == 0), int(rng.integers(-2 ** 63, 2 ** 63 - 1)) if draws == "even" else 2 ** 62, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "label double, draw long, x int")
+    below = pii._sampled(df, 100).collect()
+    for label in (0.0, 1.0):
+        want = sorted((d, x) for y, d, x in rows if y == label)[:100]
+        got = sorted((r.draw, r.x) for r in below if r.label == label)
+        assert got[:100] == want
+        assert draws == "same" or len(got) < 400
+    assert pii._sampled(df.limit(0), 100).count() == 0

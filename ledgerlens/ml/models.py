@@ -7,10 +7,12 @@ row position to re-attach them by).
 
 from __future__ import annotations
 
+import hashlib
 import random
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -21,13 +23,16 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.ml.logistic_path import fit_many, fold_accuracy, pack
 from ledgerlens.operators.moments import pair_moments
+from ledgerlens.session import materialize
+from ledgerlens.sources.files import copy_folder, stage_handoff, write_parquet
 
 LABEL = "inactive"
 FEATURES = "features"
@@ -125,6 +130,107 @@ def forest_regressor(grid: dict = BEST_FOREST, seed: int = 42) -> RandomForestRe
                                  **forest_params(grid))
 
 
+#: Rows times trees of one fit.  Spark ML keeps every node of the trees that a fit grows on the driver,
+#: about 0.4 nodes for each row and tree, so a larger forest is grown some trees at a time.
+FIT_TREE_ROWS = 1_000_000
+#: From one such fit's seed to the next; the samples of a fit take one seed for each partition.
+SEED_STEP = 1_000_003
+
+
+def tree_groups(n_rows: int, n_trees: int) -> list[int]:
+    """How many trees are grown together, one fit after another."""
+    size = max(1, min(n_trees, FIT_TREE_ROWS // max(1, n_rows)))
+    return [min(size, n_trees - k) for k in range(0, n_trees, size)]
+
+
+def grown(learner: RandomForestClassifier | RandomForestRegressor, data: DataFrame) -> Iterator[Model]:
+    """The learner's forest on ``data``, as one model for each of ``tree_groups``; all its trees are grown.
+
+    The first takes the learner's own seed, so a forest of one group is the learner's fit.  A caller that
+    lets go of each model before the next holds the nodes of one group at a time, whatever the rows."""
+    seed = learner.getSeed()
+    for k, trees in enumerate(tree_groups(data.count(), learner.getNumTrees())):
+        yield learner.copy({learner.numTrees: trees, learner.seed: seed + k * SEED_STEP}).fit(data)
+
+
+def tree_digests(model: Model) -> list[str]:
+    """A digest of every tree's splits and leaves."""
+    # the first line names the object
+    return [hashlib.md5(t.toDebugString.split("\n", 1)[1].encode()).hexdigest() for t in model.trees]
+
+
+class Importances:
+    """Feature importances of a forest added up from its groups: the mean over the trees that split, as in one fit."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[int, list[float]]] = []
+
+    def add(self, model: Model) -> None:
+        split = sum(t.numNodes > 1 for t in model.trees)
+        self.parts.append((split, [float(v) for v in model.featureImportances.toArray()]))
+
+    def total(self) -> list[float]:
+        if len(self.parts) == 1:
+            return self.parts[0][1]
+        sums = [sum(w * own[i] for w, own in self.parts) for i in range(len(self.parts[0][1]))]
+        every = sum(sums)
+        return [v / every for v in sums] if every else sums
+
+
+class StoredForest:
+    """A regression forest of several groups of trees, each a Spark ML model below ``path``; one of them
+    is loaded at a time, so the driver never holds the whole forest."""
+
+    def __init__(self, spark: SparkSession, path: str, trees: list[int], importances: Importances):
+        self.spark, self.path, self.trees, self.importances = spark, path, trees, importances
+
+    @classmethod
+    def grow(cls, learner: RandomForestRegressor, data: DataFrame, path: str) -> StoredForest:
+        trees, importances = [], Importances()
+        for model in grown(learner, data):
+            model.write().overwrite().save(f"{path}/{len(trees)}")
+            trees.append(model.getNumTrees)
+            importances.add(model)
+            del model
+        return cls(data.sparkSession, path, trees, importances)
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        return DenseVector(self.importances.total())
+
+    @property
+    def getNumTrees(self) -> int:
+        return sum(self.trees)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``prediction``, the mean leaf value over all trees.  The groups' sums are written one
+        after another and added in the order of the groups."""
+        rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+        sums = None
+        for k, trees in enumerate(self.trees):
+            model = RandomForestRegressionModel.load(f"{self.path}/{k}")
+            own = stage_handoff(model.transform(rows).select(
+                "_row", F.struct(F.lit(k).alias("group"), (F.col("prediction") * trees).alias("sum")).alias("own")), "group")
+            del model
+            sums = own if sums is None else sums.union(own)
+        added = F.aggregate(F.array_sort(F.collect_list("own")), F.lit(0.0), lambda a, x: a + x["sum"])
+        scored = sums.groupBy("_row").agg((added / self.getNumTrees).alias("prediction"))
+        return rows.join(scored, "_row").drop("_row")
+
+    def save(self, path: str) -> None:
+        copy_folder(self.spark, self.path, path)
+        parts = [(k, n, split, own) for k, (n, (split, own)) in enumerate(zip(self.trees, self.importances.parts))]
+        write_parquet(self.spark.createDataFrame(
+            parts, "place int, trees int, split_trees int, importances array<double>").coalesce(1), f"{path}/groups")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> StoredForest:
+        """Read what ``save`` has written; the collected table has one row for each group."""
+        groups, importances = spark.read.parquet(f"{path}/groups").orderBy("place").collect(), Importances()
+        importances.parts = [(r["split_trees"], list(r["importances"])) for r in groups]
+        return cls(spark, path, [r["trees"] for r in groups], importances)
+
+
 def logistic(penalty: str = "l2", C: float = 1.0, l1_ratio: float = 0.5,
              n_rows: int | None = None, max_iter: int = 100) -> LogisticRegression:
     """M6: ``penalty`` none / l2 / l1 / elasticnet.  An inverse strength

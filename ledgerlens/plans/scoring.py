@@ -12,6 +12,7 @@ stored: scoring is then a job of its own that sees no training row.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.regression import RandomForestRegressionModel
@@ -21,18 +22,20 @@ from pyspark.sql import functions as F
 from ledgerlens.ml.models import (
     BEST_FOREST,
     FEATURES,
+    StoredForest,
     assemble,
     feature_columns,
     forest_regressor,
     top_k,
     training_table as dealt_rows,
+    tree_groups,
 )
 from ledgerlens.operators.encoding import OneHotEncoding
 from ledgerlens.operators.ledger import edge_table
 from ledgerlens.plans.base import base_features, population_stats
 from ledgerlens.plans.features import FittedFeatures, align_to, fit_model_features, model_features
 from ledgerlens.session import materialize
-from ledgerlens.sources.files import stage_handoff
+from ledgerlens.sources.files import folder_exists, stage_folder, stage_handoff
 
 
 @dataclass
@@ -64,7 +67,7 @@ def scoring_table(test_ids: DataFrame, users: DataFrame, ledger: DataFrame, stat
 class Ranker:
     """A fitted ranking forest with the training population's statistics."""
 
-    model: RandomForestRegressionModel
+    model: RandomForestRegressionModel | StoredForest
     fitted: FittedFeatures
     stats: DataFrame
     features: list[str]
@@ -78,9 +81,12 @@ class Ranker:
         return self.model.transform(assemble(prepared, self.features, keep=("id",))).select("id", "prediction")
 
     def save(self, path: str) -> None:
-        """Write the model (Spark ML's own format) and one small table for each fitted value below ``path``."""
+        """Write the model (Spark ML's own format, one for each group of trees) and one small table for each fitted value below ``path``."""
         spark, path = self.stats.sparkSession, path.rstrip("/")
-        self.model.write().overwrite().save(f"{path}/model")
+        if isinstance(self.model, StoredForest):
+            self.model.save(f"{path}/model")
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
         self.stats.write.mode("overwrite").parquet(f"{path}/population")
         self.fitted.minmax.write.mode("overwrite").parquet(f"{path}/bounds")
         dummies = [(i, *d) for i, d in enumerate(self.fitted.encoding.dummies)]
@@ -97,17 +103,24 @@ class Ranker:
         dummies = [(r["name"], r["column"], r["value"]) for r in read("dummies").orderBy("place").collect()]
         features = [r["name"] for r in read("features").orderBy("place").collect()]
         fitted = FittedFeatures(read("bounds"), OneHotEncoding(dummies), features)
-        return cls(RandomForestRegressionModel.load(f"{path}/model"), fitted, read("population"), features)
+        model = (StoredForest.load(spark, f"{path}/model") if folder_exists(spark, f"{path}/model/groups")
+                 else RandomForestRegressionModel.load(f"{path}/model"))
+        return cls(model, fitted, read("population"), features)
 
 
 def fit_ranker(train_labels: DataFrame, users: DataFrame, ledger: DataFrame, grid: dict = BEST_FOREST, seed: int = 42,
                edges: DataFrame | None = None) -> tuple[Ranker, DataFrame]:
-    """Fit the regression forest on the training features; also returns these (p3)."""
+    """Fit the regression forest on the training features; also returns these (p3).
+
+    A forest of one group of trees is fitted as it is, one of several is stored group by group."""
     train_p2, p3, fitted = training_table(train_labels, users, ledger, edges)
     feats = feature_columns(p3)
     train = materialize(dealt_rows(assemble(
         p3.withColumn("inactive", F.col("inactive").cast("double")), feats)))
-    return Ranker(forest_regressor(grid, seed).fit(train), fitted, population_stats(train_p2), feats), p3
+    learner, spark = forest_regressor(grid, seed), train.sparkSession
+    model = (learner.fit(train) if len(tree_groups(train.count(), learner.getNumTrees())) == 1
+             else StoredForest.grow(learner, train, f"{stage_folder(spark)}/forest-{uuid.uuid4().hex}"))
+    return Ranker(model, fitted, population_stats(train_p2), feats), p3
 
 
 def rank_inactive(train_labels: DataFrame, test_ids: DataFrame, users: DataFrame,

@@ -67,6 +67,19 @@ def stage_handoff(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a folder's files as they are, over what ``target`` holds."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    a, b = path(source), path(target)
+    b.getFileSystem(conf).delete(b, True)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def remove_stages(spark: SparkSession) -> None:
     """Remove this application's stages; for the owner of the run, once its results are written."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))

@@ -107,3 +107,34 @@ def test_results_do_not_depend_on_the_cores():
                                       timeout=600).stdout.splitlines() if x.startswith(("TOP", "CV"))]
            for cores, parts in (("2", "3"), ("4", "8"))]
     assert len(out[0]) == 2 and out[0] == out[1]
+
+
+def test_a_forest_grown_in_groups_holds_one_of_them_at_a_time(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from ledgerlens.plans.registry import _train_vectors
+    from ledgerlens.plans.scoring import Ranker, fit_ranker
+
+    data = _train_vectors(spark, SF_SMALL)
+    whole = list(M.grown(M.forest_classifier(SMALL_FOREST), data))
+    assert len(whole) == 1 and M.tree_digests(whole[0]) == M.tree_digests(M.forest_classifier(SMALL_FOREST).fit(data))
+    monkeypatch.setattr(M, "FIT_TREE_ROWS", 4 * data.count())
+    assert M.tree_groups(data.count(), 10) == [4, 4, 2] and M.tree_groups(10 ** 9, 3) == [1, 1, 1]
+    users, ledger = S.users(spark, SF_SMALL), S.ledger(spark, SF_SMALL)
+    ranker, _ = fit_ranker(S.account_labels(spark, SF_SMALL, "train"), users, ledger, SMALL_FOREST)
+    ranker.save(str(tmp_path / "ranker"))
+    stored = Ranker.load(spark, str(tmp_path / "ranker"))
+    assert isinstance(stored.model, M.StoredForest) and stored.model.getNumTrees == 10
+    p4 = ranker.prepared(S.population_ids(spark, SF_SMALL, "test"), users, ledger)
+    p4 = p4.union(p4.limit(3))  # rows that repeat an id each keep their score
+    one, two = (sorted(map(tuple, r.scores(p4).collect())) for r in (ranker, stored))
+    assert one == two and len(one) == p4.count()
+    # the mean over the trees of all groups
+    vectors = M.assemble(p4, ranker.features, keep=("id",))
+    parts = [M.RandomForestRegressionModel.load(f"{stored.model.path}/{k}") for k in range(3)]
+    assert len({d for m in parts for d in M.tree_digests(m)}) == 10
+    sums = [[r.prediction * m.getNumTrees for r in m.transform(vectors).orderBy("id", "prediction").collect()] for m in parts]
+    want = np.sum(sums, axis=0) / 10
+    assert np.allclose([p for _, p in one], want)
+    every = [t.featureImportances.toArray() for m in parts for t in m.trees]
+    assert np.allclose(ranker.model.featureImportances.toArray(), np.mean(every, axis=0))

@@ -370,10 +370,11 @@ def forest_importances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     p3 = model_features(p2)
     feats = M.feature_columns(p3)
     train = materialize(M.training_table(M.assemble(p3, feats)))
-    model = M.forest_classifier().fit(train)
-    imp = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(feats, [float(v) for v in imp])),
-                                 "feature string, importance double")
+    importances = M.Importances()
+    for model in M.grown(M.forest_classifier(), train):
+        importances.add(model)
+        del model
+    return spark.createDataFrame(list(zip(feats, importances.total())), "feature string, importance double")
 
 
 def _search_facts(spark: SparkSession, searches: dict[str, M.SearchResult], n_rows: int) -> DataFrame:

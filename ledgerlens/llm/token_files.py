@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -104,10 +105,18 @@ class WordTable:
             todo, slot = todo[~placed], slot[~placed] + np.uint64(1) & self.mask
 
 
-_KIND = np.zeros(256, np.uint8)  # 1 white space, 2 plain letters and digits, 4 marks that end a word
+_KIND = np.zeros(256, np.uint8)  # 1 white space, 2 plain letters and digits, 4 marks that end a word (all but ')
 _KIND[[9, 10, 11, 12, 13, 32]] = 1
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 2
-_KIND[[ord(c) for c in ".,;:!?"]] = 4
+_KIND[[ord(c) for c in string.punctuation if c != "'"]] = 4
+# The second bytes of the letters that begin with 0xC3.
+_LETTER = np.zeros(256, bool)
+_LETTER[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+# Words that the byte-level pre-tokenizer leaves whole: plain letters and those of 0xC3, or digits.
+_ONE_PIECE = re.compile(rb" ?(?:(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+|[0-9]+)")
+# How a byte-level file writes the 256 bytes.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = dict(zip(_PRINTED + [b for b in range(256) if b not in _PRINTED], _PRINTED + [*range(256, 324)]))
 # First bytes of white space beyond ASCII, and all of it in UTF-8.
 _WIDE = [c.encode() for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"] + [chr(c).encode() for c in range(0x2000, 0x200B)]
 _WIDE_FIRST = np.zeros(256, bool)
@@ -121,7 +130,8 @@ def word_starts(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
     A text's ids are its words' ids one after another.  White space is cut before the last
     character of a run that a word follows, and a single space goes with the word after it, as
-    the byte-level pre-tokenizer cuts; marks are cut from the plain letter or digit before them."""
+    the byte-level pre-tokenizer cuts; marks are cut from the plain letter or digit, or the letter that
+    begins with 0xC3, before them."""
     n = len(data)
     kind = np.concatenate(([0], _KIND[data], [0])).astype(np.uint8)
     before, here, after = kind[:-2], kind[1:-1], kind[2:]
@@ -132,6 +142,7 @@ def word_starts(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
     cut = (gap & ((before != 1) | ((after != 1) & ~ends[1:])))
     cut |= ~gap & (before == 1) & ~space[:-1]
     cut |= (here == 4) & (before == 2)
+    cut[2:] |= (here[2:] == 4) & _LETTER[data[1:-1]] & (data[:-2] == 0xC3)
     first = begin[:-1][begin[:-1] < begin[1:]]
     cut[first] = True
     return np.flatnonzero(cut)
@@ -141,7 +152,7 @@ class WordEncoder:
     """Ids of texts by a byte-level tokenizer file, word by word: the library encodes a word once."""
 
     def __init__(self, path: str, special: bool = False):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         try:
             self.tokenizer = Tokenizer.from_file(path)
@@ -157,6 +168,10 @@ class WordEncoder:
         self.by_word = (made["normalizer"] is None and cut.get("type") == "ByteLevel" and not cut["add_prefix_space"]
                         and cut.get("use_regex", True))
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] if self.by_word else None
+        if self.by_word:  # the same model, told where words end
+            self.pieces = Tokenizer.from_file(path)
+            self.pieces.encode_special_tokens = not special
+            self.pieces.pre_tokenizer = pre_tokenizers.Split(chr(_WRITTEN[10]), "isolated")
         self.clear()
 
     def clear(self) -> None:
@@ -165,25 +180,33 @@ class WordEncoder:
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
         """Ids of new words, numbered on.  Words that end in no white space go to the library as
-        lines of one text: the line end between them has an id of its own that no word holds.
+        lines of one text: the line end between them has an id of its own that no word holds.  Of
+        these, words of one piece go to its model as the file writes their bytes, uncut.
         Returns the words in the order of their numbers."""
-        plain = [w for w in words if not _KIND[w[-1]] == 1]
         apart = [w for w in words if _KIND[w[-1]] == 1]
+        whole, plain = [], []
+        for w in words:
+            if not _KIND[w[-1]] == 1:
+                (whole if w[w[0] == 32:].isalpha() or _ONE_PIECE.fullmatch(w) else plain).append(w)
         ids, size = [self.flat], [self.size]
-        for i in range(0, len(plain), 1000):
-            part = plain[i:i + 1000]
-            lines = np.array(self.tokenizer.encode(b"\n".join(part).decode(), add_special_tokens=False).ids, np.uint32)
-            between = np.flatnonzero(lines == self.line_end)
-            if len(between) != len(part) - 1:
-                raise ValueError("a word that holds the id of a line end")
-            ids.append(np.delete(lines, between))
-            size.append(np.diff(np.concatenate(([-1], between, [len(lines)]))) - 1)
+        for group, library, read in ((whole, getattr(self, "pieces", None), lambda x: x.decode("latin-1").translate(_WRITTEN)),
+                                     (plain, self.tokenizer, bytes.decode)):
+            for i in range(0, len(group), 200):
+                part = group[i:i + 200]
+                found = library.encode_batch_fast([read(b"\n".join(part))], add_special_tokens=False)[0]
+                lines = np.array(found.ids, np.uint32)
+                is_end = lines == self.line_end
+                between = np.flatnonzero(is_end)
+                if len(between) != len(part) - 1:
+                    raise ValueError("a word that holds the id of a line end")
+                ids.append(lines[~is_end])
+                size.append(np.diff(np.concatenate(([-1], between, [len(lines)]))) - 1)
         for w in apart:
             own = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
             ids.append(np.array(own, np.uint32))
             size.append(np.array([len(own)]))
         self.flat, self.size = np.concatenate(ids), np.concatenate(size)
-        return plain + apart
+        return whole + plain + apart
 
     def _numbers(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Number of every word; new ones are learned first."""

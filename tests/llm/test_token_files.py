@@ -163,3 +163,18 @@ def test_empty_table_and_rows_without_ids(spark):
     path = shared_folder(spark, "tokens")
     K.write_ids(frame(spark, [(1, None), (2, bytearray(b"")), (3, bytearray(b"\1\0\0\0"))], "doc_id bigint, ids binary"), path)
     assert [(r.doc_id, r.start, r.n_tokens) for r in K.read_ids(spark, path).orderBy("doc_id").collect()] == [(1, 0, 0), (2, 0, 0), (3, 0, 1)]
+
+
+def test_words_before_any_mark_are_learned_once(library):
+    import pyarrow as pa
+
+    encoder = K.WordEncoder(FILE)
+    list(encoder.encode(pa.array([" same### same%%% same élé$$ élé& élé"]), None))
+    assert len(encoder.size) == 6  # both words and four runs of marks
+    rng = random.Random(1)
+    letters = "abZ09éß×÷ñ…'#%.,!\"(<|>/ \n\t  中🙂'sst"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(5000)]
+    got = [x.tolist() for _, found in K.WordEncoder(FILE, special=False).encode(pa.array(texts), None) for x in found]
+    library.encode_special_tokens = True
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    library.encode_special_tokens = False

@@ -11,6 +11,7 @@ expressions, so texts are scored where they are read, without a shuffle.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -232,18 +233,26 @@ def _sampled(rows: DataFrame, per_class: int) -> DataFrame:
     return below
 
 
-def fit_pii(docs: DataFrame, sample: int = 20_000, least: int = 50, precision: float = 0.98, rounds: int = 10,
+def _counted(rows: DataFrame) -> DataFrame:
+    """(label, held, x, n): how many ``rows`` (label, draw, x) have each feature vector, the held-out third
+    of the draws apart.  All rows count; equal ones are one row with their number."""
+    held = (F.pmod(F.col("draw"), F.lit(3)) == 0).alias("held")
+    return rows.groupBy("label", held, "x").agg(F.count("*").alias("n"))
+
+
+def fit_pii(docs: DataFrame, sample: int | None = None, least: int = 50, precision: float = 0.98, rounds: int = 10,
             depth: int = 3, text_col: str = "text", id_col: str = "doc_id", seed: int = 7) -> PiiModel:
-    """Train the trees on a bounded sample of candidates, calibrate the threshold on its held-out third.
+    """Train the trees on all candidates, calibrate the threshold on a held-out third of them.
 
     Candidates are proposed over all texts; a candidate that overlaps a base span
-    is a positive.  Of each class the ``sample / 2`` rows with the smallest hash of
-    (id, start, end) are kept, a documented bound for the training alone, and weigh
-    as much as the class has rows (estimated from the largest hash kept).  The
-    candidates of a fixed list of lines are always added as a prior, which weighs
-    ``least`` rows in each class: with few rows or none it decides, with many it
-    does not matter.  The threshold is the smallest margin from which on the share
-    of positives among held-out candidates is at least ``precision``.
+    is a positive.  Candidates with equal features and labels are counted, and a
+    feature vector weighs as much as candidates have it, so no candidate is left
+    out of the trees or the threshold (unless a caller asks for a trial on a
+    ``sample`` of about so many, half of each class).  The trees choose among all values that a feature takes.  The candidates of a fixed list
+    of lines are always added as a prior, which weighs ``least`` rows in each
+    class: with few rows or none it decides, with many it does not matter.  The
+    threshold is the smallest margin from which on the share of positives among
+    held-out candidates is at least ``precision``.
     """
     spark = docs.sparkSession
     text = F.coalesce(docs[f"`{text_col}`"], F.lit(""))
@@ -252,31 +261,24 @@ def fit_pii(docs: DataFrame, sample: int = 20_000, least: int = 50, precision: f
     rows = (df.select("doc", "base", F.explode(found).alias("c"))
             .select(F.when(_overlaps(F.col("c"), F.col("base")), 1.0).otherwise(0.0).alias("label"),
                     F.xxhash64(F.lit(seed), "doc", "c.start", "c.end").alias("draw"), F.col("c.x").alias("x")))
-    per_class = max(1, sample // 2)
-    drawn = None
-    below = _sampled(rows, per_class)
-    for label in _PRIOR:
-        own = below.where(F.col("label") == label).orderBy("draw", "x").limit(per_class).withColumn("prior", F.lit(False))
-        drawn = own if drawn is None else drawn.union(own)
-    drawn = staged(drawn.union(_prior(spark, seed).withColumn("prior", F.lit(True))), "pii-sample")
-    weight = F.lit(1.0)
-    for r in drawn.groupBy("label", "prior").agg(F.count("*").alias("n"), F.max("draw").alias("last")).collect():  # 4 rows
-        one = 1.0
-        if r["prior"]:
-            one = least / r["n"]
-        elif r["n"] == per_class:
-            one = max(1.0, 2.0 ** 64 / (r["last"] + 2.0 ** 63 + 1) / r["n"] * max(1, r["n"] - 1))
-        weight = F.when((F.col("label") == r["label"]) & (F.col("prior") == r["prior"]), one).otherwise(weight)
-    drawn = drawn.withColumn("weight", weight)
-    flat = drawn.select("label", "draw", "weight", *[F.get("x", F.lit(i)).alias(n) for i, n in enumerate(FEATURES)])
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(flat)
-    held = F.pmod(F.col("draw"), F.lit(3)) == 0
+    if sample is not None:
+        rows = _sampled(rows, max(1, sample // 2))
+    prior = _prior(spark, seed)
+    in_class = F.lit(1)
+    for r in prior.groupBy("label").agg(F.count("*").alias("n")).collect():  # 2 rows
+        in_class = F.when(F.col("label") == r["label"], r["n"]).otherwise(in_class)
+    known = _counted(prior).withColumn("weight", F.col("n") * F.lit(float(least)) / in_class)
+    counted = staged(_counted(rows).withColumn("weight", F.col("n").cast("double")).union(known), "pii-counted")
+    flat = counted.select("label", "held", "weight", *[F.get("x", F.lit(i)).alias(n) for i, n in enumerate(FEATURES)])
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(flat).where(~F.col("held"))
+    # Spark ML takes the thresholds to try from a sample of max(10000, bins ** 2) rows: with these bins, from all
+    bins = max(32, math.isqrt(vectors.count()) + 1)
     fitted = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth,
-                           seed=seed).fit(vectors.where(~held))
+                           maxBins=bins, seed=seed).fit(vectors)
     trees, weights = read_trees(fitted)
     model = PiiModel(trees, weights)
-    test = drawn.where(held).select("label", "weight", F.round(model.score(F.col("x")), 6).alias("m"))
-    # at most one row for each leaf combination that occurs in the bounded sample
+    test = counted.where("held").select("label", "weight", F.round(model.score(F.col("x")), 6).alias("m"))
+    # at most one row for each combination of leaves
     by_margin = (test.groupBy("m").agg(F.sum("weight").alias("n"), F.sum(F.col("label") * F.col("weight")).alias("good"))
                  .orderBy(F.desc("m")).collect())
     n = good = 0

@@ -13,7 +13,9 @@ of each such query: its short lists are heap-merged, its long ones probed by
 binary search, and the documents that reach the required overlap are retained.
 After components of these links are known, documents that share a list but not
 yet a component are verified in the same way, so no link between components is
-lost, while large groups of copies cost one comparison a document.
+lost, while large groups of copies cost one comparison a document.  The join itself
+then verifies all other pairs that share a list, inside the components; equal sets
+are one node there, and its copies are listed as its members.
 """
 
 from __future__ import annotations
@@ -380,7 +382,7 @@ def _retained(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) ->
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+                       text_col: str = "text", every_link: bool = True) -> tuple[DataFrame, DataFrame]:
     """Link documents by the Jaccard similarity of their distinct ``k``-word shingles.
 
     Words are runs without white space, A-Z lower-cased.  A text with fewer words
@@ -389,8 +391,11 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
 
     Returns ``(classes, links)``: classes has for every row of ``docs`` its id as
     ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by
-    links; links has the verified links (u, v, overlap, n_u, n_v) between
-    documents with different texts that join the components.
+    links; links (u, v, overlap, n_u, n_v) has every pair of different sets that
+    link once (u < v), each set by the smallest id that has it, and for each further
+    id of a set the row (id, smallest id).  A text is compared with all its partners, so
+    this takes time with the number of links.  A caller that needs the classes
+    alone passes ``every_link=False``: links then are those that join the components.
 
     * null or empty text: empty set, its own component
     * null id: the row counts its shingles, links with nothing, component null
@@ -447,7 +452,24 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
                              .union(more.select("u", "v"))), "components")
     out = classes.join(every, "id", "left").select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    return out, links.union(more)
+    links = links.union(more)
+    if every_link:
+        x, y = lists.alias("x"), lists.alias("y")
+        inside = (x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.id") < F.col("y.id"))
+                         & _may_link(*(F.col(c) for c in ("x.size", "x.place", "y.size", "y.place")), num, den))
+                  .select(F.col("x.id").alias("query"), F.col("y.id").alias("id")).distinct())
+        for done in (first, rest):
+            inside = (inside.join(done, ["query", "id"], "left_anti")
+                      .join(done.select(F.col("id").alias("query"), F.col("query").alias("id")), ["query", "id"], "left_anti"))
+        inside = staged(_enough_short_lists(staged(inside, "met"), lists, num, den), "inside")
+        n = F.col("n_shingles")
+        members = (known.join(heads.drop("n"), ["a", "b"]).where("id <> head").select(
+            F.col("id").alias("u"), F.col("head").alias("v"), n.alias("overlap"), n.alias("n_u"), n.alias("n_v")).distinct())
+        links = links.union(staged(_retained(docs, inside, k, num, den), "retained"))
+        up, swapped = F.col("u") < F.col("v"), {"u": "v", "v": "u", "n_u": "n_v", "n_v": "n_u"}
+        links = (links.select(*[F.when(up, F.col(c)).otherwise(F.col(swapped.get(c, c))).alias(c) for c in links.columns])
+                 .dropDuplicates(["u", "v"]).union(members))
+    return out, links
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, id_col: str = "doc_id",
@@ -458,6 +480,6 @@ def drop_near_copies(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100,
     an id all stay or go together.
     """
     name = free_name(docs, "_component")
-    classes, _ = ngram_jaccard_join(docs, k, num, den, id_col, text_col)
+    classes, _ = ngram_jaccard_join(docs, k, num, den, id_col, text_col, every_link=False)
     gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(gone, docs[f"`{id_col}`"] == gone[name], "left_anti")

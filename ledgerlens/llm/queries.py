@@ -30,7 +30,8 @@ def joined_spans(spans, kind="kind"):
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.ngram_jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))[0]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.ngram_jaccard_join(docs, every_link=False)[0]  # the classes need no link inside a component
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,6 +97,23 @@ def test_empty_table_and_clashing_columns(spark):
     assert [r.doc_id for r in kept.collect()] == [1]
 
 
+@pytest.mark.parametrize("part", [jaccard.LIST_PART, 4])
+def test_every_link_is_listed(spark, monkeypatch, part):
+    monkeypatch.setattr(jaccard, "LIST_PART", part)
+    monkeypatch.setattr(jaccard, "LONG_LIST", 2 if part == 4 else jaccard.LONG_LIST)
+    rows = near_copies()
+    sets = {}
+    for i, t in sorted(rows):
+        sets.setdefault(shingles(t), []).append(i)
+    want = {(min(i), min(j)): (len(a & b), len(a), len(b)) for a, i in sets.items() for b, j in sets.items()
+            if min(i) < min(j) and 100 * len(a & b) >= 75 * len(a | b)}
+    want |= {(i, min(ids)): (len(s),) * 3 for s, ids in sets.items() for i in ids[1:]}
+    links = jaccard.ngram_jaccard_join(frame(spark, rows))[1].collect()
+    got = {(r.u, r.v) if r.overlap == r.n_u == r.n_v else (min(r.u, r.v), max(r.u, r.v)):
+           (r.overlap, r.n_u, r.n_v) if r.u < r.v or r.overlap == r.n_u == r.n_v else (r.overlap, r.n_v, r.n_u) for r in links}
+    assert got == want and len(links) == len(want) > 300
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.data())
 def test_divide_skip_counts_overlaps(data):

@@ -447,3 +447,14 @@ def test_pii_sample_is_the_smallest_draws_of_each_class(spark, draws):
         assert got[:100] == want
         assert draws == "same" or len(got) < 400
     assert pii._sampled(df.limit(0), 100).count() == 0
+
+
+def test_pii_trees_and_threshold_count_every_candidate(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(pii, "staged", lambda df, stem: kept.setdefault(stem, df.persist()))
+    rows = [(i, f"about {10_000_000 + 7919 * i} rows") for i in range(21_000)] + [(50_000 + i, "mail a@b.co") for i in range(500)]
+    model = pii.fit_pii(frame(spark, rows), rounds=2)
+    counted = kept["pii-counted"].where("weight = n").groupBy("label").sum("n").collect()
+    assert {r[0]: r[1] for r in counted} == {0.0: 21_000, 1.0: 500}
+    held = kept["pii-counted"].where("held and weight = n").groupBy().sum("n").first()[0]
+    assert 6500 < held < 7900 and model.held_out_precision >= 0.98

@@ -7,7 +7,8 @@ Plan shape
    directed pair with its count, amount, first and last date.  The partial
    (map-side) aggregate collapses a hot pair before the shuffle, and hashing
    on the pair spreads a hot account (the system account, a hub) over all
-   reducers.
+   reducers.  Amounts are added as two whole numbers each (``amount_parts``):
+   exact as decimal sums, without their cost in every row of both aggregates.
 2. ``account_sides``: each pair is emitted once for its source (sent side)
    and once for its target (received side).
 3. ``account_activity``: ``groupBy(account)`` with conditional aggregates.
@@ -24,38 +25,61 @@ the ledger is scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.schema import SYSTEM_ID
+from ledgerlens.sources.schema import SYSTEM_ID, TRANSACTIONS
+
+# Fixed value: an amount of c hundredths is held as (c >> 30, c & (2**30 - 1)).  Both parts of a
+# decimal(18,2) stay below 2**30, so their bigint sums hold for 2**33 rows of any amounts.
+LOW_BITS = 30
+AMOUNT_PARTS = ("amount_high", "amount_low")
+
+
+def amount_parts(ledger: DataFrame) -> DataFrame:
+    """The ledger with ``amount`` as ``amount_high``, ``amount_low``, both NULL for no amount."""
+    declared, own = TRANSACTIONS["amount"].dataType, ledger.schema["amount"].dataType
+    if own != declared:
+        raise ValueError(f"amount is {own.simpleString()}, not {declared.simpleString()}")
+    hundredths = (F.col("amount") * 100).cast("bigint")
+    parts = (F.shiftright("_hundredths", LOW_BITS), F.col("_hundredths").bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
+    others = [c for c in ledger.columns if c != "amount"]
+    return (ledger.select(*others, hundredths.alias("_hundredths"))
+            .select(*others, *[e.alias(c) for c, e in zip(AMOUNT_PARTS, parts)]))
+
+
+def amount_sum(cond: Column) -> Column:
+    """The exact sum of the amounts of the rows that ``cond`` holds for, NULL if there are none."""
+    high, low = (F.sum(F.when(cond, F.col(c))).cast("decimal(20,0)") for c in AMOUNT_PARTS)
+    total = high * F.lit(Decimal(1 << LOW_BITS) / 100) + low * F.lit(Decimal("0.01"))
+    return total.cast("decimal(38,2)")
 
 
 def edge_table(ledger: DataFrame) -> DataFrame:
-    """Distinct directed pairs ``(source, target, n, amount, first_date,
-    last_date)``."""
-    return (ledger
-            .select("source", "target", F.to_date("time").alias("date"), "amount")
+    """Distinct directed pairs ``(source, target, n, amount_high, amount_low,
+    first_date, last_date)``."""
+    return (amount_parts(ledger.select("source", "target", F.to_date("time").alias("date"), "amount"))
             .groupBy("source", "target")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum("amount").alias("amount"),
+                 *[F.sum(c).alias(c) for c in AMOUNT_PARTS],
                  F.min("date").alias("first_date"),
                  F.max("date").alias("last_date")))
 
 
-EDGE_PAYLOAD = ("n", "amount", "first_date", "last_date")
+EDGE_PAYLOAD = ("n", *AMOUNT_PARTS, "first_date", "last_date")
 
 
 def account_sides(edges: DataFrame, payload: tuple[str, ...] = EDGE_PAYLOAD) -> DataFrame:
     """Each distinct pair seen from both ends:
-    ``(account, partner, is_sent, *payload)``.  Name only the payload a pass
-    needs: column pruning does not reach through the generator, so unused
-    payload would still be read from the pair table."""
-    payload = list(payload)
-    sent = F.struct(F.col("source").alias("account"), F.col("target").alias("partner"),
-                    F.lit(True).alias("is_sent"), *payload)
-    recv = F.struct(F.col("target").alias("account"), F.col("source").alias("partner"),
-                    F.lit(False).alias("is_sent"), *payload)
-    return edges.select(F.inline(F.array(sent, recv)))
+    ``(account, partner, is_sent, *payload)``.  Only the flag comes out of the
+    generator; the pair's columns pass beside it, unpacked into no structs."""
+    both = edges.select("source", "target", *payload, F.explode(F.array(F.lit(True), F.lit(False))).alias("is_sent"))
+    sent = F.col("is_sent")
+    return both.select(F.when(sent, F.col("source")).otherwise(F.col("target")).alias("account"),
+                       F.when(sent, F.col("target")).otherwise(F.col("source")).alias("partner"),
+                       "is_sent", *payload)
 
 
 # Output columns of account_activity, NULL where the account has no row on
@@ -71,7 +95,7 @@ def activity_from_sides(sides: DataFrame) -> DataFrame:
     sent = F.col("is_sent")
     recv = ~sent
     system = F.col("partner") == SYSTEM_ID
-    n, amt = F.col("n"), F.col("amount")
+    n = F.col("n")
     one = F.lit(1).cast("bigint")
     return sides.groupBy(F.col("account").alias("id")).agg(
         F.sum(F.when(sent, n)).alias("n_transactions_sent"),
@@ -82,10 +106,10 @@ def activity_from_sides(sides: DataFrame) -> DataFrame:
         F.sum(F.when(sent, one)).alias("n_partners_sent"),
         F.min(F.when(sent, F.col("first_date"))).alias("first_trx_date"),
         F.max(F.when(sent, F.col("last_date"))).alias("last_trx_date"),
-        F.sum(F.when(sent, amt)).alias("amount_sent"),
-        F.sum(F.when(recv, amt)).alias("amount_received"),
-        F.sum(F.when(recv & system, amt)).alias("amount_bonuses"),
-        F.sum(F.when(sent & system, amt)).alias("amount_penalties"),
+        amount_sum(sent).alias("amount_sent"),
+        amount_sum(recv).alias("amount_received"),
+        amount_sum(recv & system).alias("amount_bonuses"),
+        amount_sum(sent & system).alias("amount_penalties"),
     )
 
 
@@ -93,5 +117,5 @@ def account_activity(ledger: DataFrame) -> DataFrame:
     """A1-A7 fused: per account (every account in the ledger, the system
     account included) the sent/received counts, penalties (per source),
     bonuses (per target), distinct partners both ways, first/last sent date
-    and the four amount sums.  Amounts are exact decimal sums."""
+    and the four amount sums.  Amounts are exact decimals."""
     return activity_from_sides(account_sides(edge_table(ledger)))

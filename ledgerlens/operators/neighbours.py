@@ -7,9 +7,9 @@ dormant *and* belong to the labelled population: senders into the account
 Plan: the two-sided distinct-pair table is semi-joined with the flagged ids
 on ``partner``, then counted per account.  The pairs are already distinct, so
 the count is a distinct count without ``countDistinct``.  The flagged side is
-one row per account; the planner broadcasts it only if its measured size is
-under the broadcast threshold, otherwise both sides shuffle on ``partner``
-and AQE splits a skewed (hub) partner partition.  The system account, the
+one id per account; both sides shuffle on ``partner``, each task hashes its
+share of the flagged ids, so the pairs need no sort, and AQE splits a skewed
+(hub) partner partition.  The system account, the
 hottest partner of all (every bonus and penalty), is never a population
 member and is removed from both sides before the shuffle.
 """
@@ -27,7 +27,8 @@ def dormant_partner_counts(sides: DataFrame, flagged_ids: DataFrame) -> DataFram
     """``(id, n_partners_received_stage_2, n_partners_sent_stage_2)``, NULL
     where the account has no flagged partner on that side."""
     flagged = (flagged_ids.select(F.col("id").alias("partner"))
-               .where(F.col("partner") != SYSTEM_ID))
+               .where(F.col("partner") != SYSTEM_ID)
+               .hint("shuffle_hash"))
     hits = (sides.select("account", "partner", "is_sent")
             .where(F.col("partner") != SYSTEM_ID)
             .join(flagged, "partner", "left_semi"))

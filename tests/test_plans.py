@@ -73,3 +73,36 @@ def test_density_does_not_shuffle_values_on_the_column_name(spark):
     df = spark.range(1000).select((F.col("id") % 50).cast("double").alias("a"), F.col("id").cast("double").alias("b"))
     plan = executed(density_curves(df, ["a", "b"], points=20)).split("Initial Plan")[0]
     assert "BroadcastHashJoin [column_name" in plan
+
+
+def test_pairs_are_added_as_whole_numbers_and_joined_without_a_sort(spark):
+    """No decimal in the aggregates over pairs, no generator over structs, no sort of the pairs."""
+    from ledgerlens.operators.ledger import account_sides, edge_table
+    from ledgerlens.operators.neighbours import dormant_partner_counts
+
+    plan = executed(account_activity(S.ledger(spark, SF_SMALL)))
+    aggregates = [ln for ln in plan.splitlines() if "partial_sum" in ln]
+    assert aggregates and not any("amount#" in ln or "inline(" in ln for ln in aggregates)
+    assert "inline(" not in plan
+    edges = spark.range(1000).selectExpr("id % 50 source", "id % 70 target")
+    plan = executed(dormant_partner_counts(account_sides(edges, payload=()), spark.range(20)))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_amount_sums_are_exact_over_the_whole_type(spark):
+    from decimal import Decimal as D
+
+    from ledgerlens.sources.schema import SYSTEM_ID, TRANSACTIONS
+
+    top, t = D("9999999999999999.99"), None
+    rows = [(1, 2, t, top), (1, 2, t, top), (1, 3, t, D("-0.01")), (1, SYSTEM_ID, t, D("-12.34")), (SYSTEM_ID, 1, t, -top),
+            (SYSTEM_ID, 1, t, -top), (4, 5, t, None), (4, 1, t, D("0.05")), (4, 1, t, None)]
+    df = account_activity(spark.createDataFrame(rows, TRANSACTIONS).repartition(3))
+    assert {df.schema[c].dataType.simpleString() for c in df.columns if c.startswith("amount_")} == {"decimal(38,2)"}
+    got = {r["id"]: r for r in df.collect()}
+    one = got[1]
+    assert one["amount_sent"] == 2 * top - D("12.35") and one["amount_penalties"] == D("-12.34")
+    assert one["amount_received"] == -2 * top + D("0.05") and one["amount_bonuses"] == -2 * top
+    assert got[4]["amount_sent"] == D("0.05") and got[4]["amount_received"] is None
+    assert got[5]["amount_received"] is None and got[5]["n_partners_received"] == 1
+    assert got[2]["amount_received"] == 2 * top and got[2]["amount_bonuses"] is None

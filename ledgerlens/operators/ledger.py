@@ -39,10 +39,10 @@ AMOUNT_PARTS = ("amount_high", "amount_low")
 
 
 def amount_parts(ledger: DataFrame) -> DataFrame:
-    """The ledger with ``amount`` as ``amount_high``, ``amount_low``, both NULL for no amount."""
-    declared, own = TRANSACTIONS["amount"].dataType, ledger.schema["amount"].dataType
-    if own != declared:
-        raise ValueError(f"amount is {own.simpleString()}, not {declared.simpleString()}")
+    """The ledger with ``amount`` as ``amount_high``, ``amount_low``, both NULL for no amount; an
+    amount of another type than TRANSACTIONS declares stays as it is."""
+    if ledger.schema["amount"].dataType != TRANSACTIONS["amount"].dataType:
+        return ledger
     hundredths = (F.col("amount") * 100).cast("bigint")
     parts = (F.shiftright("_hundredths", LOW_BITS), F.col("_hundredths").bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
     others = [c for c in ledger.columns if c != "amount"]
@@ -50,8 +50,14 @@ def amount_parts(ledger: DataFrame) -> DataFrame:
             .select(*others, *[e.alias(c) for c, e in zip(AMOUNT_PARTS, parts)]))
 
 
-def amount_sum(cond: Column) -> Column:
+def _amount_columns(df: DataFrame) -> list[str]:
+    return [c for c in ("amount", *AMOUNT_PARTS) if c in df.columns]
+
+
+def amount_sum(cond: Column, columns: list[str]) -> Column:
     """The exact sum of the amounts of the rows that ``cond`` holds for, NULL if there are none."""
+    if columns == ["amount"]:
+        return F.sum(F.when(cond, F.col("amount")))
     high, low = (F.sum(F.when(cond, F.col(c))).cast("decimal(20,0)") for c in AMOUNT_PARTS)
     total = high * F.lit(Decimal(1 << LOW_BITS) / 100) + low * F.lit(Decimal("0.01"))
     return total.cast("decimal(38,2)")
@@ -60,21 +66,21 @@ def amount_sum(cond: Column) -> Column:
 def edge_table(ledger: DataFrame) -> DataFrame:
     """Distinct directed pairs ``(source, target, n, amount_high, amount_low,
     first_date, last_date)``."""
-    return (amount_parts(ledger.select("source", "target", F.to_date("time").alias("date"), "amount"))
-            .groupBy("source", "target")
+    rows = amount_parts(ledger.select("source", "target", F.to_date("time").alias("date"), "amount"))
+    return (rows.groupBy("source", "target")
             .agg(F.count(F.lit(1)).alias("n"),
-                 *[F.sum(c).alias(c) for c in AMOUNT_PARTS],
+                 *[F.sum(c).alias(c) for c in _amount_columns(rows)],
                  F.min("date").alias("first_date"),
                  F.max("date").alias("last_date")))
 
 
-EDGE_PAYLOAD = ("n", *AMOUNT_PARTS, "first_date", "last_date")
-
-
-def account_sides(edges: DataFrame, payload: tuple[str, ...] = EDGE_PAYLOAD) -> DataFrame:
+def account_sides(edges: DataFrame, payload: tuple[str, ...] | None = None) -> DataFrame:
     """Each distinct pair seen from both ends:
-    ``(account, partner, is_sent, *payload)``.  Only the flag comes out of the
-    generator; the pair's columns pass beside it, unpacked into no structs."""
+    ``(account, partner, is_sent, *payload)``, with every further column of the
+    pair table unless ``payload`` names those wanted.  Only the flag comes out of the
+    generator; the pair's columns pass beside it, packed into no structs."""
+    if payload is None:
+        payload = tuple(c for c in edges.columns if c not in ("source", "target"))
     both = edges.select("source", "target", *payload, F.explode(F.array(F.lit(True), F.lit(False))).alias("is_sent"))
     sent = F.col("is_sent")
     return both.select(F.when(sent, F.col("source")).otherwise(F.col("target")).alias("account"),
@@ -95,7 +101,7 @@ def activity_from_sides(sides: DataFrame) -> DataFrame:
     sent = F.col("is_sent")
     recv = ~sent
     system = F.col("partner") == SYSTEM_ID
-    n = F.col("n")
+    n, amounts = F.col("n"), _amount_columns(sides)
     one = F.lit(1).cast("bigint")
     return sides.groupBy(F.col("account").alias("id")).agg(
         F.sum(F.when(sent, n)).alias("n_transactions_sent"),
@@ -106,10 +112,10 @@ def activity_from_sides(sides: DataFrame) -> DataFrame:
         F.sum(F.when(sent, one)).alias("n_partners_sent"),
         F.min(F.when(sent, F.col("first_date"))).alias("first_trx_date"),
         F.max(F.when(sent, F.col("last_date"))).alias("last_trx_date"),
-        amount_sum(sent).alias("amount_sent"),
-        amount_sum(recv).alias("amount_received"),
-        amount_sum(recv & system).alias("amount_bonuses"),
-        amount_sum(sent & system).alias("amount_penalties"),
+        amount_sum(sent, amounts).alias("amount_sent"),
+        amount_sum(recv, amounts).alias("amount_received"),
+        amount_sum(recv & system, amounts).alias("amount_bonuses"),
+        amount_sum(sent & system, amounts).alias("amount_penalties"),
     )
 
 

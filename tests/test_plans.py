@@ -106,3 +106,13 @@ def test_amount_sums_are_exact_over_the_whole_type(spark):
     assert got[4]["amount_sent"] == D("0.05") and got[4]["amount_received"] is None
     assert got[5]["amount_received"] is None and got[5]["n_partners_received"] == 1
     assert got[2]["amount_received"] == 2 * top and got[2]["amount_bonuses"] is None
+
+
+def test_amounts_of_other_types_are_added_as_they_are(spark):
+    rows = [(1, 2, None, 0.125), (1, 2, None, 0.5), (-1, 1, None, 4.0), (3, 1, None, None)]
+    ledger = spark.createDataFrame(rows, "source long, target long, time timestamp_ntz, amount double")
+    for kind, total in (("double", 0.625), ("decimal(20,3)", 0.625)):
+        got = {r["id"]: r for r in account_activity(ledger.withColumn("amount", F.col("amount").cast(kind))).collect()}
+        assert float(got[1]["amount_sent"]) == float(got[2]["amount_received"]) == total
+        assert float(got[1]["amount_received"]) == float(got[1]["amount_bonuses"]) == 4.0
+        assert got[3]["amount_sent"] is None

@@ -53,6 +53,13 @@ def staged(df: DataFrame, stem: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """``df``, small beside what its tasks work on, spread over as few tasks as its size asks for
+    (adaptive execution on).  A file that is written costs time and, on local disks, the launch of
+    processes beside the executor, however few its rows."""
+    return df.hint("rebalance")
+
+
 def sha256_hex(c: Column) -> Column:
     """Lower-case hex SHA-256 of a string's UTF-8 bytes."""
     return F.sha2(c.cast("binary"), 256)

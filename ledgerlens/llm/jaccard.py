@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlens.llm import arrays
 from ledgerlens.llm.buckets import FLUSH, by_bucket, dealt, even_keys, partitions, parts
 from ledgerlens.llm.components import connected
-from ledgerlens.llm.frames import free_name, staged
+from ledgerlens.llm.frames import few_files, free_name, staged
 
 #: Lists from this length on count as long when a document orders its shingles.
 LONG_LIST = 8
@@ -176,7 +176,7 @@ def _long_lists(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
                     "length": pa.array(length[far].astype(np.int64))})
 
     packed = docs.mapInArrow(send, "bucket int, number int, wide boolean, gaps binary")
-    found = staged(dealt(packed).mapInArrow(count, "key bigint, length bigint"), "long")
+    found = staged(few_files(dealt(packed).mapInArrow(count, "key bigint, length bigint")), "long")
     power = F.floor(F.log2("length")).cast("int")
     kept, least = 0, 63
     for r in found.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():  # 63 rows at most
@@ -404,14 +404,14 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     * empty table: two empty results; columns of ``docs`` other than id and text are not read
     """
     docs = docs.select(docs[f"`{id_col}`"].cast("bigint").alias("id"), docs[f"`{text_col}`"].alias("text"))
-    classes = staged(shingle_classes(docs, k), "classes")
+    classes = staged(few_files(shingle_classes(docs, k)), "classes")
     known = classes.where("id IS NOT NULL AND n_shingles > 0")
     heads = known.groupBy("a", "b").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
     # copies: each id with the smallest id of an equal set
     copies = staged(known.join(heads, ["a", "b"]).where("id <> head").select("id", "head").distinct(), "copies")
 
     index = _index(docs.where(F.col("id").isNotNull()), k, num, den, _long_lists(docs, k))
-    lists = staged(_lists(index), "lists")
+    lists = _lists(index)
     # a copy is searched through its head, unless other rows of its id have other texts
     several = known.groupBy("id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("a", "b") for f in (F.min, F.max)]).where(
         "min_a <> max_a or min_b <> max_b")
@@ -430,7 +430,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
     first = staged(shared.groupBy("id").agg(F.max_by("head", F.struct("count", -F.col("head"))).alias("query"))
                    .select("query", "id").union(between.select(F.col("top").alias("query"), "id")).distinct(), "pairs")
     first = staged(_enough_short_lists(first, lists, num, den), "pairs")
-    links = staged(_retained(docs, first, k, num, den), "retained")
+    links = staged(few_files(_retained(docs, first, k, num, den)), "retained")
     same = copies.select(F.col("id").alias("u"), F.col("head").alias("v"))
     so_far = staged(connected(links.select("u", "v").union(same)), "components")
 
@@ -447,7 +447,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
             .join(first, ["query", "id"], "left_anti")
             .join(first.select(F.col("id").alias("query"), F.col("query").alias("id")), ["query", "id"], "left_anti"))
     rest = staged(_enough_short_lists(staged(rest, "met"), open_, num, den), "rest")
-    more = staged(_retained(docs, rest, k, num, den), "retained")
+    more = staged(few_files(_retained(docs, rest, k, num, den)), "retained")
     every = staged(connected(so_far.select(F.col("id").alias("u"), F.col("component").alias("v"))
                              .union(more.select("u", "v"))), "components")
     out = classes.join(every, "id", "left").select(
@@ -465,7 +465,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 10
         n = F.col("n_shingles")
         members = (known.join(heads.drop("n"), ["a", "b"]).where("id <> head").select(
             F.col("id").alias("u"), F.col("head").alias("v"), n.alias("overlap"), n.alias("n_u"), n.alias("n_v")).distinct())
-        links = links.union(staged(_retained(docs, inside, k, num, den), "retained"))
+        links = links.union(staged(few_files(_retained(docs, inside, k, num, den)), "retained"))
         up, swapped = F.col("u") < F.col("v"), {"u": "v", "v": "u", "n_u": "n_v", "n_v": "n_u"}
         links = (links.select(*[F.when(up, F.col(c)).otherwise(F.col(swapped.get(c, c))).alias(c) for c in links.columns])
                  .dropDuplicates(["u", "v"]).union(members))

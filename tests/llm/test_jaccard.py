@@ -114,6 +114,24 @@ def test_every_link_is_listed(spark, monkeypatch, part):
     assert got == want and len(links) == len(want) > 300
 
 
+def test_small_results_are_written_in_few_files_and_lists_once(spark, monkeypatch):
+    written = defaultdict(list)
+
+    def staged(df, stem):
+        out = jaccard_staged(df, stem)
+        written[stem].append(len(out.inputFiles()))
+        return out
+
+    jaccard_staged = jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", staged)
+    rows = near_copies()
+    out, _ = jaccard.ngram_jaccard_join(frame(spark, rows).repartition(8), every_link=False)
+    got = Counter(tuple(r) for r in out.select("doc_id", "n_shingles", "component_id").collect())
+    assert got == brute(rows)
+    assert {stem: max(written[stem]) for stem in ("classes", "long", "retained")} == {"classes": 1, "long": 1, "retained": 1}
+    assert len(written["lists"]) == 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.data())
 def test_divide_skip_counts_overlaps(data):

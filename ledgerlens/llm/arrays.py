@@ -74,11 +74,12 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def slices(offsets: np.ndarray):
-    """Row ranges of about SLICE_BYTES."""
+def slices(offsets: np.ndarray, size: int | None = None):
+    """Row ranges of about ``size`` bytes (SLICE_BYTES)."""
     i, n = 0, len(offsets) - 1
+    size = size or SLICE_BYTES
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
 

@@ -44,6 +44,11 @@ SEARCH_PART = 256
 #: Slots over which candidate ids are hashed to screen the documents before their texts are shuffled.
 SCREEN_SLOTS = 1 << 20
 
+#: Texts are hashed so many rows and bytes at a time: what a worker holds beside an Arrow batch is a few times that.
+SET_ROWS, SET_BYTES = 512, 512 << 10
+#: Postings that a task gathers before it writes them out as rows.
+INDEX_FLUSH = 500_000
+
 _KEY_BITS = 22  # of a shingle's hash inside a bucket, when lengths are counted
 _KEY_MASK = np.uint64((1 << _KEY_BITS) - 1)
 _LIST_MASK = np.uint64((1 << 47) - 1)  # of a shingle's hash, to name its list
@@ -104,11 +109,13 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], least: list[int]) ->
 def _sets(batches: Iterator[pa.RecordBatch], k: int):
     """(row of the batch's other columns, shingle set) of every row with words."""
     for batch in batches:
-        data, offsets = arrays.buffers(batch.column("text"))
-        for i, j in arrays.slices(offsets):
-            words = arrays.Words(data, offsets, i, j, lower=True)
-            for r, s in enumerate(arrays.shingle_sets(words.hashes(), words.row, k)):
-                yield batch, i + r, s
+        text = batch.column("text")
+        for at in range(0, len(text), SET_ROWS):
+            data, offsets = arrays.buffers(text.slice(at, SET_ROWS))
+            for i, j in arrays.slices(offsets, SET_BYTES):
+                words = arrays.Words(data, offsets, i, j, lower=True)
+                for r, s in enumerate(arrays.shingle_sets(words.hashes(), words.row, k)):
+                    yield batch, at + i + r, s
 
 
 def shingle_classes(docs: DataFrame, k: int) -> DataFrame:
@@ -140,7 +147,13 @@ def _long_lists(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
     def pack(held: list[np.ndarray]):
         h = np.concatenate(held)
-        key = ((h >> np.uint64(32)) % np.uint64(n_buckets) << np.uint64(_KEY_BITS)) | (h & _KEY_MASK)
+        held.clear()
+        key = h >> np.uint64(32)
+        key %= np.uint64(n_buckets)
+        key <<= np.uint64(_KEY_BITS)
+        h &= _KEY_MASK
+        key |= h
+        del h
         key.sort()
         out = []
         for b, i, j in parts(key >> np.uint64(_KEY_BITS), n_buckets):
@@ -262,7 +275,7 @@ def _index(docs: DataFrame, k: int, num: int, den: int, long_lists) -> DataFrame
                 sizes.append(n)
                 counts.append(len(part))
                 held += len(part)
-                if held >= FLUSH:
+                if held >= INDEX_FLUSH:
                     yield pack()
                     hashes, ids, sizes, counts, salts, splits, places, held = [], [], [], [], [], [], [], 0
         if held:

@@ -1,7 +1,10 @@
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import ODD, frame
 from hypothesis import given, settings, strategies as st
@@ -132,6 +135,48 @@ def test_small_results_are_written_in_few_files_and_lists_once(spark, monkeypatc
     assert len(written["lists"]) == 1
 
 
+class Docs:
+    """Hands out the functions that a join gives to its tasks."""
+
+    sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x)))
+
+    def mapInArrow(self, task, schema):
+        return task
+
+
+def test_a_worker_holds_little_beside_its_batch(monkeypatch):
+    monkeypatch.setattr(jaccard, "partitions", lambda spark: 200)
+    monkeypatch.setattr(jaccard, "even_keys", lambda spark, n: np.arange(n))
+    rng = np.random.default_rng(3)
+    text = [" ".join(map(str, rng.integers(0, 10**6, 600))) for _ in range(4000)]  # 16 MB, 600,000 postings
+    batch = pa.record_batch({"id": pa.array(range(len(text))), "text": pa.array(text)})
+    tasks = [jaccard.shingle_classes(Docs(), 5),
+             jaccard._index(Docs(), 5, 75, 100, (np.empty(0, np.uint64), np.empty(0, np.uint8)))]
+    for task in tasks:
+        list(task([batch.slice(0, 1000)]))  # what is made once
+        tracemalloc.start()
+        for _ in task([batch]):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 56e6
+
+
+def test_sets_do_not_depend_on_how_a_batch_is_cut(monkeypatch):
+    text = [None, "", "a b", "A b c d e f", " x ", "a b c d e f g" * 9, None, "é b c d e", "q " * 40] * 3
+    batch = pa.record_batch({"id": pa.array(range(len(text))), "text": pa.array(text)})
+
+    def found():
+        return [(r, s.tolist()) for b in (batch, batch.slice(4, 11)) for _, r, s in jaccard._sets([b], 5)]
+
+    want = found()
+    assert [len(s) for _, s in want[:len(text)]] == [len(shingles(t)) for t in text]
+    for rows, size in ((1, 1), (2, 5), (4, 60), (7, 1 << 20)):
+        monkeypatch.setattr(jaccard, "SET_ROWS", rows)
+        monkeypatch.setattr(jaccard, "SET_BYTES", size)
+        assert found() == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.data())
 def test_divide_skip_counts_overlaps(data):

@@ -12,6 +12,7 @@ import random
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -24,15 +25,16 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor  # noqa: F401 (the groups of a StoredForest)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.ml.forest import group_sums, grow_trees, write_models
 from ledgerlens.ml.logistic_path import fit_many, fold_accuracy, pack
 from ledgerlens.operators.moments import pair_moments
 from ledgerlens.session import materialize
-from ledgerlens.sources.files import copy_folder, stage_handoff, write_parquet
+from ledgerlens.sources.files import copy_folder, write_parquet
 
 LABEL = "inactive"
 FEATURES = "features"
@@ -153,6 +155,45 @@ def grown(learner: RandomForestClassifier | RandomForestRegressor, data: DataFra
         yield learner.copy({learner.numTrees: trees, learner.seed: seed + k * SEED_STEP}).fit(data)
 
 
+#: A training table whose binned rows, a byte for each feature, take more than this is left to Spark ML:
+#: every task that grows whole trees holds all of them.
+TASK_BYTES = 200_000_000
+#: The most rows of such a table: a sum of counts stays a whole number.
+TASK_ROWS = 20_000_000
+
+
+def grown_in_tasks(learner: RandomForestClassifier | RandomForestRegressor, data: DataFrame, nodes: bool = False) -> DataFrame | None:
+    """The trees of ``forest.grow_trees`` for a forest of several ``tree_groups``; None for a single group, and where a
+    worker can't hold the rows or the labels are not 0 and 1: such forests are ``grown`` by Spark ML."""
+    label = F.col(learner.getLabelCol()).cast("double")
+    n_rows, odd = data.agg(F.count(F.lit(1)), F.count_if(label.isNull() | ~label.isin(0.0, 1.0))).first()
+    if odd or len(tree_groups(n_rows, learner.getNumTrees())) == 1:
+        return None
+    width, tried = len(data.select(learner.getFeaturesCol()).first()[0]), learner.getFeatureSubsetStrategy()
+    least = max(learner.getMinInstancesPerNode(), 1)
+    plain = (learner.getSubsamplingRate(), learner.getMinInfoGain(), learner.getMinWeightFractionPerNode()) == (1.0, 0.0, 0.0)
+    if n_rows * width > TASK_BYTES or n_rows > TASK_ROWS or not (tried.isdigit() and int(tried)) or learner.getMaxBins() > 256 or not plain:
+        return None
+    return grow_trees(data, learner.getLabelCol(), learner.getFeaturesCol(), trees=learner.getNumTrees(), tried=int(tried),
+                      bins=min(learner.getMaxBins(), n_rows), depth=learner.getMaxDepth(), least=least,
+                      gini=isinstance(learner, RandomForestClassifier), seed=learner.getSeed(), nodes=nodes)
+
+
+def forest_facts(learner: RandomForestClassifier | RandomForestRegressor, data: DataFrame) -> tuple[list[str], Importances]:
+    """The learner's forest on ``data``, all its trees grown: a digest of every tree, and the importances."""
+    trees, importances = grown_in_tasks(learner, data), Importances()
+    if trees is not None:
+        rows = trees.orderBy("tree").collect()  # one row a tree: a digest and the importances
+        importances.add_trees([(r["n_nodes"], r["importances"]) for r in rows])
+        return [r["digest"] for r in rows], importances
+    digests = []
+    for model in grown(learner, data):
+        digests += tree_digests(model)
+        importances.add(model)
+        del model
+    return digests, importances
+
+
 def tree_digests(model: Model) -> list[str]:
     """A digest of every tree's splits and leaves."""
     # the first line names the object
@@ -169,6 +210,12 @@ class Importances:
         split = sum(t.numNodes > 1 for t in model.trees)
         self.parts.append((split, [float(v) for v in model.featureImportances.toArray()]))
 
+    def add_trees(self, trees: list[tuple[int, list[float]]]) -> None:
+        """A group given as the nodes and the importances of each of its trees."""
+        own = [values for n, values in trees if n > 1]
+        sums = np.sum(own, axis=0) if own else np.zeros(len(trees[0][1]))
+        self.parts.append((len(own), (sums / sums.sum() if own else sums).tolist()))
+
     def total(self) -> list[float]:
         if len(self.parts) == 1:
             return self.parts[0][1]
@@ -178,8 +225,8 @@ class Importances:
 
 
 class StoredForest:
-    """A regression forest of several groups of trees, each a Spark ML model below ``path``; one of them
-    is loaded at a time, so the driver never holds the whole forest."""
+    """A regression forest of several groups of trees, each a Spark ML model below ``path``; the driver
+    never holds the whole forest."""
 
     def __init__(self, spark: SparkSession, path: str, trees: list[int], importances: Importances):
         self.spark, self.path, self.trees, self.importances = spark, path, trees, importances
@@ -187,6 +234,14 @@ class StoredForest:
     @classmethod
     def grow(cls, learner: RandomForestRegressor, data: DataFrame, path: str) -> StoredForest:
         trees, importances = [], Importances()
+        in_tasks = grown_in_tasks(learner, data, nodes=True)
+        if in_tasks is not None:
+            facts = in_tasks.select("tree", "n_nodes", "importances").distinct().orderBy("tree").collect()  # one row a tree
+            trees = tree_groups(data.count(), len(facts))
+            for k, n in enumerate(trees):
+                importances.add_trees([(r["n_nodes"], r["importances"]) for r in facts[k * trees[0]:k * trees[0] + n]])
+            write_models(in_tasks, trees, learner, len(facts[0]["importances"]), path)
+            return cls(data.sparkSession, path, trees, importances)
         for model in grown(learner, data):
             model.write().overwrite().save(f"{path}/{len(trees)}")
             trees.append(model.getNumTrees)
@@ -203,17 +258,12 @@ class StoredForest:
         return sum(self.trees)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with ``prediction``, the mean leaf value over all trees.  The groups' sums are written one
-        after another and added in the order of the groups."""
+        """``df`` with ``prediction``, the mean leaf value over all trees.  A task adds up the trees of some groups
+        for every row (``forest.group_sums``), and the groups' sums are added in the order of the groups."""
         rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
-        sums = None
-        for k, trees in enumerate(self.trees):
-            model = RandomForestRegressionModel.load(f"{self.path}/{k}")
-            own = stage_handoff(model.transform(rows).select(
-                "_row", F.struct(F.lit(k).alias("group"), (F.col("prediction") * trees).alias("sum")).alias("own")), "group")
-            del model
-            sums = own if sums is None else sums.union(own)
-        added = F.aggregate(F.array_sort(F.collect_list("own")), F.lit(0.0), lambda a, x: a + x["sum"])
+        sums = group_sums(self.spark, rows.select("_row", vector_to_array(FEATURES).alias("x")), self.path, len(self.trees))
+        own = F.transform(F.array_sort(F.collect_list(F.struct("task", "sums"))), lambda t: t["sums"])
+        added = F.aggregate(F.flatten(own), F.lit(0.0), lambda a, x: a + x)
         scored = sums.groupBy("_row").agg((added / self.getNumTrees).alias("prediction"))
         return rows.join(scored, "_row").drop("_row")
 

@@ -370,10 +370,7 @@ def forest_importances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     p3 = model_features(p2)
     feats = M.feature_columns(p3)
     train = materialize(M.training_table(M.assemble(p3, feats)))
-    importances = M.Importances()
-    for model in M.grown(M.forest_classifier(), train):
-        importances.add(model)
-        del model
+    _, importances = M.forest_facts(M.forest_classifier(), train)
     return spark.createDataFrame(list(zip(feats, importances.total())), "feature string, importance double")
 
 

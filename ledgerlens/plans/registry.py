@@ -351,15 +351,10 @@ def forest_checks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _train_vectors(spark, sf_dir)
     shuffled = materialize(data.repartition(5).orderBy(F.xxhash64("id")))
     for name, learner in (("classifier", M.forest_classifier), ("regressor", M.forest_regressor)):
-        trees, importances = ([], []), M.Importances()
-        for own, d in zip(trees, (data, shuffled)):
-            for model in M.grown(learner(CHECK_FOREST), M.training_table(d)):
-                own += M.tree_digests(model)
-                if d is data:
-                    importances.add(model)
-                del model
-        ok = trees[0] == trees[1] and abs(sum(importances.total()) - 1) < 1e-9
-        rows.append((f"{name}_order_of_rows", len(trees[0]), bool(ok)))
+        trees, importances = M.forest_facts(learner(CHECK_FOREST), M.training_table(data))
+        again, _ = M.forest_facts(learner(CHECK_FOREST), M.training_table(shuffled))
+        ok = trees == again and abs(sum(importances.total()) - 1) < 1e-9
+        rows.append((f"{name}_order_of_rows", len(trees), bool(ok)))
     return spark.createDataFrame(rows, "check string, n bigint, ok boolean")
 
 

@@ -81,8 +81,8 @@ def pack(data: DataFrame, label: str, features: str, fold: str | None = None) ->
     return rows.mapInArrow(work, "fold int, x binary, y binary")
 
 
-def _sum_over(blocks: DataFrame, shape: tuple[int, ...], work) -> np.ndarray:
-    """The sum of ``work(fold, x, y)`` (arrays of ``shape``) over all blocks.  A task sends one array;
+def _sum_over(blocks: DataFrame, shape: tuple[int, ...], work, more: tuple[str, ...] = ()) -> np.ndarray:
+    """The sum of ``work(fold, x, y, *more)`` (arrays of ``shape``) over all blocks.  A task sends one array;
     beyond DRIVER_PARTIALS tasks the arrays are added up in groups before the driver adds the rest."""
 
     def partial(batches):
@@ -90,9 +90,9 @@ def _sum_over(blocks: DataFrame, shape: tuple[int, ...], work) -> np.ndarray:
 
         total = np.zeros(shape)
         for batch in batches:
-            for fold, x, y in zip(*[batch.column(c).to_pylist() for c in ("fold", "x", "y")]):
+            for fold, x, y, *own in zip(*[batch.column(c).to_pylist() for c in ("fold", "x", "y", *more)]):
                 y = np.frombuffer(y)
-                total += work(fold, np.frombuffer(x).reshape(len(y), -1), y)
+                total += work(fold, np.frombuffer(x).reshape(len(y), -1), y, *own)
         yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()])], names=["task", "sums"])
 
     def added(batches):

@@ -30,6 +30,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.ml import perceptron
 from ledgerlens.ml.forest import group_sums, grow_trees, write_models
 from ledgerlens.ml.logistic_path import fit_many, fold_accuracy, pack
 from ledgerlens.operators.moments import pair_moments
@@ -104,6 +105,9 @@ def with_folds(df: DataFrame, folds: int, seed: int) -> DataFrame:
 # pass split a larger group of nodes.  They do not change the model.
 TREE_EXECUTION = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
 
+#: Boosted trees up to this depth are walked from the root: node ids would be kept and written for one tree each.
+CACHED_DEPTH = 10
+
 
 def forest_params(grid: dict) -> dict:
     """Translate the forest grid to Spark ML parameters.
@@ -303,7 +307,8 @@ def boosted_trees(max_depth: int = 5, learning_rate: float = 0.1, n_estimators:
     """M8: gradient-boosted trees; ``colsample`` is the share of features tried at a split."""
     return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxDepth=_depth(max_depth), featureSubsetStrategy=str(float(colsample)),
                          stepSize=learning_rate, maxIter=n_estimators, subsamplingRate=subsample,
-                         minInstancesPerNode=min_child_weight, seed=seed, **TREE_EXECUTION)
+                         minInstancesPerNode=min_child_weight, seed=seed,
+                         **TREE_EXECUTION | {"cacheNodeIds": _depth(max_depth) > CACHED_DEPTH})
 
 
 def neural_net(n_features: int, hidden: int = 100, max_iter: int = 200,
@@ -355,8 +360,8 @@ def cv_search(data: DataFrame, family: str, n_points: int = 20, folds: int = 3,
               points: list[dict] | None = None) -> SearchResult:
     """M4: k-fold cross-validated accuracy of sampled points of a model
     family's space (or of the given ``points``); best mean accuracy and its
-    parameters.  The logistic families fit all points and folds at once, in
-    shared passes over cached blocks of rows; the others share one
+    parameters.  The logistic families and the perceptrons fit all points and folds at
+    once, in shared passes over cached blocks of rows; the others share one
     ``CrossValidator`` as parameter maps, up to ``parallelism`` of them at a time.
     Rows are dealt and folded by hashes of ``id``, so the scores do not depend on
     the cluster."""
@@ -367,6 +372,8 @@ def cv_search(data: DataFrame, family: str, n_points: int = 20, folds: int = 3,
         n_features = len(data.select(FEATURES).first()[0])
         if family in LOGISTIC:
             means, evidence = _logistic_search(data, family, points, folds, n_rows, n_features)
+        elif family == "mlp":
+            means, evidence = _perceptron_search(data, points, folds, seed, n_features)
         else:
             means, evidence = _validated(data, family, points, folds, seed, parallelism, n_rows, n_features)
     finally:
@@ -397,6 +404,26 @@ def _logistic_search(data, family, points, folds, n_rows, n_features):
     return right.mean(axis=1).tolist(), evidence
 
 
+def _perceptron_search(data, points, folds, seed, n_features):
+    learners = [_build("mlp", p, 0, n_features, seed) for p in points]
+    two = data.limit(2).persist()
+    try:  # no step: the first weights that the learner draws
+        starts = [np.array(m.copy({m.maxIter: 0}).fit(two).weights.toArray()) for m in learners]
+    finally:
+        two.unpersist()
+    blocks = perceptron.pack(data, LABEL, FEATURES, "fold", folds).persist()
+    try:
+        fits = perceptron.fit_many(blocks, n_features, starts, list(range(folds)), hidden=[m.getLayers()[1] for m in learners],
+                                   steps=[m.getStepSize() for m in learners], max_iter=[m.getMaxIter() for m in learners],
+                                   tolerance=learners[0].getTol())
+        right = perceptron.fold_accuracy(blocks, fits, n_features).reshape(len(points), folds)
+    finally:
+        blocks.unpersist()
+    evidence = [{"point": f.point, "fold": f.fold, "converged": len(f.losses) > 1, "descending": f.losses[-1] < f.losses[0],
+                 "steps": len(f.losses), "violation": None} for f in fits]
+    return right.mean(axis=1).tolist(), evidence
+
+
 def _validated(data, family, points, folds, seed, parallelism, n_rows, n_features):
     estimators = [_build(family, p, n_rows, n_features, seed) for p in points]
     base = estimators[0]
